@@ -11,6 +11,9 @@ from readloom.functions.seqs import clean_seq
 from readloom.llm.common import clean_name
 from readloom.llm.frequent import frequent_items
 from readloom.llm.groups import read_groups
+from readloom.llm.languages import document_languages, language_segments
+from readloom.llm.leaks import leaked_passages
+from readloom.llm.mixing import mix_report, mix_schedule
 from readloom.llm.representatives import representatives, surviving_pairs
 from readloom.llm.shared_spans import shared_spans
 from readloom.llm.terms import term_statistics
@@ -64,9 +67,46 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_shared_spans(spark, d).select("read_id", "mate")
 
 
+def p6_leaked_passages(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_passages(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_leaked_passages(spark, d).select("doc_id", "item_id")
+
+
+def p6_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    """Of each item, how many documents hold a passage of it, and the longest."""
+    return p6_leaked_passages(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("n_words").alias("longest"))
+
+
+def p7_mix_report(spark: SparkSession, d: str) -> DataFrame:
+    return mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_mix_report(spark, d).where("falls_short").select("source")
+
+
+def p7_mix_schedule(spark: SparkSession, d: str) -> DataFrame:
+    return mix_schedule(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_document_languages(spark: SparkSession, d: str) -> DataFrame:
+    return document_languages(table(spark, d, "documents"), table(spark, d, "lang_samples"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_document_languages(spark, d).where("not labelled").select("doc_id", "lang")
+
+
+def p8_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language_segments(table(spark, d, "documents"), table(spark, d, "lang_samples"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (p1_found, p2_found, p3_found, p4_found, p5_found)
-    more = (p1_frequent_items, p2_term_statistics, p4_representatives, p4_surviving_pairs, p5_shared_spans)
+    found = (p1_found, p2_found, p3_found, p4_found, p5_found, p6_found, p7_found, p8_found)
+    more = (p1_frequent_items, p2_term_statistics, p4_representatives, p4_surviving_pairs, p5_shared_spans, p6_leaked_passages, p6_leaked_items, p7_mix_report, p7_mix_schedule, p8_document_languages, p8_segments)
     return {f.__name__: f for f in found + more}
 
 

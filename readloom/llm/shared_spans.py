@@ -76,8 +76,9 @@ def _blocks(span: int, ranges: int) -> Callable:
         def send() -> pa.RecordBatch:
             h, bases, size, off, first, key, owner = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            order = np.argsort(h)
-            part = ((h[order].astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
+            spread = P.mix32(h ^ np.uint32(0x5BD1E995))  # smallest hashes are small; scattered again they fill the ranges evenly
+            order = np.argsort(spread)
+            part = ((spread[order].astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
             cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
             cols: list[list] = [[] for _ in range(7)]
             for a, b in zip(cuts[:-1], cuts[1:]):
