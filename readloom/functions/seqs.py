@@ -33,15 +33,17 @@ def canonical(kmer: Column) -> Column:
 
 
 def kmers(seq: Column, k: int) -> Column:
-    """Every window of k letters, in order, repeats kept; an empty array below k letters or for null."""
-    n = F.coalesce(F.length(seq), F.lit(0))
-    windows = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring(seq, i, F.lit(k)))
-    return F.when(n >= k, windows).otherwise(F.array().cast("array<string>"))
+    """Every window of k letters, in order, repeats kept; an empty array below k letters or for null.
+
+    A look-ahead finds all windows in one pass; substrings by position would walk the letters again for each.
+    """
+    return F.coalesce(F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)), F.array().cast("array<string>"))
 
 
 def canonical_kmers(seq: Column, k: int) -> Column:
-    """Canonical k-mers of a sequence, without those that hold N."""
-    return F.transform(F.filter(kmers(seq, k), lambda x: ~F.contains(x, F.lit("N"))), canonical)
+    """Canonical k-mers of a sequence, in order, without those that hold N; the strands are turned once, not k-mer by k-mer."""
+    both = F.zip_with(kmers(seq, k), F.reverse(kmers(reverse_complement(seq), k)), lambda a, b: F.least(a, b))
+    return F.filter(both, lambda x: ~F.contains(x, F.lit("N")))
 
 
 def bare_read_id(col: Column | str) -> Column:

@@ -68,12 +68,14 @@ def connected_components(links: DataFrame, *, task_links: int = TASK_LINKS) -> D
     while (left := stars.count()) > task_links:
         level = cut(stars.groupBy("node").agg(F.min("root").alias("root"), F.collect_set("root").alias("roots")))
         levels.append(level.select("node", "root"))
-        between = level.where("size(roots) > 1").select(F.explode("roots").alias("node"), "root").where("node != root")
+        stems = level.select(F.explode("roots").alias("node"), "root")
+        # links between the roots of one node, and those of roots that are themselves nodes of another star
+        between = stems.where("node != root").unionByName(level.select("node", "root").join(stems.select("node"), "node", "left_semi"))
         parts = math.ceil(left / task_links)
         stars = cut(between.repartition(parts, "root").mapInArrow(_forest(task_links), schema))
     labels = stars.coalesce(1).mapInArrow(_forest(2 * task_links), schema) if left else stars
     for level in reversed(levels):
-        up = labels.withColumnsRenamed({"node": "root", "root": "top"})
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
         lower = level.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
         labels = cut(labels.unionByName(lower).groupBy("node").agg(F.min("root").alias("root")))
     labels = cut(labels)
