@@ -42,7 +42,7 @@ def trim_mate(seq: str, qual: str, adapters: tuple[str, ...]) -> tuple[str, str]
                 run = hi - i
             else:
                 other += 1
-                if other > (hi - i) // POLY_ONE_IN + 1:
+                if other > (hi - i) // POLY_ONE_IN:
                     break
         if run >= POLY_MIN:
             hi -= run
