@@ -55,9 +55,17 @@ def _value_kind(field: str) -> Column:
 FIELDS = ("source", "exemplar")
 
 
+def _named(pairs: DataFrame) -> list[Column]:
+    return [bare_read_id("read_id").alias("read_id"), bare("source").alias("source"), bare_read_id("exemplar_id").alias("exemplar"), F.col("received_at").cast("timestamp_ntz").alias("at")]
+
+
+def _values(pairs: DataFrame) -> DataFrame:
+    return pairs.select(*_named(pairs)).where("read_id is not null")
+
+
 def _rows(pairs: DataFrame) -> DataFrame:
     """The rows as they are compared: sizes and sums in place of the strings, so that little is shuffled."""
-    cols = [bare_read_id("read_id").alias("read_id"), bare("source").alias("source"), bare_read_id("exemplar_id").alias("exemplar"), F.col("received_at").cast("timestamp_ntz").alias("at")]
+    cols = _named(pairs)
     for m in ("fwd", "rev"):
         seq, qual = clean_seq(f"{m}_seq"), bare(f"{m}_qual")
         size = F.coalesce(F.length(seq), F.lit(0))
@@ -74,15 +82,8 @@ def _rows(pairs: DataFrame) -> DataFrame:
     return slim
 
 
-def learn_precedence(rows: DataFrame, field: str) -> list[tuple[str, str]]:
-    """Pairs (earlier, later) of value kinds: the majority of transitions between dated rows of one read, made acyclic.
-
-    A read's rows are few (deliveries); the counts sent to the driver are one for each pair of kinds.
-    """
-    kind = _value_kind(field)
-    by_time = Window.partitionBy("read_id").orderBy("at", "kind")
-    steps = rows.where("at is not null").select("read_id", "at", kind.alias("kind")).distinct().withColumn("before", F.lag("kind").over(by_time))
-    counts = {(r[0], r[1]): r[2] for r in steps.where("before is not null and before != kind").groupBy("before", "kind").count().collect()}
+def _acyclic(counts: dict[tuple[str, str], int]) -> list[tuple[str, str]]:
+    """Pairs (earlier, later) of kinds, closed: the majorities, the clearest first, as long as no circle arises."""
     after: dict[str, set[str]] = {}
 
     def reaches(a: str, b: str) -> bool:
@@ -96,6 +97,22 @@ def learn_precedence(rows: DataFrame, field: str) -> list[tuple[str, str]]:
     return [(a, b) for a in kinds for b in kinds if a != b and reaches(a, b)]
 
 
+def learn_precedence(pairs: DataFrame) -> dict[str, list[tuple[str, str]]]:
+    """For each field, pairs (earlier, later) of value kinds, learnt from the dated rows of all reads.
+
+    A read's rows are its deliveries; each is compared with the one before. What comes to the driver is one count for each
+    field and pair of kinds.
+    """
+    dated = _values(pairs).where("at is not null").select("read_id", "at", *(_value_kind(f).alias(f"{f}_kind") for f in FIELDS)).distinct()
+    by_time = Window.partitionBy("read_id").orderBy("at", *(f"{f}_kind" for f in FIELDS))
+    seen = dated.withColumns({f"{f}_before": F.lag(f"{f}_kind").over(by_time) for f in FIELDS})
+    steps = seen.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"{f}_before").alias("before"), F.col(f"{f}_kind").alias("kind")) for f in FIELDS))).alias("x")).select("x.*")
+    counts: dict[str, dict[tuple[str, str], int]] = {f: {} for f in FIELDS}
+    for r in steps.where("before is not null and before != kind").groupBy("field", "before", "kind").count().collect():
+        counts[r["field"]][r["before"], r["kind"]] = r["count"]
+    return {f: _acyclic(c) for f, c in counts.items()}
+
+
 def _current(field: str, precedence: list[tuple[str, str]]) -> list[Column]:
     """Aggregates of a group: its latest dated value, and its undated value of the latest kind."""
     rank = F.lit(0)
@@ -126,7 +143,7 @@ def representatives(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     before they are shuffled, and aggregated a group in parts, so a group of any size fits.
     """
     rows = _rows(pairs).join(groups.select("read_id", "group_id"), "read_id")
-    learnt = {f: learn_precedence(rows, f) for f in FIELDS}
+    learnt = learn_precedence(pairs)
     usable = F.col("fwd_ok").cast("int") + F.col("rev_ok").cast("int")
     length = F.when(F.col("fwd_ok"), F.col("fwd_len")).otherwise(0) + F.when(F.col("rev_ok"), F.col("rev_len")).otherwise(0)
     mean = F.when(length > 0, (F.col("fwd_phred") + F.col("rev_phred")) / length).otherwise(F.lit(0.0))
