@@ -111,11 +111,14 @@ class Parser:
             column = np.zeros(len(self.letter) + 1, np.int64)
             for c, i in own.items():
                 column[self.letter[c]] = i
-            # a step is the next state times two, plus one where a phrase ends before the letter
-            start = np.ones(len(own) + 1, np.int32)
+            # a step is the next state times two, plus one where a phrase ends before the letter; the last state
+            # follows a letter that the language lacks, which is a phrase of its own
+            lacks = len(go)
+            start = np.full(len(own) + 1, 2 * lacks + 1, np.int32)
             for c, s in go[0].items():
                 start[own[c]] = 2 * s + 1
-            step = np.tile(start, (len(go), 1))
+            step = np.tile(start, (lacks + 1, 1))
+            step[0] = 2 * lacks
             for s, to in enumerate(go):
                 for c, t in to.items():
                     step[s, own[c]] = 2 * t
