@@ -59,10 +59,16 @@ LANGUAGE_NAMES = {
 }
 
 
+_ACCENTS, _DIGITS, _SIGNS = re.compile("[\u0300-\u036f]+"), re.compile(r"\d+"), re.compile(r"[\W_]+")
+_HAN = re.compile("[\u3400-\u9fff]")
+
+
 def folded(text: str) -> str:
     """Text as it is parsed: lower case, without accents, digits as one sign, other signs and blanks as single blanks."""
-    text = "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
-    return re.sub(r"[\W_]+", " ", re.sub(r"\d+", "0", text)).strip()
+    text = text.lower()
+    if not text.isascii():
+        text = _ACCENTS.sub("", unicodedata.normalize("NFKD", text))
+    return _SIGNS.sub(" ", _DIGITS.sub("0", text)).strip()
 
 
 def automaton(text: str) -> list[dict[str, int]]:
@@ -104,11 +110,14 @@ class Parser:
     def __init__(self, texts: dict[str, str]):
         self.langs = sorted(texts)
         self.letter = {c: i + 1 for i, c in enumerate(sorted({c for t in texts.values() for c in t}))}  # 0: in no language
+        self.by_point = np.zeros(max(map(ord, self.letter), default=0) + 1, np.int32)
+        for c, i in self.letter.items():
+            self.by_point[ord(c)] = i
         self.columns, self.steps, self.widths, self.cost = [], [], [], []
         for lang in self.langs:
             go = automaton(texts[lang])
             own = {c: i + 1 for i, c in enumerate(sorted(set(texts[lang])))}
-            column = np.zeros(len(self.letter) + 1, np.int64)
+            column = np.zeros(len(self.letter) + 1, np.int32)
             for c, i in own.items():
                 column[self.letter[c]] = i
             # a step is the next state times two, plus one where a phrase ends before the letter; the last state
@@ -144,17 +153,26 @@ class Parser:
             return out
         order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
         size = np.array([len(pieces[i]) for i in order])
-        flat = np.array([self.letter.get(c, 0) for i in order for c in pieces[i]], np.int64)
+        points = np.frombuffer("".join([pieces[i] for i in order]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        flat = np.where(points < len(self.by_point), self.by_point[np.minimum(points, len(self.by_point) - 1)], 0)
         begin = np.cumsum(size) - size
         alive = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
+        # the letters by place, then by piece: one stretch for each step
+        place = np.arange(len(flat)) - np.repeat(begin, size)
+        by_place = np.argsort(place, kind="stable")
         for k, (column, step, width, cost) in enumerate(zip(self.columns, self.steps, self.widths, self.cost)):
-            letters = column[flat]
-            state = np.zeros(len(order), np.int64)
-            phrases = np.zeros(len(order), np.int64)
-            for j, n in enumerate(alive.tolist()):
-                got = step[state[:n] * width + letters[begin[:n] + j]]
+            letters = column[flat][by_place]
+            state = np.zeros(len(order), np.int32)
+            phrases = np.zeros(len(order), np.int32)
+            done = 0
+            for n in alive.tolist():
+                now = state[:n]
+                now *= width
+                now += letters[done : done + n]
+                got = step[now]
+                done += n
                 phrases[:n] += got & 1
-                state[:n] = got >> 1
+                np.right_shift(got, 1, out=now)
             out[order, k] = (phrases + (size > 0)) * cost
         return out
 
@@ -214,9 +232,9 @@ def _pieces(text: str | None) -> list[tuple[str, str, int, int]]:
     """(piece, folded, letters, Han letters) of a post's running text."""
     out = []
     for s in sentences(running_text(text)):
-        n = sum(c.isalpha() for c in s)
+        n = sum(map(str.isalpha, s))
         if n:
-            out.append((s, folded(s), n, sum("㐀" <= c <= "鿿" for c in s)))
+            out.append((s, folded(s), n, 0 if s.isascii() else len(_HAN.findall(s))))
     return out
 
 
