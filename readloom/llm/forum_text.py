@@ -22,6 +22,10 @@ _HEADER = re.compile(r"^[ \t]*[\w.-]+:[ \t]*$", re.M)
 _MODERATED = re.compile(r"^[ \t]*\*{2,}[^\n]*\*{2,}[ \t]*$", re.M)
 
 
+#: Characters of the Unicode category of format signs, as ranges.
+_FORMAT = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xAD, 0xAD), (0x600, 0x605), (0x61C, 0x61C), (0x6DD, 0x6DD), (0x70F, 0x70F), (0x180E, 0x180E), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x2064), (0x2066, 0x206F), (0xFEFF, 0xFEFF), (0xFFF9, 0xFFFB), (0xE0001, 0xE0001), (0xE0020, 0xE007F))) + "]")
+
+
 def _plain(text: str) -> str:
     """Entities resolved (also nested ones), compatibility letters replaced, line ends made alike."""
     for _ in range(3):
@@ -32,7 +36,7 @@ def _plain(text: str) -> str:
 
 
 def _invisible(text: str) -> str:
-    return "".join(c for c in text if unicodedata.category(c) != "Cf") if not text.isascii() else text
+    return text if text.isascii() else _FORMAT.sub("", text)
 
 
 def _without_markup(text: str) -> str:

@@ -55,34 +55,52 @@ def positional_index(lists: DataFrame) -> DataFrame:
     return cut(lists.mapInArrow(_postings, "term string, id bigint, places array<int>"))
 
 
-def _passage(doc: np.ndarray, item: np.ndarray, least: int, one_in: int) -> tuple[int, int, int]:
-    """(words, changes, end in doc) of the longest passage: item words in a row found with at most one change in ``one_in``; zeros if none.
+def _can_hold(doc: np.ndarray, item: np.ndarray, shift: int, least: int, one_in: int) -> bool:
+    """Whether a passage may lie along this offset; never false for one that does.
+
+    A passage strays from the offset of its unchanged run by no more places than it has changes. So its unchanged words
+    stand within that band, and of some ``least`` or more words in a row at most one in ``one_in`` does not.
+    """
+    n, band = len(item), len(item) // one_in
+    if n < least:
+        return False
+    padded = np.full(n + 2 * band, -2, np.int32)
+    lo, hi = max(0, shift - band), min(len(doc), shift + n + band)
+    if hi > lo:
+        padded[lo - (shift - band) : hi - (shift - band)] = doc[lo:hi]
+    near = (np.lib.stride_tricks.sliding_window_view(padded, 2 * band + 1) == item[:, None]).any(axis=1)
+    upto = np.concatenate([[0], np.cumsum(np.where(near, 1, 1 - one_in))])
+    return bool((upto[least:] >= np.minimum.accumulate(upto[: len(upto) - least])).any())
+
+
+def _passage(doc: np.ndarray, item: np.ndarray, least: int, one_in: int) -> tuple[int, int]:
+    """(words, changes) of the longest passage: item words in a row found with at most one change in ``one_in``; zeros if none.
 
     reach[e, j]: the most item words that end at the current item word and at word j of the document with
-    e changes. All places of the document are worked out at once, item word by item word.
+    e changes. All places of the document, and all numbers of changes, are worked out at once, item word by item word.
     """
     n, m = len(item), len(doc)
     edits = n // one_in
     none = -(10**6)
+    need = np.maximum(least, one_in * np.arange(edits + 1))
     reach = np.full((edits + 1, m + 1), none, np.int32)
     reach[0, :] = 0
-    best = (0, 0, 0)
+    size, changes = 0, 0
     for i in range(n):
-        same = doc == item[i]
         now = np.full((edits + 1, m + 1), none, np.int32)
-        for e in range(edits + 1):
-            now[e, 1:] = np.where(same, reach[e, :-1] + 1, none)
-            if e:
-                np.maximum(now[e, 1:], reach[e - 1, :-1] + 1, out=now[e, 1:])  # changed
-                np.maximum(now[e], reach[e - 1] + 1, out=now[e])  # missing
-                np.maximum(now[e, 1:], now[e - 1, :-1], out=now[e, 1:])  # added
-            j = int(now[e].argmax())
-            size = int(now[e, j])
-            if size >= max(least, one_in * e) and size > best[0]:
-                best = (size, e, j)
+        same = np.flatnonzero(doc == item[i])
+        now[:, same + 1] = reach[:, same] + 1
+        np.maximum(now[1:, 1:], reach[:-1, :-1] + 1, out=now[1:, 1:])  # changed
+        np.maximum(now[1:], reach[:-1] + 1, out=now[1:])  # missing
+        for e in range(1, edits + 1):
+            np.maximum(now[e, 1:], now[e - 1, :-1], out=now[e, 1:])  # added
+        most = now.max(axis=1)
+        for e in np.flatnonzero(most >= need).tolist():
+            if most[e] > size or (most[e] == size and e < changes):
+                size, changes = int(most[e]), e
         np.maximum(now[0], 0, out=now[0])
         reach = now
-    return best
+    return size, changes
 
 
 def _verify(least: int, one_in: int):
@@ -94,22 +112,21 @@ def _verify(least: int, one_in: int):
                 item = np.array([ids[t] for t in item_terms], np.int32)
                 doc = np.array([ids.get(t, -1) for t in doc_terms], np.int32)
                 spans = []
+                reach = len(item) + len(item) // one_in + 1
                 for s in sorted(set(shifts)):
                     a, b = max(0, -s), min(len(item), len(doc) - s)
                     if b - a >= RUN:
                         same = np.concatenate([[0], np.cumsum(item[a:b] == doc[a + s : b + s])])
-                        hit = np.flatnonzero(same[RUN:] - same[:-RUN] == RUN)
-                        if len(hit):
-                            spans.append((int(a + s + hit[0]), int(a + s + hit[-1]) + RUN))
+                        if (same[RUN:] - same[:-RUN] == RUN).any() and _can_hold(doc, item, s, least, one_in):
+                            spans.append((max(0, s - len(item) // one_in), min(len(doc), s + reach)))
                 # only the neighbourhoods of common runs can hold a passage
-                reach, merged = len(item) + len(item) // one_in + 1, []
+                merged: list[list[int]] = []
                 for lo, hi in sorted(spans):
-                    lo, hi = max(0, lo - reach), min(len(doc), hi + reach)
                     if merged and lo <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], hi)
                     else:
                         merged.append([lo, hi])
-                size, changes, end = max((_passage(doc[lo:hi], item, least, one_in) for lo, hi in merged), default=(0, 0, 0))
+                size, changes = max((_passage(doc[lo:hi], item, least, one_in) for lo, hi in merged), key=lambda x: (x[0], -x[1]), default=(0, 0))
                 if size:
                     rows.append((doc_id, item_id, size, changes))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["doc_id", "item_id", "n_words", "n_changes"])
