@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,19 +107,25 @@ def _passage(doc: np.ndarray, item: np.ndarray, least: int, one_in: int) -> tupl
 def _verify(least: int, one_in: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not len(batch):
+                continue
             rows = []
-            for doc_id, item_id, shifts, doc_terms, item_terms in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                ids = {t: i for i, t in enumerate(dict.fromkeys(item_terms))}
-                item = np.array([ids[t] for t in item_terms], np.int32)
-                doc = np.array([ids.get(t, -1) for t in doc_terms], np.int32)
-                spans = []
-                reach = len(item) + len(item) // one_in + 1
-                for s in sorted(set(shifts)):
-                    a, b = max(0, -s), min(len(item), len(doc) - s)
-                    if b - a >= RUN:
-                        same = np.concatenate([[0], np.cumsum(item[a:b] == doc[a + s : b + s])])
-                        if (same[RUN:] - same[:-RUN] == RUN).any() and _can_hold(doc, item, s, least, one_in):
-                            spans.append((max(0, s - len(item) // one_in), min(len(doc), s + reach)))
+            both = [batch.column(i) for i in (3, 4)]
+            codes = pa.chunked_array([c.flatten() for c in both]).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            ends = np.cumsum(np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in both]))
+            texts = np.split(codes, ends[:-1])
+            shift_ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            all_shifts = np.split(batch.column(2).flatten().to_numpy(zero_copy_only=False), shift_ends[:-1])
+            for doc_id, item_id, shifts, doc, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), all_shifts, texts[: len(batch)], texts[len(batch) :]):
+                n = len(item)
+                padded = np.full(len(doc) + 2 * n, -1, np.int32)
+                padded[n : n + len(doc)] = doc
+                same = (padded[shifts[:, None] + np.arange(n, 2 * n)] == item).cumsum(axis=1)
+                runs = same[:, RUN - 1 :].copy()
+                runs[:, 1:] -= same[:, : n - RUN]
+                whole = np.unique(shifts[(runs == RUN).any(axis=1)]).tolist()
+                reach = n + n // one_in + 1
+                spans = [(max(0, s - n // one_in), min(len(doc), s + reach)) for s in whole if _can_hold(doc, item, s, least, one_in)]
                 # only the neighbourhoods of common runs can hold a passage
                 merged: list[list[int]] = []
                 for lo, hi in sorted(spans):
