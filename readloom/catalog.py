@@ -186,7 +186,7 @@ def _landed(spark: SparkSession, d: str, make: Callable[[DataFrame], DataFrame],
 
 
 def stream_read_filter(spark: SparkSession, d: str) -> DataFrame:
-    wanted = cut(_wanted(spark, d))
+    wanted = _wanted(spark, d)
     return _landed(spark, d, lambda s: search.stream_filter(s, wanted, K).select("source", "ordinal", "read_id"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
 from readloom.functions.seqs import canonical, canonical_kmers, clean_seq, kmers
+from readloom.session import cut
 
 #: Query k-mers that are sent to every task at most (8 bytes each); beyond that the k-mers are joined.
 BROADCAST_KMERS = 4_000_000
@@ -72,8 +74,28 @@ def _counted(k: int, keyed: bool):
     return counted
 
 
+#: Bases that one look-up turns into letters.
+LOOKUP = 6
+
+
 def _unpacked(x: Column, k: int) -> Column:
-    return F.translate(F.lpad(F.conv(x.cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+    """The letters of packed k-mers, a few bases at a time from a constant list of all their words."""
+    words = F.split(F.lit(",".join(map("".join, product("ACGT", repeat=LOOKUP)))), ",")
+    parts, done = [], 0
+    while done < k:
+        size = min(LOOKUP, k - done)
+        done += size
+        code = F.shiftright(x, 2 * (k - done)).bitwiseAND((1 << (2 * size)) - 1).cast("int")
+        parts.append(F.substring(F.get(words, code), LOOKUP - size + 1, size) if size < LOOKUP else F.get(words, code))
+    return F.concat(*parts)
+
+
+def _packed_counts(reads: DataFrame, k: int, by: str | None) -> DataFrame:
+    if k > 31:
+        raise ValueError("k must be at most 31")
+    rows = reads.select(*([F.col(by).alias("by")] if by else []), _pair_text().alias("t"))
+    parts = rows.mapInArrow(_counted(k, bool(by)), ("by string, " if by else "") + "x bigint, n bigint")
+    return parts.groupBy(*(["by"] if by else []), "x").agg(F.sum("n").alias("n"))
 
 
 def kmer_counts(reads: DataFrame, k: int, *, by: str | None = "source") -> DataFrame:
@@ -82,12 +104,7 @@ def kmer_counts(reads: DataFrame, k: int, *, by: str | None = "source") -> DataF
     K-mers travel as numbers of two bits a base, already counted within each batch of reads; letters are
     written only for the result.
     """
-    if k > 31:
-        raise ValueError("k must be at most 31")
-    rows = reads.select(*([F.col(by).alias("by")] if by else []), _pair_text().alias("t"))
-    parts = rows.mapInArrow(_counted(k, bool(by)), ("by string, " if by else "") + "x bigint, n bigint")
-    counts = parts.groupBy(*(["by"] if by else []), "x").agg(F.sum("n").alias("n"))
-    return counts.select(*([F.col("by").alias(by)] if by else []), _unpacked(F.col("x"), k).alias("kmer"), "n")
+    return _packed_counts(reads, k, by).select(*([F.col("by").alias(by)] if by else []), _unpacked(F.col("x"), k).alias("kmer"), "n")
 
 
 def saturation(min_count: int) -> int:
@@ -97,8 +114,9 @@ def saturation(min_count: int) -> int:
 
 def high_freq_kmers(reads: DataFrame, k: int, *, min_count: int = 2000) -> DataFrame:
     """``(kmer, max_count)``: k-mers that some file holds at least ``min_count`` times; counts saturate, the largest file's stands."""
-    counts = kmer_counts(reads.where("source is not null"), k).where(F.col("n") >= min_count)
-    return counts.groupBy("kmer").agg(F.least(F.max("n"), F.lit(saturation(min_count))).alias("max_count"))
+    counts = _packed_counts(reads.where("source is not null"), k, "source").where(F.col("n") >= min_count)
+    most = counts.groupBy("x").agg(F.least(F.max("n"), F.lit(saturation(min_count))).alias("max_count"))
+    return most.select(_unpacked(F.col("x"), k).alias("kmer"), "max_count")
 
 
 def _hits(k: int, wanted: np.ndarray):
@@ -140,6 +158,7 @@ def mark_reads(reads: DataFrame, wanted: DataFrame, k: int, *, limit: int = BROA
     """
     if k > 31:
         raise ValueError("k must be at most 31")
+    wanted = cut(wanted.select("kmer"))
     n = wanted.count()
     if n <= limit:
         rows = wanted.select(_pack_kmers(F.col("kmer"), k).alias("x")).toArrow().column("x").to_numpy()

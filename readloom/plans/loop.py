@@ -60,7 +60,7 @@ def outward_assembly(reads: DataFrame, seeds: DataFrame, p: LoopParams = LoopPar
     metrics: list[dict] = []
     for round_ in range(1, p.max_iters + 1):
         query = prepare_query(contigs, p.read_k, warm_start=warm_start if round_ == 1 else None, adapters=adapters)
-        found = cut(read_filter(reads, cut(query), p.read_k))
+        found = cut(read_filter(reads, query, p.read_k))
         if exceeds(found, p.excess_reads):
             break
         if adapters is not None:
