@@ -26,6 +26,11 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "read_pairs")
 
 
+def _searched(spark: SparkSession, d: str) -> DataFrame:
+    """What read search needs of the pairs: whole rows go through its tasks, so others are not read."""
+    return _pairs(spark, d).select("source", "ordinal", "read_id", "fwd_seq", "rev_seq")
+
+
 def _seqs(spark: SparkSession, d: str, kind: str) -> DataFrame:
     return table(spark, d, "seqs").where(F.col("kind") == kind)
 
@@ -35,17 +40,17 @@ def _wanted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def read_filter(spark: SparkSession, d: str) -> DataFrame:
-    return kmers.read_filter(_pairs(spark, d), _wanted(spark, d), K).select("source", "ordinal", "read_id")
+    return kmers.read_filter(_searched(spark, d), _wanted(spark, d), K).select("source", "ordinal", "read_id")
 
 
 def read_filter_joined(spark: SparkSession, d: str) -> DataFrame:
     """The same where the k-mers are too many to send to every task."""
-    return kmers.read_filter(_pairs(spark, d), _wanted(spark, d), K, limit=0).select("source", "ordinal", "read_id")
+    return kmers.read_filter(_searched(spark, d), _wanted(spark, d), K, limit=0).select("source", "ordinal", "read_id")
 
 
 def read_anti_filter(spark: SparkSession, d: str) -> DataFrame:
     high = kmers.high_freq_kmers(_pairs(spark, d), FREQ_K, min_count=FREQ_MIN)
-    return kmers.read_anti_filter(_pairs(spark, d), high, FREQ_K).select("source", "ordinal", "read_id")
+    return kmers.read_anti_filter(_searched(spark, d), high, FREQ_K).select("source", "ordinal", "read_id")
 
 
 def kmer_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -180,14 +185,14 @@ def pileup_pairs(spark: SparkSession, d: str) -> DataFrame:
 def _landed(spark: SparkSession, d: str, make: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """What a stream over the read pairs' files writes until none is left."""
     out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    stream = make(search.stream_pairs(spark, f"{d}/read_pairs.parquet*", _pairs(spark, d).schema))
+    stream = make(search.stream_pairs(spark, f"{d}/read_pairs.parquet*", table(spark, d, "read_pairs").schema))
     search.land(stream, f"{out}/rows", f"{out}/checkpoint", mode).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
 def stream_read_filter(spark: SparkSession, d: str) -> DataFrame:
     wanted = _wanted(spark, d)
-    return _landed(spark, d, lambda s: search.stream_filter(s, wanted, K).select("source", "ordinal", "read_id"))
+    return _landed(spark, d, lambda s: search.stream_filter(s.select("source", "ordinal", "read_id", "fwd_seq", "rev_seq"), wanted, K).select("source", "ordinal", "read_id"))
 
 
 def stream_first_deliveries(spark: SparkSession, d: str) -> DataFrame:

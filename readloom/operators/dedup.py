@@ -40,10 +40,13 @@ def minimizer(seq: Column, window: int, p: DedupParams) -> Column:
     return F.coalesce(F.array_min(hashes), F.lit(NO_KMER).cast("bigint"))
 
 
-def bucket_keys(fwd: Column, rev: Column, p: DedupParams) -> Column:
+def minimizers(seq: Column, p: DedupParams) -> Column:
+    """The distinct minimizers of a sequence's windows."""
+    return F.array_distinct(F.array(*(minimizer(seq, w, p) for w in range(p.num_windows))))
+
+
+def bucket_keys(f: Column, r: Column, p: DedupParams) -> Column:
     """The distinct pairs of the mates' minimizers; tolerant: also turned round."""
-    f = F.array_distinct(F.array(*(minimizer(fwd, w, p) for w in range(p.num_windows))))
-    r = F.array_distinct(F.array(*(minimizer(rev, w, p) for w in range(p.num_windows))))
 
     def pairs(a: Column, b: Column, turned: bool) -> Column:
         return F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.struct((y if turned else x).alias("fh"), (x if turned else y).alias("rh")))))
@@ -81,8 +84,8 @@ def read_classes(reads: DataFrame, p: DedupParams) -> DataFrame:
 
 def dedup_candidates(classes: DataFrame, p: DedupParams) -> DataFrame:
     """``(a, b)`` with a < b: classes that share a bucket key. Classes with an empty mate match nothing and are left out."""
-    keys = classes.where("length(fwd) > 0 and length(rev) > 0").select("class_id", F.explode(bucket_keys(F.col("fwd"), F.col("rev"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
-    keys = cut(keys)
+    hashes = cut(classes.where("length(fwd) > 0 and length(rev) > 0").select("class_id", minimizers(F.col("fwd"), p).alias("f"), minimizers(F.col("rev"), p).alias("r")))
+    keys = hashes.select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
     other = keys.withColumnRenamed("class_id", "b")
     return keys.withColumnRenamed("class_id", "a").join(other, ["fh", "rh"]).where("a < b").select("a", "b").distinct()
 

@@ -23,7 +23,8 @@ def place_reads(reads: DataFrame, contigs: DataFrame, *, k: int = 21, min_anchor
     """
     keyed = contigs.where("seq is not null").select("idx", clean_seq("seq").alias("c"))
     anchors = keyed.select("idx", F.posexplode(kmers(F.col("c"), k)).alias("at", "kmer")).where(~F.contains("kmer", F.lit("N")))
-    near = read_filter(reads, contigs.select(F.explode(canonical_kmers(clean_seq("seq"), k)).alias("kmer")).distinct(), k)
+    slim = reads.select("source", "ordinal", "read_id", "fwd_seq", "rev_seq")
+    near = read_filter(slim, contigs.select(F.explode(canonical_kmers(clean_seq("seq"), k)).alias("kmer")).distinct(), k)
     mate = F.explode(F.array(*(F.struct(F.lit(m).alias("mate"), clean_seq(f"{m}_seq").alias("s")) for m in ("fwd", "rev"))))
     mates = near.select("source", "ordinal", "read_id", mate.alias("x")).select("source", "ordinal", "read_id", "x.mate", "x.s").where(F.length("s") >= k).distinct()
     strands = mates.withColumn("st", F.explode(F.array(F.lit(0), F.lit(16)))).withColumn("s", F.when(F.col("st") == 16, reverse_complement(F.col("s"))).otherwise(F.col("s")))
@@ -35,10 +36,11 @@ def place_reads(reads: DataFrame, contigs: DataFrame, *, k: int = 21, min_anchor
     best = best.withColumns({"lo": lo, "hi": hi}).where("hi > lo")
     score = F.transform(F.sequence(F.col("lo"), F.col("hi") - 1), lambda i: F.when(F.substr(F.col("s"), i + 1, F.lit(1)) == F.substr(F.col("c"), i + F.col("shift") + 1, F.lit(1)), MATCH).otherwise(MISMATCH))
     best = best.withColumn("score", score)
-    # the stretch of largest sum: (sum, start) so far, and the best (sum, start, end) seen
-    part = F.expr("""aggregate(sequence(0, size(score) - 1), named_struct('s', 0, 'a', 0, 'bs', 0, 'ba', 0, 'be', 0),
-        (z, i) -> CASE WHEN z.s <= 0 THEN CASE WHEN score[i] > z.bs THEN named_struct('s', score[i], 'a', i, 'bs', score[i], 'ba', i, 'be', i + 1) ELSE named_struct('s', score[i], 'a', i, 'bs', z.bs, 'ba', z.ba, 'be', z.be) END
-             ELSE CASE WHEN z.s + score[i] > z.bs THEN named_struct('s', z.s + score[i], 'a', z.a, 'bs', z.s + score[i], 'ba', z.a, 'be', i + 1) ELSE named_struct('s', z.s + score[i], 'a', z.a, 'bs', z.bs, 'ba', z.ba, 'be', z.be) END END)""")
+    # the stretch of largest sum: its sum and start so far, and the best one's sum, start and end; i counts the places
+    part = F.expr("""aggregate(score, named_struct('i', 0, 's', 0, 'a', 0, 'bs', 0, 'ba', 0, 'be', 0), (z, x) ->
+        IF(greatest(z.s, 0) + x > z.bs,
+           named_struct('i', z.i + 1, 's', greatest(z.s, 0) + x, 'a', IF(z.s <= 0, z.i, z.a), 'bs', greatest(z.s, 0) + x, 'ba', IF(z.s <= 0, z.i, z.a), 'be', z.i + 1),
+           named_struct('i', z.i + 1, 's', greatest(z.s, 0) + x, 'a', IF(z.s <= 0, z.i, z.a), 'bs', z.bs, 'ba', z.ba, 'be', z.be)))""")
     best = best.withColumn("p", part).where("p.bs > 0")
     left, size = F.col("lo") + F.col("p.ba"), F.col("p.be") - F.col("p.ba")
     piece = lambda op, n: F.struct(F.lit(op).alias("op"), n.cast("int").alias("len"))

@@ -78,7 +78,7 @@ def test_dedup_against_all_pairs(spark, tolerant):
     data = [pair(f"r{i:03d}", f, b, fq="".join(chr(33 + r.randrange(40)) for _ in f)) for i, (f, b) in enumerate(seqs)]
     df = pairs(spark, data)
     classes = dedup.read_classes(df, p)
-    got = {x["class_id"]: x for x in classes.select("class_id", dedup.bucket_keys(F.col("fwd"), F.col("rev"), p).alias("k"), dedup.minimizer(F.col("fwd"), 1, p).alias("m")).collect()}
+    got = {x["class_id"]: x for x in classes.select("class_id", dedup.bucket_keys(dedup.minimizers(F.col("fwd"), p), dedup.minimizers(F.col("rev"), p), p).alias("k"), dedup.minimizer(F.col("fwd"), 1, p).alias("m")).collect()}
     by = {}
     for i, s in enumerate(seqs):
         by.setdefault(s, []).append(i)
