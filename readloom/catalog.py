@@ -157,8 +157,8 @@ def contigs(spark: SparkSession, d: str) -> DataFrame:
     return assemble.assemble(_pairs(spark, d), k=31, min_count=2, min_contig_len=200)
 
 
-def outward_contigs(spark: SparkSession, d: str) -> DataFrame:
-    found, _ = loop.outward_assembly(_pairs(spark, d), _seqs(spark, d, "seed"), loop.LoopParams(read_k=K, max_iters=2, excess_reads=10_000_000), adapters=_seqs(spark, d, "adapter"))
+def grown_contigs(spark: SparkSession, d: str) -> DataFrame:
+    found, _ = loop.grow_contigs(_pairs(spark, d), _seqs(spark, d, "seed"), loop.LoopParams(read_k=K, max_iters=2, excess_reads=10_000_000), adapters=_seqs(spark, d, "adapter"))
     return found.select("seq", F.length("seq").alias("n"))
 
 
@@ -202,7 +202,7 @@ def stream_first_deliveries(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         read_filter, read_filter_joined, read_anti_filter, kmer_counts, kmer_counts_by_source, high_freq_kmers, high_freq_records, sanitized_kmers, seed_containment, seed_positions, oriented_mates,
-        overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, outward_contigs,
+        overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs,
         placed_reads, pileup_columns, pileup_pairs, stream_read_filter, stream_first_deliveries,
     )
     return {f.__name__: f for f in every}

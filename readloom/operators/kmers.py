@@ -78,7 +78,7 @@ def _counted(k: int, keyed: bool):
 LOOKUP = 6
 
 
-def _unpacked(x: Column, k: int) -> Column:
+def unpacked(x: Column, k: int) -> Column:
     """The letters of packed k-mers, a few bases at a time from a constant list of all their words."""
     words = F.split(F.lit(",".join(map("".join, product("ACGT", repeat=LOOKUP)))), ",")
     parts, done = [], 0
@@ -90,7 +90,8 @@ def _unpacked(x: Column, k: int) -> Column:
     return F.concat(*parts)
 
 
-def _packed_counts(reads: DataFrame, k: int, by: str | None) -> DataFrame:
+def packed_counts(reads: DataFrame, k: int, by: str | None) -> DataFrame:
+    """``kmer_counts`` with k-mers as numbers: ``(by, x, n)``."""
     if k > 31:
         raise ValueError("k must be at most 31")
     rows = reads.select(*([F.col(by).alias("by")] if by else []), _pair_text().alias("t"))
@@ -104,7 +105,7 @@ def kmer_counts(reads: DataFrame, k: int, *, by: str | None = "source") -> DataF
     K-mers travel as numbers of two bits a base, already counted within each batch of reads; letters are
     written only for the result.
     """
-    return _packed_counts(reads, k, by).select(*([F.col("by").alias(by)] if by else []), _unpacked(F.col("x"), k).alias("kmer"), "n")
+    return packed_counts(reads, k, by).select(*([F.col("by").alias(by)] if by else []), unpacked(F.col("x"), k).alias("kmer"), "n")
 
 
 def saturation(min_count: int) -> int:
@@ -114,9 +115,9 @@ def saturation(min_count: int) -> int:
 
 def high_freq_kmers(reads: DataFrame, k: int, *, min_count: int = 2000) -> DataFrame:
     """``(kmer, max_count)``: k-mers that some file holds at least ``min_count`` times; counts saturate, the largest file's stands."""
-    counts = _packed_counts(reads.where("source is not null"), k, "source").where(F.col("n") >= min_count)
+    counts = packed_counts(reads.where("source is not null"), k, "source").where(F.col("n") >= min_count)
     most = counts.groupBy("x").agg(F.least(F.max("n"), F.lit(saturation(min_count))).alias("max_count"))
-    return most.select(_unpacked(F.col("x"), k).alias("kmer"), "max_count")
+    return most.select(unpacked(F.col("x"), k).alias("kmer"), "max_count")
 
 
 def _hits(k: int, wanted: np.ndarray):

@@ -1,46 +1,93 @@
-"""Contigs from read pairs: a de Bruijn graph, its tips removed and its unbranched ways joined, all as Spark jobs."""
+"""Contigs from read pairs: a de Bruijn graph, its tips removed and its unbranched ways joined, all as Spark jobs.
+
+K-mers are packed numbers (two bits a base, at most 31 bases); letters are written only for the contigs.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from readloom.functions import packed as P
 from readloom.functions.seqs import reverse_complement
-from readloom.operators.kmers import kmer_counts
+from readloom.operators.kmers import packed_counts, unpacked
 from readloom.session import cut
 
 
 def solid_kmers(reads: DataFrame, k: int, min_count: int) -> DataFrame:
-    """``(kmer, n)``: canonical k-mers seen at least ``min_count`` times."""
-    return kmer_counts(reads, k, by=None).where(F.col("n") >= min_count)
+    """``(x, n)``: canonical k-mers seen at least ``min_count`` times."""
+    return packed_counts(reads, k, None).where(F.col("n") >= min_count)
+
+
+def _strands(k: int):
+    def strands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            n = batch.column(1).to_numpy(zero_copy_only=False)
+            r = P.rc_packed(x.astype(np.uint64), k).astype(np.int64)
+            two = r != x
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(x, r[two])), pa.array(np.append(r, x[two])), pa.array(np.append(n, n[two]))], ["x", "r", "n"])
 
+    return strands
 
-def _oriented(solid: DataFrame) -> DataFrame:
-    both = solid.select("kmer", "n").unionByName(solid.select(reverse_complement(F.col("kmer")).alias("kmer"), "n"))
-    return both.distinct()
+
+def _nodes(solid: DataFrame, k: int) -> DataFrame:
+    """``(x, r, n)``: each k-mer on both strands, with its reverse complement r."""
+    return solid.select("x", "n").mapInArrow(_strands(k), "x bigint, r bigint, n bigint")
 
 
 def _junctions(nodes: DataFrame, k: int) -> DataFrame:
-    """``(j, n_in, n_out, a, b)``: for each (k-1)-mer, the nodes that end and begin with it."""
-    ends = nodes.select(F.substring("kmer", 2, k - 1).alias("j"), F.col("kmer").alias("a"), F.lit(None).cast("string").alias("b"))
-    begins = nodes.select(F.substring("kmer", 1, k - 1).alias("j"), F.lit(None).cast("string").alias("a"), F.col("kmer").alias("b"))
-    return ends.unionByName(begins).groupBy("j").agg(F.count("a").alias("n_in"), F.count("b").alias("n_out"), F.max("a").alias("a"), F.max("b").alias("b"))
+    """``(j, n_in, n_out, a, b, rb)``: for each (k-1)-mer, the nodes that end and begin with it."""
+    none = F.lit(None).cast("bigint")
+    ends = nodes.select(F.col("x").bitwiseAND((1 << 2 * (k - 1)) - 1).alias("j"), F.col("x").alias("a"), none.alias("b"), none.alias("rb"))
+    begins = nodes.select(F.shiftright("x", 2).alias("j"), none.alias("a"), F.col("x").alias("b"), F.col("r").alias("rb"))
+    return ends.unionByName(begins).groupBy("j").agg(F.count("a").alias("n_in"), F.count("b").alias("n_out"), F.max("a").alias("a"), F.max("b").alias("b"), F.max("rb").alias("rb"))
 
 
 def _ways(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(kmer, head, dist)``: each node's place on its unbranched way, by pointer doubling; a circle begins at its smallest node."""
-    state = cut(nodes.select("kmer").join(links.select(F.col("b").alias("kmer"), F.col("a").alias("up")), "kmer", "left").select("kmer", F.coalesce("up", "kmer").alias("head"), F.when(F.col("up").isNotNull(), 1).otherwise(0).alias("dist"), F.col("up").isNull().alias("done"), F.least("kmer", "up").alias("low")))
-    left, rounds = state.where("not done").count(), 0
+    """``(x, head, dist)``: each node's place on its unbranched way, by pointer doubling; a circle begins at its smallest node.
+
+    A round is one join of the nodes that have not found their head yet; there are about log2 of the longest way.
+    """
+    start = cut(nodes.select("x").join(links.select(F.col("b").alias("x"), F.col("a").alias("up")), "x", "left"))
+    settled = start.where("up is null").select("x", F.col("x").alias("head"), F.lit(0).alias("dist"))
+    active = start.where("up is not null").select("x", F.col("up").alias("head"), F.lit(1).alias("dist"), F.least("x", "up").alias("low"))
+    left, rounds = active.count(), 0
     limit = max(1, left).bit_length() + 1
     while left and rounds < limit:
-        over = state.select(F.col("kmer").alias("head"), F.col("head").alias("h2"), F.col("dist").alias("d2"), F.col("done").alias("done2"), F.col("low").alias("low2"))
-        state = cut(state.join(over, "head").select("kmer", F.col("h2").alias("head"), F.when(F.col("done"), F.col("dist")).otherwise(F.col("dist") + F.col("d2")).alias("dist"), (F.col("done") | F.col("done2")).alias("done"), F.least("low", "low2").alias("low")))
-        left, rounds = state.where("not done").count(), rounds + 1
+        rounds += 1
+        target = settled.select(F.col("x").alias("t"), F.col("head").alias("h2"), F.col("dist").alias("d2"), F.col("x").alias("low2"), F.lit(True).alias("done")).unionByName(active.select(F.col("x").alias("t"), F.col("head").alias("h2"), F.col("dist").alias("d2"), F.col("low").alias("low2"), F.lit(False).alias("done")))
+        moved = cut(active.join(target, active["head"] == target["t"]).select("x", F.col("h2").alias("head"), (F.col("dist") + F.col("d2")).alias("dist"), F.least("low", "low2").alias("low"), "done"))
+        settled = settled.unionByName(moved.where("done").select("x", "head", "dist"))
+        active = moved.where("not done").drop("done")
+        left = active.count()
     if left:  # circles: every node has seen the smallest one; open them there
-        circle = state.where("not done").select("kmer", "low")
-        opened = links.join(circle.select(F.col("kmer").alias("b"), "low"), "b").where("b != low").select("a", "b")
-        return state.where("done").select("kmer", "head", "dist").unionByName(_ways(opened, circle.select("kmer")))
-    return state.select("kmer", "head", "dist")
+        circle = active.select("x", "low")
+        opened = links.join(circle.select(F.col("x").alias("b"), "low"), "b").where("b != low").select("a", "b")
+        return settled.unionByName(_ways(opened, circle.select("x")))
+    return settled
+
+
+def _joined(solid: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The ways of the graph ``(head, seq, multiplicity, dead_ends)`` and the nodes on them ``(x, head)``."""
+    nodes = cut(_nodes(solid, k))
+    meet = cut(_junctions(nodes, k))
+    links = meet.where("n_in = 1 and n_out = 1 and a != b and a != rb").select("a", "b")
+    placed = cut(_ways(links, nodes).join(nodes.select("x", "n"), "x"))
+    way = placed.groupBy("head").agg(F.array_sort(F.collect_list(F.struct("dist", F.substring(F.lit("ACGT"), F.col("x").bitwiseAND(3).cast("int") + 1, F.lit(1)).alias("c")))).alias("steps"), F.avg("n").alias("multiplicity"), F.max_by("x", "dist").alias("tail"))
+    seqs = way.select("head", F.concat(F.substring(unpacked(F.col("head"), k), 1, k - 1), F.array_join(F.transform("steps", lambda s: s["c"]), "")).alias("seq"), "multiplicity", F.shiftright("head", 2).alias("first"), F.col("tail").bitwiseAND((1 << 2 * (k - 1)) - 1).alias("last"))
+    ended = seqs.join(meet.select(F.col("j").alias("first"), "n_in"), "first").join(meet.select(F.col("j").alias("last"), "n_out"), "last")
+    dead = (F.col("n_in") == 0).cast("int") + (F.col("n_out") == 0).cast("int")
+    return cut(ended.select("head", "seq", "multiplicity", dead.alias("dead_ends"))), placed.select("x", "head")
+
+
+def _one_strand(ways: DataFrame) -> DataFrame:
+    one = F.least("seq", reverse_complement(F.col("seq")))
+    return ways.groupBy(one.alias("seq")).agg(F.max("multiplicity").alias("multiplicity"), F.max("dead_ends").alias("dead_ends"))
 
 
 def unitigs(solid: DataFrame, k: int) -> DataFrame:
@@ -49,17 +96,7 @@ def unitigs(solid: DataFrame, k: int) -> DataFrame:
     Nodes are k-mers on either strand; two are joined where one alone ends and one alone begins with their common
     k-1 letters. dead_ends counts the ends that no k-mer continues.
     """
-    nodes = cut(_oriented(solid))
-    meet = cut(_junctions(nodes, k))
-    links = cut(meet.where("n_in = 1 and n_out = 1").where(F.col("a") != F.col("b")).where(F.col("a") != reverse_complement(F.col("b"))).select("a", "b"))
-    placed = _ways(links, nodes).join(nodes, "kmer")
-    way = placed.groupBy("head").agg(F.array_sort(F.collect_list(F.struct("dist", F.substring("kmer", k, 1).alias("c")))).alias("steps"), F.avg("n").alias("multiplicity"))
-    seqs = way.select(F.concat(F.substring("head", 1, k - 1), F.array_join(F.transform("steps", lambda s: s["c"]), "")).alias("seq"), "multiplicity")
-    stops = meet.select("j", (F.col("n_out") == 0).alias("stop"), (F.col("n_in") == 0).alias("start"))
-    ended = seqs.withColumns({"first": F.substring("seq", 1, k - 1), "last": F.expr(f"right(seq, {k - 1})")})
-    ended = ended.join(stops.select(F.col("j").alias("first"), "start"), "first").join(stops.select(F.col("j").alias("last"), "stop"), "last")
-    one = F.least("seq", reverse_complement(F.col("seq")))
-    return ended.select(one.alias("seq"), "multiplicity", (F.col("start").cast("int") + F.col("stop").cast("int")).alias("dead_ends")).groupBy("seq").agg(F.max("multiplicity").alias("multiplicity"), F.max("dead_ends").alias("dead_ends"))
+    return _one_strand(_joined(solid, k)[0])
 
 
 def assemble(reads: DataFrame, *, k: int = 31, min_count: int = 2, min_contig_len: int = 200, tip_rounds: int = 1) -> DataFrame:
@@ -69,15 +106,15 @@ def assemble(reads: DataFrame, *, k: int = 31, min_count: int = 2, min_contig_le
     taken out and the rest is joined again. Reads are counted where they lie; only k-mers are shuffled.
     """
     solid = cut(solid_kmers(reads, k, min_count))
-    found = cut(unitigs(solid, k))
+    ways, placed = _joined(solid, k)
     for _ in range(tip_rounds):
-        tips = found.where((F.length("seq") < 2 * k) & (F.col("dead_ends") == 1))
+        tips = ways.where((F.length("seq") < 2 * k) & (F.col("dead_ends") == 1)).select("head")
         if tips.isEmpty():
             break
-        bad = tips.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substring(F.col("seq"), i, F.lit(k)))).alias("x")).select(F.least("x", reverse_complement(F.col("x"))).alias("kmer")).distinct()
-        solid = cut(solid.join(bad, "kmer", "left_anti"))
-        found = cut(unitigs(solid, k))
-    kept = found.where(F.length("seq") >= min_contig_len)
+        # a way and its other strand are both tips, so both strands' k-mers are among the bad ones
+        solid = cut(solid.join(placed.join(tips, "head", "left_semi").select("x"), "x", "left_anti"))
+        ways, placed = _joined(solid, k)
+    kept = _one_strand(ways).where(F.length("seq") >= min_contig_len)
     # sorted ranges number their rows upwards, so the numbers follow the order without one task seeing all
     ordered = kept.orderBy(F.desc(F.length("seq")), "seq").withColumn("idx", F.monotonically_increasing_id())
     return cut(ordered.select("idx", F.concat(F.lit("contig"), F.col("idx") + 1).alias("id"), "seq", "multiplicity"))

@@ -1,4 +1,4 @@
-"""Outward assembly: search reads by the contigs' k-mers, assemble, keep what holds a seed, until nothing grows."""
+"""Seeded assembly: search reads by the contigs' k-mers, assemble, keep what holds a seed, until nothing grows."""
 
 from __future__ import annotations
 
@@ -48,7 +48,7 @@ def accepted(stats: tuple[int, int], now: tuple[int, int], p: LoopParams) -> boo
     return stats[0] >= now[0] + p.longest_more or (stats[0] == now[0] and stats[1] >= now[1] + p.total_more)
 
 
-def outward_assembly(reads: DataFrame, seeds: DataFrame, p: LoopParams = LoopParams(), *, warm_start: DataFrame | None = None, adapters: DataFrame | None = None, high_freq: DataFrame | None = None) -> tuple[DataFrame, list[dict]]:
+def grow_contigs(reads: DataFrame, seeds: DataFrame, p: LoopParams = LoopParams(), *, warm_start: DataFrame | None = None, adapters: DataFrame | None = None, high_freq: DataFrame | None = None) -> tuple[DataFrame, list[dict]]:
     """The last contigs ``(idx, seq)``, the seeds themselves if nothing grew, and the metrics of each round.
 
     Ends when a search finds more than ``excess_reads`` pairs (that round is not in the metrics), when no variant

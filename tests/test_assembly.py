@@ -44,18 +44,18 @@ def test_every_kmer_is_seen_often_enough_and_tips_go(spark):
     assert assemble.assemble(reads.limit(0), k=15).count() == 0
 
 
-def test_outward_loop_grows_from_the_seed(spark):
+def test_contigs_grow_from_the_seed(spark):
     genome = dna(rng(14), 500)
     reads = pairs(spark, _reads(genome, step=2) + _reads(dna(rng(15), 300), step=3))
     seeds = spark.createDataFrame([(0, rc(genome[240:270]))], "idx int, seq string")
     p = loop.LoopParams(read_k=21, max_iters=8, variants=((21, 1, 60),))
-    contigs, metrics = loop.outward_assembly(reads, seeds, p)
+    contigs, metrics = loop.grow_contigs(reads, seeds, p)
     seq = contigs.collect()[0]["seq"]
     assert rc(genome[240:270]) in seq and len(seq) > 300 and canon(seq) in (genome, rc(genome)) or seq in rc(genome)
     sizes = [m["longest_contig_length"] for m in metrics]
     assert sizes == sorted(sizes) and len(metrics) > 2 and metrics[0]["read_pair_count"] > 0
     # too many reads: the seed itself comes out, and the round is not counted
-    contigs, metrics = loop.outward_assembly(reads, seeds, loop.LoopParams(excess_reads=1))
+    contigs, metrics = loop.grow_contigs(reads, seeds, loop.LoopParams(excess_reads=1))
     assert metrics == [] and contigs.select("seq").collect()[0][0] == rc(genome[240:270])
 
 
