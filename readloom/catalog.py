@@ -96,15 +96,19 @@ def _mates(spark: SparkSession, d: str) -> DataFrame:
     return both.where("length(seq) > 0").distinct().select(F.col("seq").alias("idx"), "seq")
 
 
+def _numbered(mates: DataFrame) -> DataFrame:
+    """Sequences under a short key, as overlaps send keys and not letters."""
+    return mates.select(F.xxhash64("seq").alias("idx"), "seq")
+
+
 def overlap_edges(spark: SparkSession, d: str) -> DataFrame:
-    edges = overlap.overlap_edges(_mates(spark, d), n0=N0, n1=N1)
-    return edges.select(F.md5("src").alias("src"), F.md5("dst").alias("dst"), "orientation")
+    return overlap.overlap_edges(_numbered(_mates(spark, d)), n0=N0, n1=N1)
 
 
 def seed_connected(spark: SparkSession, d: str) -> DataFrame:
-    mates = cut(_mates(spark, d))
+    mates = cut(_numbered(_mates(spark, d)))
     found = containment.seed_containment(mates, _seqs(spark, d, "seed"))
-    return overlap.seed_connected(overlap.overlap_edges(mates, n0=N0, n1=N1), found).select(F.md5("id").alias("id"), "depth")
+    return overlap.seed_connected(overlap.overlap_edges(mates, n0=N0, n1=N1), found).select("id", "depth")
 
 
 def fasta_stats(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,22 +27,25 @@ def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx") ->
     if not 1 <= n0 <= n1:
         raise ValueError("needs 1 <= n0 <= n1")
     half = max(1, n1 // 2)
-    base = seqs.where("seq is not null").select(F.col(id_col).alias("id"), clean_seq("seq").alias("s"))
+    base = cut(seqs.where("seq is not null").select(F.col(id_col).alias("id"), clean_seq("seq").alias("s")))
     both = base.withColumn("o", F.lit(1)).unionByName(base.select("id", reverse_complement(F.col("s")).alias("s"), F.lit(-1).alias("o")))
 
-    def fronts(start: int, size: int, kind: int) -> DataFrame:
-        return both.where(F.length("s") >= start + size).select(F.col("id").alias("fid"), F.col("o").alias("fo"), F.col("s").alias("fs"), F.substring("s", start + 1, size).alias("anchor"), F.lit(start).alias("start"), F.lit(kind).alias("kind"))
+    def fronts(start: int, size: int) -> DataFrame:
+        return both.where(F.length("s") >= start + size).select(F.col("id").alias("fid"), F.col("o").alias("fo"), F.length("s").alias("f_len"), F.xxhash64(F.lit(size), F.substring("s", start + 1, size)).alias("anchor"), F.lit(start).alias("start"))
 
-    def backs(size: int, kind: int) -> DataFrame:
-        return both.select(F.col("id").alias("bid"), F.col("o").alias("bo"), F.col("s").alias("bs"), F.posexplode(kmers(F.col("s"), size)).alias("at", "anchor")).withColumn("kind", F.lit(kind))
+    def backs(size: int) -> DataFrame:
+        at = both.select(F.col("id").alias("bid"), F.col("o").alias("bo"), F.length("s").alias("b_len"), F.posexplode(kmers(F.col("s"), size)).alias("at", "word"))
+        return at.select("bid", "bo", "b_len", "at", F.xxhash64(F.lit(size), "word").alias("anchor"))
 
-    front = fronts(0, n0, 0).unionByName(fronts(0, half, 1)).unionByName(fronts(half, n1 - half, 2))
-    back = backs(n0, 0).unionByName(backs(half, 1)).unionByName(backs(n1 - half, 2))
-    size = F.length("bs") - (F.col("at") - F.col("start"))
-    met = front.join(back, ["kind", "anchor"]).where(F.col("bid") < F.col("fid")).withColumn("size", size)
-    met = met.where((F.col("at") >= F.col("start")) & (F.col("size") >= n0) & (F.col("size") <= F.length("fs"))).dropDuplicates(["bid", "bo", "fid", "fo", "size"])
+    front = fronts(0, n0).unionByName(fronts(0, half)).unionByName(fronts(half, n1 - half))
+    back = reduce(DataFrame.unionByName, [backs(size) for size in sorted({n0, half, n1 - half})])
+    # only ids, places and hashed anchors are joined; the letters come to the pairs that are left, and decide
+    met = front.join(back, "anchor").where(F.col("bid") < F.col("fid")).withColumn("size", F.col("b_len") - (F.col("at") - F.col("start")))
+    met = met.where((F.col("at") >= F.col("start")) & (F.col("size") >= n0) & (F.col("size") <= F.col("f_len"))).select("bid", "bo", "fid", "fo", "size").distinct()
+    turned = lambda s, o: F.when(F.col(o) < 0, reverse_complement(F.col(s))).otherwise(F.col(s)).alias(s)
+    pairs = met.join(base.select(F.col("id").alias("bid"), F.col("s").alias("bs")), "bid").join(base.select(F.col("id").alias("fid"), F.col("s").alias("fs")), "fid").select("bid", "bo", "fid", "fo", "size", turned("bs", "bo"), turned("fs", "fo"))
     suffix, prefix = F.expr("right(bs, size)"), F.expr("left(fs, size)")
-    fits = met.where((suffix == prefix) | ((F.col("size") >= n1) & (_mismatches(suffix, prefix) == 1)))
+    fits = pairs.where((suffix == prefix) | ((F.col("size") >= n1) & (_mismatches(suffix, prefix) == 1)))
     return fits.groupBy(F.col("bid").alias("src"), F.col("fid").alias("dst")).agg(F.max(F.col("bo") * F.col("fo")).alias("orientation"))
 
 

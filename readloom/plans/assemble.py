@@ -64,7 +64,9 @@ def _ways(links: DataFrame, nodes: DataFrame) -> DataFrame:
         moved = cut(active.join(target, active["head"] == target["t"]).select("x", F.col("h2").alias("head"), (F.col("dist") + F.col("d2")).alias("dist"), F.least("low", "low2").alias("low"), "done"))
         settled = settled.unionByName(moved.where("done").select("x", "head", "dist"))
         active = moved.where("not done").drop("done")
-        left = active.count()
+        before, left = left, active.count()
+        if left == before:  # no way is longer than what the rounds have seen: the rest are circles
+            limit = min(limit, max(rounds, left.bit_length() + 1))
     if left:  # circles: every node has seen the smallest one; open them there
         circle = active.select("x", "low")
         opened = links.join(circle.select(F.col("x").alias("b"), "low"), "b").where("b != low").select("a", "b")
