@@ -150,6 +150,11 @@ best AS (SELECT group_id, read_id AS exemplar_id FROM r3 QUALIFY row_number() OV
 bestf AS (SELECT group_id, read_id AS fwd_from FROM r3 WHERE fo QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY fp::DOUBLE / fl DESC, fl DESC, read_id) = 1),
 bestr AS (SELECT group_id, read_id AS rev_from FROM r3 WHERE ro QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY rp::DOUBLE / rl DESC, rl DESC, read_id) = 1)
 SELECT g.group_id, exemplar_id, fwd_from, rev_from FROM (SELECT DISTINCT group_id FROM grouped) g LEFT JOIN best USING (group_id) LEFT JOIN bestf USING (group_id) LEFT JOIN bestr USING (group_id)"""
+# any tokenizer gives the same sources: words of ASCII letters, and every other sign, are one token each
+_SHORT = r"""WITH target AS (SELECT lower(trim(source)) AS source, max(weight::DECIMAL(20, 12)) AS weight, max(max_repeats) AS max_repeats FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+had AS (SELECT lower(regexp_replace(source, '^\s+|\s+$', '', 'g')) AS source, sum(len(regexp_extract_all(coalesce(text, ''), '\w+|[^\w\s]'))) AS n FROM documents GROUP BY 1),
+sized AS (SELECT t.source, weight, max_repeats, coalesce(n, 0) AS n FROM target t LEFT JOIN had h ON t.source = h.source)
+SELECT source FROM sized WHERE max_repeats * n < weight * (SELECT sum(n) FROM sized)"""
 _SPANS = f"""WITH {_RECORDS},
 mate AS (SELECT read_id, 'fwd' AS mate, fwd AS s FROM records UNION ALL SELECT read_id, 'rev', rev FROM records),
 span AS (SELECT read_id, mate, i, substr(s, i::INT, 50) AS x FROM (SELECT *, unnest(range(1, length(s) - 48)) AS i FROM mate WHERE length(s) >= 50)),
@@ -168,5 +173,6 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": f"WITH RECURSIVE {_LINK} SELECT read_id, group_id FROM grouped",
         "p4_found": _CHOSEN,
         "p5_found": _SPANS + "SELECT DISTINCT read_id, mate FROM hit",
+        "p7_found": _SHORT,
         "p5_shared_spans": _SPANS + "SELECT read_id, mate, count(DISTINCT i + j) AS shared_bases FROM hit, range(0, 50) r(j) GROUP BY read_id, mate",
     }
