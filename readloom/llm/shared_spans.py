@@ -76,9 +76,11 @@ def _blocks(span: int, ranges: int) -> Callable:
         def send() -> pa.RecordBatch:
             h, bases, size, off, first, key, owner = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            spread = P.mix32(h ^ np.uint32(0x5BD1E995))  # smallest hashes are small; scattered again they fill the ranges evenly
-            order = np.argsort(spread)
-            part = ((spread[order].astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
+            # smallest hashes are small; scattered again they fill the ranges evenly
+            part = ((P.mix32(h ^ np.uint32(0x5BD1E995)).astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
+            order = np.lexsort((size, part))  # by size, so that the zeros behind short runs lie together
+            part = part[order]
+            first = first.astype(np.uint16 if first.max() < 1 << 16 else np.uint32)
             cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
             cols: list[list] = [[] for _ in range(7)]
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -114,7 +116,7 @@ def _shared(span: int) -> Callable:
         for batch in batches:
             for bases, sizes, offs, firsts, keys, owners in zip(*(batch.column(i).to_pylist() for i in range(1, 7))):
                 n = len(sizes)
-                held.append((np.frombuffer(bases, np.uint8).reshape(width, n).T, np.frombuffer(sizes, np.uint8), np.frombuffer(offs, off_type), np.frombuffer(firsts, np.uint32), np.frombuffer(keys, np.int64), np.frombuffer(owners, np.int64)))
+                held.append((np.frombuffer(bases, np.uint8).reshape(width, n).T, np.frombuffer(sizes, np.uint8), np.frombuffer(offs, off_type), np.frombuffer(firsts, np.uint32 if len(firsts) == 4 * n else np.uint16).astype(np.uint32), np.frombuffer(keys, np.int64), np.frombuffer(owners, np.int64)))
         if not held:
             return
         bases, size, off, first, key, owner = (np.concatenate(x) for x in zip(*held))
