@@ -161,11 +161,22 @@ def contigs(spark: SparkSession, d: str) -> DataFrame:
     return assemble.assemble(_pairs(spark, d), k=31, min_count=2, min_contig_len=200)
 
 
-def grown_contigs(spark: SparkSession, d: str) -> DataFrame:
-    found, _ = loop.grow_contigs(_pairs(spark, d), _seqs(spark, d, "seed"), loop.LoopParams(read_k=K, max_iters=2, excess_reads=10_000_000), adapters=_seqs(spark, d, "adapter"))
+def _grown(spark: SparkSession, d: str, *, overlaps: bool) -> DataFrame:
+    high = cut(high_freq_kmers(spark, d))
+    p = loop.LoopParams(read_k=K, freq_k=FREQ_K, excess_reads=10_000_000, overlaps=overlaps)
+    found, _ = loop.grow_contigs(_pairs(spark, d), _seqs(spark, d, "seed"), p, warm_start=_seqs(spark, d, "contig"), adapters=_seqs(spark, d, "adapter"), high_freq=high)
     return found.select("seq", F.length("seq").alias("n"))
 
 
+def grown_contigs(spark: SparkSession, d: str) -> DataFrame:
+    return _grown(spark, d, overlaps=False)
+
+
+def grown_contigs_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """The same, with the contigs that overlaps connect to those that hold a seed."""
+    return _grown(spark, d, overlaps=True)
+
+
 def _placed(spark: SparkSession, d: str) -> DataFrame:
     return pileup.place_reads(_pairs(spark, d), _seqs(spark, d, "contig"), k=K)
 
@@ -206,7 +217,7 @@ def stream_first_deliveries(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         read_filter, read_filter_joined, read_anti_filter, kmer_counts, kmer_counts_by_source, high_freq_kmers, high_freq_records, sanitized_kmers, seed_containment, seed_positions, oriented_mates,
-        overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs,
+        overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs, grown_contigs_overlaps,
         placed_reads, pileup_columns, pileup_pairs, stream_read_filter, stream_first_deliveries,
     )
     return {f.__name__: f for f in every}

@@ -68,3 +68,24 @@ def test_acceptance():
 def test_stats(spark):
     df = spark.createDataFrame([("AC",), ("ACGT",)], "seq string")
     assert loop.fasta_stats(df) == (4, 6) and loop.fasta_stats(df.where(F.lit(False))) == (0, 0)
+
+
+def test_registered_growing_is_the_whole_loop(spark, tmp_path, monkeypatch):
+    from readloom import catalog
+
+    genome = dna(rng(16), 120)
+    pairs(spark, _reads(genome, step=5) * 8).write.parquet(str(tmp_path / "read_pairs.parquet"))
+    kinds = [(0, "seed", genome[40:70]), (1, "contig", genome[:100]), (2, "adapter", "GATTACAGATTACAGATTACA")]
+    spark.createDataFrame(kinds, "idx int, kind string, seq string").write.parquet(str(tmp_path / "seqs.parquet"))
+    calls = []
+
+    def grow(reads, seeds, p, **tables):
+        calls.append((p, {k: v.count() for k, v in tables.items()}))
+        return seeds, []
+
+    monkeypatch.setattr(loop, "grow_contigs", grow)
+    for name in ("grown_contigs", "grown_contigs_overlaps"):
+        catalog.queries()[name](spark, str(tmp_path))
+    assert [p.overlaps for p, _ in calls] == [False, True]
+    for p, tables in calls:
+        assert p.max_iters == 20 and tables["warm_start"] == tables["adapters"] == 1 and tables["high_freq"] > 0
