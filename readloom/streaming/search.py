@@ -8,6 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from readloom.operators.kmers import mark_reads
 
+#: The state store that holds more than memory does.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_pairs(spark, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
@@ -25,10 +28,13 @@ def deliveries(pairs: DataFrame, *, window: str = "1 hour", late: str = "2 days"
     return counted.select("source", F.col("w.start").alias("start"), "n")
 
 
-def first_deliveries(pairs: DataFrame, *, late: str = "2 days") -> DataFrame:
-    """The first row of each read_id as it lands; later deliveries within ``late`` are dropped."""
-    timed = pairs.where("read_id is not null").withColumn("at", F.coalesce(F.col("received_at").cast("timestamp"), F.current_timestamp())).withWatermark("at", late)
-    return timed.dropDuplicatesWithinWatermark(["read_id"])
+def first_deliveries(pairs: DataFrame) -> DataFrame:
+    """The first row of each read_id as it lands, whatever its time; later deliveries are dropped, however late.
+
+    Every read_id seen stays in the state, which RocksDB keeps on the executors' disks.
+    """
+    pairs.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return pairs.where("read_id is not null").dropDuplicates(["read_id"])
 
 
 def land(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

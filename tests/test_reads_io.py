@@ -146,3 +146,16 @@ def test_streams(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out2")).collect()) == ["a", "b"]
     timed = df.withColumn("received_at", F.lit("2031-01-01 00:10:00").cast("timestamp_ntz"))
     assert search.deliveries(timed).first()["n"] == 3
+
+
+def test_first_deliveries_of_many_batches_in_any_order(spark, tmp_path):
+    days = ["2032-03-01", "2031-01-05", None, "2031-06-01", "2031-01-01"]
+    seq = dna(rng(24), 30)
+    for i, day in enumerate(days):
+        df = pairs(spark, [pair(f"only{i}", seq, seq), pair("again", seq, seq)]).withColumn("received_at", F.lit(day).cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = search.land(search.first_deliveries(stream).select("read_id"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == len(days)
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["again"] + [f"only{i}" for i in range(len(days))]
