@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.seqs import canonical, clean_seq, kmers
@@ -15,6 +17,10 @@ from readloom.session import cut
 NEAR_LETTERS = 400
 #: The key of a window without a k-mer.
 NO_KMER = -1
+#: Roots of a block in a large component, at least and at most; Spark limits windows to so many rows before they are shuffled.
+LEAST_ROOTS, MAX_ROOTS = 16, 1_000
+#: Steps whose tables one plan reads.
+PLAN_STEPS = 50
 
 
 @dataclass(frozen=True)
@@ -25,7 +31,7 @@ class DedupParams:
     num_windows: int = 3
     window_len: int = 25
     kmer_len: int = 7
-    #: Classes of a component up to which each one's distance to all others is worked out.
+    #: Classes of a component up to which distances spread from all at once; beyond, from blocks of about max_component ** 2 / classes.
     max_component: int = 2_000
 
     def __post_init__(self):
@@ -102,28 +108,57 @@ def dedup_edges(classes: DataFrame, p: DedupParams) -> DataFrame:
     return met.where(same).select("a", "b")
 
 
-def eccentricities(edges: DataFrame, members: DataFrame, p: DedupParams) -> DataFrame:
+def _distances(starts: DataFrame, ways: DataFrame) -> DataFrame:
+    """``(root, node, dist)`` of all that each node of starts reaches, one join a step."""
+    done, fronts = [], [cut(starts.select(F.col("node").alias("root"), "node", F.lit(0).alias("dist")))]
+    for d in count(1):
+        step = fronts[-1].join(ways, fronts[-1]["node"] == ways["x"]).select("root", F.col("y").alias("node")).distinct()
+        # ways lead both ways, so what is known of a step lies in the last two
+        known = reduce(DataFrame.unionByName, fronts[-2:])
+        front = cut(step.join(known, ["root", "node"], "left_anti").withColumn("dist", F.lit(d)))
+        if front.isEmpty():
+            break
+        fronts.append(front)
+        if len(fronts) > PLAN_STEPS:  # plans of very many tables are slow
+            done, fronts = [cut(reduce(DataFrame.unionByName, done + fronts[:-2]))], fronts[-2:]
+    return reduce(DataFrame.unionByName, done + fronts)
+
+
+def eccentricities(edges: DataFrame, members: DataFrame, p: DedupParams, prefer: DataFrame | None = None) -> DataFrame:
     """``(node, ecc)``: each node's largest distance to a node of its component; members has node and component.
 
-    Distances spread from every node at once, one join a step. In components beyond ``max_component``
-    they spread from the two nodes of most links only, so the work stays in proportion.
+    Up to ``max_component`` classes distances spread from every node at once. In larger components they spread from
+    blocks of nodes: a node at distance d of a root with eccentricity e has one of at least max(d, e - d) and at most
+    e + d, and what cannot be the least any more drops out. The least eccentricity is exact there; nodes that dropped
+    out get a lower bound, which is more. With prefer, ``(node, prefer)``, nodes that others of smaller prefer beat
+    drop out too, so that the smallest (ecc, prefer) is exact; the others' are not smaller.
     """
     ways = cut(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct())
-    size = members.groupBy("component").agg(F.count("*").alias("n"))
+    size = cut(members.groupBy("component").agg(F.count("*").alias("n")))
+    small = members.join(size.where(F.col("n") <= p.max_component), "component")
+    exact = _distances(small, ways).groupBy(F.col("root").alias("node")).agg(F.max("dist").alias("ecc"))
+    large = size.where(F.col("n") > p.max_component)
+    if large.isEmpty():
+        return exact
     degree = ways.groupBy(F.col("x").alias("node")).agg(F.count("*").alias("links"))
-    big = members.join(size.where(F.col("n") > p.max_component), "component").join(degree, "node")
-    pivots = big.groupBy("component").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("links")).alias("k"), "node"))), 1, 2).alias("top")).select(F.explode("top.node").alias("node"))
-    starts = members.join(size.where(F.col("n") <= p.max_component), "component").select("node").unionByName(pivots)
-    known = cut(starts.select(F.col("node").alias("root"), "node", F.lit(0).alias("dist")))
-    front, d = known, 0
-    while True:
-        d += 1
-        step = front.join(ways, front["node"] == ways["x"]).select("root", F.col("y").alias("node")).distinct()
-        front = cut(step.join(known, ["root", "node"], "left_anti").withColumn("dist", F.lit(d)))
-        if front.isEmpty():
+    nodes = members.join(large, "component").join(degree, "node")
+    nodes = nodes.join(prefer, "node") if prefer is not None else nodes.withColumn("prefer", F.lit(0))
+    everywhere = F.col("links") == F.col("n") - 1
+    bounds = cut(nodes.withColumn("low", F.when(everywhere, 1).otherwise(2).cast("bigint")).withColumn("high", F.when(everywhere, 1).otherwise(F.col("n") - F.col("links"))))
+    for turn in count():
+        best = bounds.groupBy("component").agg(F.min(F.struct("high", "prefer")).alias("best"))
+        left = bounds.join(best, "component").where((F.col("low") < F.col("high")) & (F.struct(F.col("low").alias("high"), "prefer") <= F.col("best")))
+        # in turn the likeliest centres, which lower the upper bounds, and the farthest nodes, which raise the lower ones
+        order = [F.col("high").desc(), F.col("low"), F.col("node")] if turn % 2 else [F.col("low"), F.col("prefer"), F.col("links").desc(), F.col("node")]
+        block = left.withColumn("at", F.row_number().over(Window.partitionBy("component").orderBy(*order))).where(F.col("at") <= MAX_ROOTS)
+        roots = cut(block.where(F.col("at") <= F.greatest(F.lit(LEAST_ROOTS), F.floor(F.lit(p.max_component**2) / F.col("n")))).select("node"))
+        if roots.isEmpty():
             break
-        known = known.unionByName(front)
-    return known.groupBy("node").agg(F.max("dist").alias("ecc"))
+        reached = cut(_distances(roots, ways))
+        ecc = reached.groupBy("root").agg(F.max("dist").alias("e"))
+        told = reached.join(ecc, "root").groupBy("node").agg(F.max(F.greatest(F.col("dist"), F.col("e") - F.col("dist"))).alias("least"), F.min(F.col("e") + F.col("dist")).alias("most"))
+        bounds = cut(bounds.join(told, "node", "left").withColumn("low", F.greatest("low", "least")).withColumn("high", F.least("high", "most")).drop("least", "most"))
+    return exact.unionByName(bounds.select("node", F.col("low").cast("int").alias("ecc")))
 
 
 def deduplicate(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
@@ -135,15 +170,17 @@ def deduplicate(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
     classes = cut(read_classes(reads, p))
     edges = cut(dedup_edges(classes, p))
     members = connected_components(edges)
-    ecc = eccentricities(edges, members, p)
     links = edges.select(F.col("a").alias("class_id")).unionByName(edges.select(F.col("b").alias("class_id"))).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    named = classes.join(members.withColumnsRenamed({"node": "class_id", "component": "cluster_id"}), "class_id", "left").join(ecc.withColumnRenamed("node", "class_id"), "class_id", "left").join(links, "class_id", "left")
     fwd, rev = (F.coalesce(clean_seq(c), F.lit("")) for c in ("fwd_seq", "rev_seq"))
     quals = F.concat(F.coalesce(F.btrim("fwd_qual"), F.lit("")), F.coalesce(F.btrim("rev_qual"), F.lit("")))
     # the sum of the character codes, without a loop over them in the plan's expressions
     codes = F.aggregate(F.transform(F.split(quals, ""), F.ascii), F.lit(0).cast("bigint"), lambda a, x: a + x)
     mean = F.when(F.length(quals) > 0, codes / F.length(quals) - 33).otherwise(F.lit(0.0))
     rows = reads.where("read_id is not null").select("read_id", fwd.alias("fwd"), rev.alias("rev"), mean.alias("q")).groupBy("read_id").agg(F.max("q").alias("q"), F.max("fwd").alias("fwd"), F.max("rev").alias("rev"))
+    # of the reads of a class, which are equally central, the one that comes first
+    first = rows.join(classes, ["fwd", "rev"]).groupBy(F.col("class_id").alias("node")).agg(F.min(F.struct((-F.col("q")).alias("q"), (-(F.length("fwd") + F.length("rev"))).alias("size"), "read_id")).alias("prefer"))
+    ecc = eccentricities(edges, members, p, first)
+    named = classes.join(members.withColumnsRenamed({"node": "class_id", "component": "cluster_id"}), "class_id", "left").join(ecc.withColumnRenamed("node", "class_id"), "class_id", "left").join(links, "class_id", "left")
     alone = (F.length("fwd") == 0) | (F.length("rev") == 0)
     rows = rows.join(named, ["fwd", "rev"]).select("read_id", "q", (F.length("fwd") + F.length("rev")).alias("size"), F.when(alone, F.col("read_id")).otherwise(F.coalesce("cluster_id", "class_id")).alias("cluster_id"), F.coalesce("ecc", F.lit(0)).alias("e"), F.greatest(F.coalesce("ecc", F.lit(0)), (F.col("n_reads") > 1).cast("int")).alias("ecc"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     best = rows.groupBy("cluster_id").agg(F.min(F.struct("ecc", (-F.col("q")).alias("q"), (-F.col("size")).alias("size"), "read_id")).alias("best"))

@@ -118,3 +118,55 @@ def test_params():
     with pytest.raises(ValueError):
         dedup.DedupParams(kmer_len=30)
     assert rc("ACGN") == "NCGT"
+
+
+def _plain_ecc(links):
+    near = {}
+    for a, b in links:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    out = {}
+    for i in near:
+        dist, front = {i: 0}, [i]
+        while front:
+            front = [k for j in front for k in sorted(near[j]) if k not in dist and not dist.__setitem__(k, dist[j] + 1)]
+        out[i] = max(dist.values())
+    return out
+
+
+def test_centres_of_large_components_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "LEAST_ROOTS", 5)
+    r = rng(31)
+    links = [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(9)]
+    links += [(f"t{r.randrange(i):02d}", f"t{i:02d}") for i in range(1, 16)] + [tuple(sorted(r.sample([f"t{i:02d}" for i in range(16)], 2))) for _ in range(6)]
+    links += [("h0", f"h{i}") for i in range(1, 8)] + [("z0", "z1")]
+    want, comps = _plain_ecc(links), components(links)
+    edges = spark.createDataFrame(links, "a string, b string")
+    members = connected_components(edges)
+    names = list(want)
+    r.shuffle(names)
+    prefer = dict(zip(names, range(len(names))))
+    told = spark.createDataFrame(list(prefer.items()), "node string, prefer int")
+    p = dedup.DedupParams(max_component=5)
+    got = dict(rows(dedup.eccentricities(edges, members, p)))
+    chosen = dict(rows(dedup.eccentricities(edges, members, p, told)))
+    assert set(got) == set(chosen) == set(want) and {n for n in got if n[0] == "c" and got[n] == 5} == {"c04", "c05"}
+    for c in set(comps.values()):
+        part = [n for n in want if comps[n] == c]
+        least = min(want[n] for n in part)
+        assert min(got[n] for n in part) == least and {n for n in part if got[n] == least} == {n for n in part if want[n] == least}
+        first = lambda ecc: min(part, key=lambda n: (ecc[n], prefer[n]))
+        assert first(chosen) == first(want) and chosen[first(want)] == least
+
+
+def test_exemplars_do_not_depend_on_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "LEAST_ROOTS", 4)
+    r = rng(32)
+    text = dna(r, 120)
+    seqs = []
+    for i in range(7):  # a chain: each differs from the one before at one more place
+        text = text[: 4 * i + 60] + ("A" if text[4 * i + 60] != "A" else "C") + text[4 * i + 61 :]
+        seqs.append((text, "ACGTTGCAACGGTACCATGCATTGCAGTCA"))
+    df = pairs(spark, [pair(f"r{i:03d}", f, b, fq="".join(chr(33 + r.randrange(40)) for _ in f)) for i, (f, b) in enumerate(seqs)])
+    whole, blocks = (rows(dedup.deduplicate(df, dedup.DedupParams(num_windows=2, window_len=12, kmer_len=5, max_component=n))) for n in (2_000, 4))
+    assert whole == blocks and len({x[1] for x in whole}) == 1
