@@ -12,29 +12,66 @@ from pyspark.sql import DataFrame
 WINDOW, END_MEAN, READ_MEAN, GOOD_PHRED, BAD_SHARE, MIN_LENGTH = 4, 10, 10, 10, 0.4, 15
 #: Least run of one base at the end, with one other base allowed in eight; least share of changing neighbours.
 POLY_MIN, POLY_ONE_IN, COMPLEXITY = 10, 8, 0.3
-#: Letters by which an adapter is first found.
-ADAPTER_SEED = 8
+#: One mismatch in so many letters of an adapter is allowed; letters of it that count at a read's end.
+ADAPTER_ONE_IN, ADAPTER_LEAST = 8, 5
+#: Letters of padded reads that are compared with the adapters at once.
+CELLS = 4_000_000
 
 
-def trim_mate(seq: str, qual: str, adapters: tuple[str, ...]) -> tuple[str, str] | None:
-    """A mate with its bad ends, adapters and final run of one base taken off; None if what is left is not good enough."""
-    q = np.frombuffer(qual.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+def _phred(qual: str) -> np.ndarray:
+    return np.frombuffer(qual.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+
+
+def _letters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
+
+
+def _good_part(seq: str, q: np.ndarray) -> tuple[int, int] | None:
+    """Where a mate's bad ends leave off; None if nothing is good."""
     n = len(seq)
     if n != len(q) or n < MIN_LENGTH:
         return None
     sums = np.concatenate([[0], np.cumsum(q)])
     good = np.flatnonzero(sums[WINDOW:] - sums[:-WINDOW] >= END_MEAN * WINDOW)
-    if not len(good):
-        return None
-    lo, hi = int(good[0]), int(good[-1]) + WINDOW
-    for a in adapters:
-        at = seq.find(a[:ADAPTER_SEED], lo, hi)
-        while at >= 0:
-            m = min(len(a), hi - at)
-            if sum(x != y for x, y in zip(seq[at : at + m], a)) <= m // 8:
-                hi = at
-                break
-            at = seq.find(a[:ADAPTER_SEED], at + 1, hi)
+    return (int(good[0]), int(good[-1]) + WINDOW) if len(good) else None
+
+
+def before_adapters(parts: list[str], adapters: tuple[str, ...]) -> np.ndarray:
+    """The letters of each part before the first place where an adapter stands, in whole or cut off by the part's end.
+
+    Each adapter is compared at every place, with one mismatch in ``ADAPTER_ONE_IN`` of the letters that are there;
+    the next adapter is looked for in what the ones before have left.
+    """
+    left = np.array([len(x) for x in parts], np.int64)
+    known = [x for x in map(_letters, adapters) if len(x)]
+    order = np.argsort(left, kind="stable")
+    a = 0
+    while a < len(order) and known:
+        b = len(order)  # as many as fit, of about equal length
+        while b > a + 1 and (b - a) * (left[order[b - 1]] + 1) > CELLS:
+            b = a + (b - a) // 2
+        rows = order[a:b]
+        a = b
+        top, size = int(left[rows].max()), left[rows]
+        text = np.zeros((len(rows), top), np.uint8)
+        for i, r in enumerate(rows):
+            text[i, : size[i]] = _letters(parts[r])
+        at = np.arange(top)
+        for adapter in known:
+            wrong = np.zeros(text.shape, np.int32)
+            for j, letter in enumerate(adapter[:top]):
+                part = text[:, j:]  # zeros stand behind the end and are no mismatch
+                wrong[:, : top - j] += (part != letter) & (part != 0)
+            there = size[:, None] - at
+            hit = (there >= min(ADAPTER_LEAST, len(adapter))) & (wrong <= np.minimum(there, len(adapter)) // ADAPTER_ONE_IN)
+            size = np.where(hit.any(axis=1), hit.argmax(axis=1), size) if top else size
+            text[at >= size[:, None]] = 0
+        left[rows] = size
+    return left
+
+
+def _rest(seq: str, qual: str, q: np.ndarray, lo: int, hi: int) -> tuple[str, str] | None:
+    """What is left without a final run of one base, if it is good enough."""
     if hi > lo:
         last, other, run = seq[hi - 1], 0, 0
         for i in range(hi - 1, lo - 1, -1):
@@ -49,12 +86,25 @@ def trim_mate(seq: str, qual: str, adapters: tuple[str, ...]) -> tuple[str, str]
     if hi - lo < MIN_LENGTH:
         return None
     s, part = seq[lo:hi], q[lo:hi]
-    letters = np.frombuffer(s.encode("latin-1", "replace"), np.uint8)
+    letters = _letters(s)
     if part.mean() < READ_MEAN or (part < GOOD_PHRED).mean() > BAD_SHARE or (letters[1:] != letters[:-1]).mean() < COMPLEXITY:
         return None
     return s, qual[lo:hi]
 
 
+def trim_mates(mates: list[tuple[str, str]], adapters: tuple[str, ...]) -> list[tuple[str, str] | None]:
+    """Mates with their bad ends, adapters and final run of one base taken off; None where what is left is not good enough."""
+    quals = [_phred(qual) for _, qual in mates]
+    good = [_good_part(seq, q) for (seq, _), q in zip(mates, quals)]
+    left = before_adapters([seq[g[0] : g[1]] if g else "" for (seq, _), g in zip(mates, good)], adapters)
+    return [_rest(seq, qual, q, g[0], g[0] + int(n)) if g else None for (seq, qual), q, g, n in zip(mates, quals, good, left)]
+
+
+def trim_mate(seq: str, qual: str, adapters: tuple[str, ...]) -> tuple[str, str] | None:
+    """``trim_mates`` of one mate."""
+    return trim_mates([(seq, qual)], adapters)[0]
+
+
 def trim_reads(reads: DataFrame, adapters: DataFrame) -> DataFrame:
     """The pairs of which both mates are good enough, trimmed. Mates without a quality as long as themselves are not."""
     known = tuple(sorted(r[0].strip().upper() for r in adapters.select("seq").where("seq is not null").distinct().collect()))
@@ -65,8 +115,9 @@ def trim_reads(reads: DataFrame, adapters: DataFrame) -> DataFrame:
             at = {c: batch.schema.get_field_index(c) for c in ("fwd_seq", "fwd_qual", "rev_seq", "rev_qual")}
             cols = {c: [(x or "").strip() for x in batch.column(i).to_pylist()] for c, i in at.items()}
             keep, out = [], {c: [] for c in at}
-            for i, (fs, fq, rs, rq) in enumerate(zip(*cols.values())):
-                if (f := trim_mate(fs.upper(), fq, known)) and (r := trim_mate(rs.upper(), rq, known)):
+            fwd, rev = (trim_mates([(x.upper(), q) for x, q in zip(cols[f"{m}_seq"], cols[f"{m}_qual"])], known) for m in ("fwd", "rev"))
+            for i, (f, r) in enumerate(zip(fwd, rev)):
+                if f and r:
                     keep.append(i)
                     for c, x in zip(at, (*f, *r)):
                         out[c].append(x)

@@ -88,6 +88,33 @@ def test_trim(spark):
     assert got == {"a": (good, good), "d": (good, good)}
 
 
+def _first_adapter(part, adapters, least=5):
+    for a in adapters:
+        for at in range(len(part) - min(least, len(a)) + 1):
+            there = part[at : at + len(a)]
+            if sum(x != y for x, y in zip(there, a)) <= len(there) // 8:
+                part = part[:at]
+                break
+    return len(part)
+
+
+def test_adapters_with_mismatches_and_cut_off(spark, monkeypatch):
+    good, adapter = "ACGTTGCAACGGTACCATGCATTGCAGTCA", "GATTACAGATTACA"
+    assert trim.trim_mate(good + "GACTACAGATTACA", "F" * 44, (adapter,))[0] == good  # a mismatch in the first 8 letters
+    assert trim.trim_mate(good + "GATTA", "F" * 35, (adapter,))[0] == good  # fewer than 8 letters are there
+    assert trim.trim_mate(good + "GACTACAGATTCCA", "F" * 44, (adapter,))[0] == good + "GACTACAGATTCCA"
+    df = pairs(spark, [pair("a", good + "GATTACTGATTACA", good + "GATTACA")])
+    got = trim.trim_reads(df, spark.createDataFrame([(adapter,), ("",)], "seq string")).first()
+    assert (got["fwd_seq"], got["rev_seq"], len(got["rev_qual"])) == (good, good, 30)
+    r = rng(23)
+    adapters = (adapter, "ACG", dna(r, 24))
+    parts = [""] + ["".join(r.choice("ACGTN") if r.random() < 0.1 else c for c in dna(r, r.randrange(60)) + r.choice(adapters + ("",))[: r.randrange(30)] + dna(r, r.choice([0, 0, 5]))) for _ in range(400)]
+    want = [_first_adapter(p, adapters) for p in parts]
+    assert trim.before_adapters(parts, adapters).tolist() == want and len({w == len(p) for w, p in zip(want, parts)}) == 2
+    monkeypatch.setattr(trim, "CELLS", 500)
+    assert trim.before_adapters(parts, adapters).tolist() == want
+
+
 CIGAR = "source string, ordinal bigint, read_id string, mate string, flag int, idx int, pos int, cigar array<struct<op:string,len:int>>, seq string"
 KEYS = ["source", "ordinal", "read_id", "mate"]
 
