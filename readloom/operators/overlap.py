@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.seqs import clean_seq, kmers, reverse_complement
+from readloom.operators.components import TASK_LINKS
 from readloom.session import cut
 
+#: Rounds whose tables one plan reads.
+PLAN_ROUNDS = 50
+
 
 def _mismatches(a, b):
     """Differing places of two strings of equal length."""
@@ -49,20 +57,55 @@ def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx") ->
     return fits.groupBy(F.col("bid").alias("src"), F.col("fid").alias("dst")).agg(F.max(F.col("bo") * F.col("fo")).alias("orientation"))
 
 
-def seed_connected(edges: DataFrame, roots: DataFrame, *, max_rounds: int = 1000) -> DataFrame:
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``seed_connected`` of the ways ``(a, b, turn)`` of one task; a root is a way to nowhere, turned as it stands."""
+    ways, reached = defaultdict(list), {}
+    for batch in batches:
+        for a, b, turn in zip(*(c.to_pylist() for c in batch.columns)):
+            if b is None:
+                reached[a] = (turn, 0)
+            else:
+                ways[a].append((b, turn))
+    kind = batch.schema.field(0).type if ways or reached else None
+    front, depth = sorted(reached), 0
+    while front:
+        depth += 1
+        new = {}
+        for a in front:  # in order, so that the smallest parent comes first
+            for b, turn in ways[a]:
+                if b not in reached and b not in new:
+                    new[b] = (reached[a][0] * turn, depth)
+        reached |= new
+        front = sorted(new)
+    if reached:
+        yield pa.RecordBatch.from_arrays([pa.array(list(reached), kind), *(pa.array([x[i] for x in reached.values()], pa.int32()) for i in (0, 1))], ["id", "orientation", "depth"])
+
+
+def seed_connected(edges: DataFrame, roots: DataFrame, *, task_links: int = TASK_LINKS) -> DataFrame:
     """``(id, orientation, depth)`` of what the roots ``(id, orientation)`` reach; orientations multiply along the way.
 
     Breadth first, all roots at once: a sequence takes its first round's smallest parent, a root keeps its own
-    orientation. One join a round with the newly reached; rounds end when nothing is new.
+    orientation. Up to ``task_links`` links are walked by one task. Beyond, there is one join a round with the newly
+    reached; rounds end when nothing is new, however many that takes.
     """
     ways = cut(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), "orientation").unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b"), "orientation")).withColumnRenamed("orientation", "turn"))
     reached = cut(roots.select("id", F.col("orientation").cast("int").alias("orientation"), F.lit(0).alias("depth")))
-    front = reached
-    for depth in range(1, max_rounds + 1):
+    if ways.count() + reached.count() <= task_links:
+        kind = ways.schema["a"].dataType
+        starts = reached.select(F.col("id").cast(kind).alias("a"), F.lit(None).cast(kind).alias("b"), F.col("orientation").alias("turn"))
+        rows = ways.select("a", "b", F.col("turn").cast("int").alias("turn")).unionByName(starts)
+        return cut(rows.coalesce(1).mapInArrow(_walk, f"id {kind.simpleString()}, orientation int, depth int"))
+    done, fronts = [], [reached]
+    for depth in count(1):
+        front = fronts[-1]
+        # what the front meets lies in its own round, the one before or the one behind
+        known = reduce(DataFrame.unionByName, fronts[-2:]).select("id")
         step = front.join(ways, front["id"] == ways["a"]).select(F.col("b").alias("new_id"), "a", (F.col("orientation") * F.col("turn")).alias("o"))
-        new = step.join(reached, step["new_id"] == reached["id"], "left_anti").groupBy("new_id").agg(F.min_by("o", "a").alias("o"))
+        new = step.join(known, step["new_id"] == known["id"], "left_anti").groupBy("new_id").agg(F.min_by("o", "a").alias("o"))
         front = cut(new.select(F.col("new_id").alias("id"), F.col("o").cast("int").alias("orientation"), F.lit(depth).alias("depth")))
         if front.isEmpty():
             break
-        reached = reached.unionByName(front)
-    return reached
+        fronts.append(front)
+        if len(fronts) > PLAN_ROUNDS:  # plans of very many tables are slow
+            done, fronts = [cut(reduce(DataFrame.unionByName, done + fronts[:-2]))], fronts[-2:]
+    return reduce(DataFrame.unionByName, done + fronts)

@@ -68,3 +68,27 @@ def test_orientations_multiply(spark):
     assert rows(overlap.seed_connected(edges, roots.limit(0))) == []
     turned = containment.oriented(_set(spark, ["AAC", "GGT"]), spark.createDataFrame([(0, -1), (1, 1)], "id int, orientation int"))
     assert sorted(x["seq"] for x in turned.collect()) == ["GGT", "GTT"]
+
+
+def test_chains_are_walked_to_their_end(spark):
+    r = rng(9)
+    names = list(range(1500))
+    r.shuffle(names)
+    turns = [r.choice([1, -1]) for _ in names[1:]]
+    edges = spark.createDataFrame([(min(a, b), max(a, b), t) for a, b, t in zip(names, names[1:], turns)], "src int, dst int, orientation int")
+    want, o = [(names[0], -1, 0)], -1
+    for depth, (name, turn) in enumerate(zip(names[1:], turns), 1):
+        o *= turn
+        want.append((name, o, depth))
+    roots = spark.createDataFrame([(names[0], -1)], "id int, orientation int")
+    assert rows(overlap.seed_connected(edges, roots)) == sorted(want, key=repr)
+
+
+def test_one_task_and_joins_reach_the_same(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "PLAN_ROUNDS", 3)
+    r = rng(10)
+    links = {tuple(sorted(r.sample(range(60), 2))) for _ in range(70)} | {(i, i + 1) for i in range(100, 109)}
+    edges = spark.createDataFrame([(a, b, r.choice([1, -1])) for a, b in sorted(links)], "src int, dst int, orientation int")
+    roots = spark.createDataFrame([(3, 1), (17, -1), (104, 1), (500, 1)], "id int, orientation int")
+    got = rows(overlap.seed_connected(edges, roots))
+    assert got == rows(overlap.seed_connected(edges, roots, task_links=0)) and (500, 1, 0) in got and (100, 1) in {(x[0], abs(x[1])) for x in got}
