@@ -18,8 +18,9 @@ from readloom.streaming import search
 
 #: Length of the k-mers of read search, and of high-frequency counting; least count of the latter.
 K, FREQ_K, FREQ_MIN = 21, 21, 8
-#: Overlap lengths of whole read sets: exact, and with one mismatch.
+#: Overlap lengths of whole read sets, and of contigs: exact, and with one mismatch.
 N0, N1 = 40, 60
+CONTIG_N0, CONTIG_N1 = 7, 31
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -105,6 +106,12 @@ def overlap_edges(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_edges(_numbered(_mates(spark, d)), n0=N0, n1=N1)
 
 
+def contig_overlap_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps of the assembled contigs, which are named by their letters."""
+    named = contigs(spark, d).select(F.col("seq").alias("idx"), "seq")
+    return overlap.overlap_edges(named, n0=CONTIG_N0, n1=CONTIG_N1)
+
+
 def seed_connected(spark: SparkSession, d: str) -> DataFrame:
     mates = cut(_numbered(_mates(spark, d)))
     found = containment.seed_containment(mates, _seqs(spark, d, "seed"))
@@ -217,7 +224,7 @@ def stream_first_deliveries(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         read_filter, read_filter_joined, read_anti_filter, kmer_counts, kmer_counts_by_source, high_freq_kmers, high_freq_records, sanitized_kmers, seed_containment, seed_positions, oriented_mates,
-        overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs, grown_contigs_overlaps,
+        overlap_edges, contig_overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs, grown_contigs_overlaps,
         placed_reads, pileup_columns, pileup_pairs, stream_read_filter, stream_first_deliveries,
     )
     return {f.__name__: f for f in every}

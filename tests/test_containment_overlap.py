@@ -92,3 +92,14 @@ def test_one_task_and_joins_reach_the_same(spark, monkeypatch):
     roots = spark.createDataFrame([(3, 1), (17, -1), (104, 1), (500, 1)], "id int, orientation int")
     got = rows(overlap.seed_connected(edges, roots))
     assert got == rows(overlap.seed_connected(edges, roots, task_links=0)) and (500, 1, 0) in got and (100, 1) in {(x[0], abs(x[1])) for x in got}
+
+
+def test_registered_overlaps_of_contigs(spark, monkeypatch):
+    from readloom import catalog
+
+    r = rng(12)
+    a, b = dna(r, 60), dna(r, 60)
+    seqs = [a, a[-7:] + b, b[-31:-1] + ("A" if b[-1] != "A" else "C") + dna(r, 40)]
+    monkeypatch.setattr(catalog, "contigs", lambda spark, d: _set(spark, seqs))
+    got = {frozenset((x["src"], x["dst"])) for x in catalog.queries()["contig_overlap_edges"](spark, "").collect()}
+    assert {frozenset(seqs[:2]), frozenset(seqs[1:])} <= got
