@@ -1,10 +1,12 @@
 from zlib import crc32
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from readloom.functions.links import roots
 from readloom.operators import dedup
-from readloom.operators.components import connected_components
+from readloom.operators.components import connected_components, turned
 from tests.helpers import canon, components, dna, pair, pairs, rc, rng, rows
 
 
@@ -19,6 +21,23 @@ def test_components_at_every_bound(spark, task_links):
     assert dict(rows(connected_components(df, task_links=task_links))) == want
 
 
+def test_numpy_union_find():
+    r = rng(5)
+    for n in (1, 2, 50, 400):
+        a, b = (np.array([r.randrange(n) for _ in range(n)]) for _ in range(2))
+        want = components((f"{x:05d}", f"{y:05d}") for x, y in zip(a.tolist(), b.tolist()))
+        got = roots(a, b, n)
+        assert all(int(want.get(f"{i:05d}", f"{i:05d}")) == got[i] for i in range(n))
+    chain = np.arange(9_999)
+    assert (roots(chain + 1, chain, 10_000) == 0).all()
+
+
+def test_links_that_do_not_contract_are_an_error(spark):
+    df = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(20)], "a string, b string")
+    with pytest.raises(RuntimeError, match="do not contract"):
+        connected_components(df, task_links=3, stars=lambda links, level, parts: turned(df.select("a", "b"), 0, None))
+
+
 def test_no_links(spark):
     df = spark.createDataFrame([("a", "a"), (None, None)], "a string, b string")
     assert rows(connected_components(df)) == []
