@@ -127,6 +127,27 @@ def test_read_groups(spark):
     assert read_groups(m.limit(0), p.limit(0)).count() == 0
 
 
+def test_long_chains_take_logarithmically_many_levels(spark, monkeypatch):
+    """A chain of 100 times what a task joins, in the order of its names, turned round, and shuffled, and a hub of as many."""
+    import math
+
+    from readloom.operators import components as module
+
+    r, n, bound = rng(21), 10_000, 100
+    names = [f"s{i:05d}" for i in range(n // 4)]
+    mixed = r.sample(names, len(names))
+    chains = [(a + k, b + k) for k, part in (("a", names), ("b", names[::-1]), ("c", mixed)) for a, b in zip(part, part[1:])] + [("hub", f"h{i:05d}") for i in range(n // 4)]
+    r.shuffle(chains)
+    cuts = []
+    real = module.cut
+    monkeypatch.setattr(module, "cut", lambda df: cuts.append(df.columns) or real(df))
+    m = spark.createDataFrame(chains, "src_read_id string, dst_read_id string").repartition(20)
+    got = dict(rows(read_groups(m, spark.createDataFrame([], "read_id string, exemplar_id string"), task_links=bound)))
+    assert got == components(chains)
+    levels = sum(c == ["node", "root", "up", "own"] for c in cuts)
+    assert 2 <= levels <= math.ceil(math.log(n / bound, 1.5)) + 2
+
+
 # 4
 def test_representatives(spark):
     r = rng(6)
