@@ -123,6 +123,30 @@ def test_schedule_is_even_and_capped(spark, mix_tables):
     assert mix_report(d, t.limit(0)).count() == 0
 
 
+def test_shortfall_of_the_schedule_is_the_inequality(spark):
+    """Sources whose caps lie around what their weights ask for; vocabularies are sent, and bounded."""
+    from readloom.llm import mixing
+
+    r = rng(9)
+    d = spark.createDataFrame([(i, f"s{r.randrange(24):02d}", "one two three " * r.randint(1, 9)) for i in range(1_500)], "doc_id bigint, source string, text string")
+    size = dict(rows(token_counts(d).groupBy("source").sum("n_tokens")))
+    total = sum(size.values())
+    near = [size[f"s{i:02d}"] / total * (1 + (i - 12) / 400) for i in range(24)]
+    targets = [(f"s{i:02d}", round(w / sum(near), 9), 1) for i, w in enumerate(near)]
+    want = {s for s, w, m in targets if m * size[s] < w * total}
+    assert 3 < len(want) < 24
+    got = mix_report(d, spark.createDataFrame(targets, "source string, weight double, max_repeats int"), block_tokens=32)
+    assert {x["source"] for x in got.where("falls_short").collect()} == want
+    assert "Window" in got.where("falls_short").select("source")._jdf.queryExecution().optimizedPlan().toString()
+    keep = mixing.VOCABULARY_MB
+    try:
+        mixing.VOCABULARY_MB = 0
+        with pytest.raises(ValueError, match="vocabulary"):
+            token_counts(d)
+    finally:
+        mixing.VOCABULARY_MB = keep
+
+
 def test_running_sums_over_chunks(spark):
     from readloom.llm import mixing
 
