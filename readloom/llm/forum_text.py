@@ -6,10 +6,12 @@ import html
 import re
 import unicodedata
 
+#: An ampersand that was written as an entity again and again: resolved in one step.
+_NESTED = re.compile(r"&(?:(?:amp|AMP|#0*38|#[xX]0*26);)+")
 _BREAKING = re.compile(r"<\s*/?\s*(?:br|p|div|blockquote|li|ul|ol|tr|td|table|h[1-6]|hr|pre)\b[^<>]*>", re.I)
-_TAG = re.compile(r"<[^<>\n]{1,300}>")
-_BREAKING_CODE = re.compile(r"\[/?(?:quote|code|list|\*)(?:=[^\]\n]{0,300})?\]", re.I)
-_CODE = re.compile(r"\[/?[A-Za-z*]+(?:=[^\]\n]{0,300})?\]")
+_TAG = re.compile(r"<[^<>\n]+>")
+_BREAKING_CODE = re.compile(r"\[/?(?:quote|code|list|\*)(?:=[^\[\]\n]*)?\]", re.I)
+_CODE = re.compile(r"\[/?[A-Za-z*]+(?:=[^\[\]\n]*)?\]")
 _QUOTE_MARKS = re.compile(r"^[ \t]*(?:[>|»][ \t]*)+", re.M)
 _SPLIT_WORD = re.compile(r"(?<=[^\W\d_])[-­‐‑][ \t]*\n[ \t]*(?=[^\W\d_])")
 _WORD = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W_぀-ヿ㐀-鿿豈-﫿]+")
@@ -27,10 +29,8 @@ _FORMAT = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xAD, 0xAD
 
 
 def _plain(text: str) -> str:
-    """Entities resolved (also nested ones), compatibility letters replaced, line ends made alike."""
-    for _ in range(3):
-        if "&" not in text or (once := html.unescape(text)) == text:
-            break
+    """Entities resolved, however deep they are nested, and line ends made alike."""
+    while "&" in text and (once := html.unescape(_NESTED.sub("&", text))) != text:
         text = once
     return text.replace("\r\n", "\n").replace("\r", "\n")
 

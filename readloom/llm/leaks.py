@@ -1,11 +1,12 @@
 """Evaluation texts leaking into training text (problem 6).
 
-A positional inverted index of the corpus: for each term, the documents and places that hold it. A passage
-of n words of a test item, of which at most n/8 are changed, missing or added, holds a run of at least
-``RUN`` = 5 words that stand unchanged (n - n/8 words in at most n/8 + 1 runs). So for each run of 5 words
-of an item, its rarest term in the corpus is looked up; each posting gives a document and an offset between
-document and item; the other words of the run are intersected at that offset. Documents and items with a
-whole run in common are then compared word by word for the longest passage within the allowed changes.
+A positional inverted index of the corpus: for each term, the documents and places that hold it, in blocks sorted by
+term. A passage of n words of a test item, of which at most n/8 are changed, missing or added, holds a run of at least
+``RUN`` = 5 words that stand unchanged (n - n/8 words in at most n/8 + 1 runs). For each run of 5 words of an item the
+lists of its terms are intersected at their offsets, from the rarest term on: each posting of that term gives a
+document and an offset between document and item, the second rarest term must stand there too, then the other
+three. Documents and items with a whole run in common are compared word by word for the longest passage within the
+allowed changes: the exact phrase, or the near one.
 """
 
 from __future__ import annotations
@@ -37,23 +38,60 @@ def term_lists(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFra
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        terms, ids, places = [], [], []
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            at: dict[str, list[int]] = {}
-            for j, term in enumerate(text):
-                at.setdefault(term, []).append(j)
-            terms += at
-            ids += [i] * len(at)
-            places += at.values()
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(ids, pa.int64()), pa.array(places, pa.list_(pa.int32()))], ["term", "id", "places"])
+        size = pc.list_value_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+        words_ = batch.column(1).flatten().dictionary_encode()
+        if not len(words_):
+            continue
+        by_name = pc.sort_indices(words_.dictionary).to_numpy(zero_copy_only=False)
+        rank = np.empty(len(by_name), np.int32)
+        rank[by_name] = np.arange(len(by_name), dtype=np.int32)
+        code = rank[words_.indices.to_numpy(zero_copy_only=False)]
+        order = np.argsort(code, kind="stable")  # texts and places stay in order
+        text = np.repeat(np.arange(len(batch)), size)[order]
+        place = (np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size))[order].astype(np.int32)
+        code = code[order]
+        other = np.append(True, code[1:] != code[:-1])
+        at = np.flatnonzero(other)
+        texts = np.add.reduceat(np.append(True, other[1:] | (text[1:] != text[:-1])).astype(np.int64), at)
+        ends = pa.array(np.append(at, len(code)).astype(np.int32))
+        ids = batch.column(0).take(pa.array(text))
+        yield pa.RecordBatch.from_arrays([words_.dictionary.take(pa.array(by_name)), pa.array(texts), pa.ListArray.from_arrays(ends, ids), pa.ListArray.from_arrays(ends, pa.array(place))], ["term", "texts", "ids", "places"])
 
 
 def positional_index(lists: DataFrame) -> DataFrame:
-    """``(term, id, places)``, kept: the postings of every term of ``term_lists``, one row a term and text, places ascending.
+    """``(term, texts, ids, places)``, kept: the postings of every term of ``term_lists``.
 
-    Made text by text, so nothing is shuffled; readers filter by term.
+    One row a term and block of texts, blocks sorted by term: the number of texts that hold it, and for each place in
+    order the text and the place. Made block by block, so nothing is shuffled and no term, however common, is in one row.
     """
-    return cut(lists.mapInArrow(_postings, "term string, id bigint, places array<int>"))
+    return cut(lists.mapInArrow(_postings, "term string, texts bigint, ids array<bigint>, places array<int>"))
+
+
+def run_matches(index: DataFrame, tests: DataFrame) -> DataFrame:
+    """``(doc_id, item_id, shift)``: offsets at which a whole run of ``RUN`` words of the item stands in the document.
+
+    Lists are intersected from the rarest term on; a run with a term that the corpus lacks is nowhere.
+    """
+    vocabulary = tests.select(F.explode("terms").alias("term")).distinct()
+    held = cut(index.join(vocabulary, "term", "left_semi"))
+    rarity = held.groupBy("term").agg(F.sum("texts").alias("texts"))
+    run = tests.where(F.size("terms") >= RUN).select(F.col("id").alias("item_id"), "terms", F.explode(F.sequence(F.lit(0), F.size("terms") - RUN)).alias("start"))
+    placed = run.select("item_id", "start", F.posexplode(F.slice("terms", F.col("start") + 1, RUN)).alias("j", "term")).join(rarity, "term")
+    # a run's words, the rarest first, with their places in the item
+    runs = placed.groupBy("item_id", "start").agg(F.sort_array(F.collect_list(F.struct("texts", "term", (F.col("start") + F.col("j")).alias("q")))).alias("r")).where(F.size("r") == RUN)
+    runs = cut(runs.select("item_id", "start", F.col("r").getItem(0).alias("a"), F.col("r").getItem(1).alias("b"), F.slice("r", 3, RUN - 2).alias("rest")))
+    postings = held.select("term", F.explode(F.arrays_zip("ids", "places")).alias("p")).select("term", F.col("p.ids").alias("doc_id"), F.col("p.places").alias("place"))
+
+    def there(places: DataFrame) -> DataFrame:
+        """The rows whose term stands in the document at the item's place and the offset."""
+        wanted = places.withColumn("place", F.col("q") + F.col("shift"))
+        return wanted.join(postings, ["term", "doc_id", "place"], "left_semi")
+
+    first = postings.join(runs.select("item_id", "start", F.col("a.term").alias("term"), F.col("a.q").alias("q"), F.col("b.term").alias("term2"), F.col("b.q").alias("q2")), "term")
+    two = there(first.select("doc_id", "item_id", "start", (F.col("place") - F.col("q")).alias("shift"), F.col("term2").alias("term"), F.col("q2").alias("q"))).select("doc_id", "item_id", "start", "shift")
+    rest = two.join(runs.select("item_id", "start", F.explode("rest").alias("x")), ["item_id", "start"]).select("doc_id", "item_id", "start", "shift", "x.term", "x.q")
+    whole = there(rest).groupBy("doc_id", "item_id", "start", "shift").agg(F.count("*").alias("n")).where(F.col("n") == RUN - 2)
+    return whole.select("doc_id", "item_id", "shift").distinct()
 
 
 def _can_hold(doc: np.ndarray, item: np.ndarray, shift: int, least: int, one_in: int) -> bool:
@@ -118,14 +156,8 @@ def _verify(least: int, one_in: int):
             all_shifts = np.split(batch.column(2).flatten().to_numpy(zero_copy_only=False), shift_ends[:-1])
             for doc_id, item_id, shifts, doc, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), all_shifts, texts[: len(batch)], texts[len(batch) :]):
                 n = len(item)
-                padded = np.full(len(doc) + 2 * n, -1, np.int32)
-                padded[n : n + len(doc)] = doc
-                same = (padded[shifts[:, None] + np.arange(n, 2 * n)] == item).cumsum(axis=1)
-                runs = same[:, RUN - 1 :].copy()
-                runs[:, 1:] -= same[:, : n - RUN]
-                whole = np.unique(shifts[(runs == RUN).any(axis=1)]).tolist()
                 reach = n + n // one_in + 1
-                spans = [(max(0, s - n // one_in), min(len(doc), s + reach)) for s in whole if _can_hold(doc, item, s, least, one_in)]
+                spans = [(max(0, s - n // one_in), min(len(doc), s + reach)) for s in shifts.tolist() if _can_hold(doc, item, s, least, one_in)]
                 # only the neighbourhoods of common runs can hold a passage
                 merged: list[list[int]] = []
                 for lo, hi in sorted(spans):
@@ -146,20 +178,11 @@ def leaked_passages(docs: DataFrame, items: DataFrame, *, least: int = 12, one_i
 
     A passage is at least ``least`` consecutive words of the item, of which at most one in ``one_in`` is
     changed, missing or added; the longest is reported. Each document and item stands once, also if the
-    document holds several passages; items with the same passage are each reported. Null or empty texts
-    and null ids match nothing; empty tables give no rows; other columns are not read.
+    document holds several passages; items with the same passage are each reported. n_changes 0 is the exact phrase.
+    Null or empty texts and null ids match nothing; empty tables give no rows; other columns are not read. The offsets
+    of a document and an item are at most as many as the document has words.
     """
     lists, tests = term_lists(docs, "doc_id"), term_lists(items, "item_id")
-    vocabulary = tests.select(F.explode("terms").alias("term")).distinct()
-    index = positional_index(lists)
-    rarity = index.select("term").join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("docs"))
-    # for each run of an item, its rarest term; a run with a term that the corpus lacks is nowhere
-    run = tests.where(F.size("terms") >= RUN).select("id", "terms", F.explode(F.sequence(F.lit(0), F.size("terms") - RUN)).alias("start"))
-    placed = run.select("id", "start", F.posexplode(F.slice("terms", F.col("start") + 1, RUN)).alias("j", "term")).join(rarity, "term", "left")
-    rarest = placed.groupBy("id", "start").agg(F.min(F.struct("docs", "term", "j")).alias("r"), F.count("docs").alias("known")).where(F.col("known") == RUN)
-    anchors = cut(rarest.select(F.col("id").alias("item_id"), (F.col("start") + F.col("r.j")).alias("q"), F.col("r.term").alias("term")).distinct())
-    wanted = anchors.select("term").distinct()
-    postings = index.join(wanted, "term", "left_semi").select("term", F.col("id").alias("doc_id"), F.explode("places").alias("place"))
-    shifts = postings.join(anchors, "term").groupBy("doc_id", "item_id").agg(F.collect_set(F.col("place") - F.col("q")).alias("shifts"))
-    pairs = shifts.join(lists.select(F.col("id").alias("doc_id"), F.col("terms").alias("doc_terms")), "doc_id").join(tests.select(F.col("id").alias("item_id"), F.col("terms").alias("item_terms")), "item_id")
+    met = run_matches(positional_index(lists), tests).groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_list("shift")).alias("shifts"))
+    pairs = met.join(lists.select(F.col("id").alias("doc_id"), F.col("terms").alias("doc_terms")), "doc_id").join(tests.select(F.col("id").alias("item_id"), F.col("terms").alias("item_terms")), "item_id")
     return pairs.select("doc_id", "item_id", "shifts", "doc_terms", "item_terms").mapInArrow(_verify(least, one_in), "doc_id bigint, item_id bigint, n_words bigint, n_changes bigint")

@@ -1,6 +1,7 @@
 """Problems 6 to 8 against plain versions and held-out accuracy, with nulls, empty tables, repeats and clashing columns."""
 
 import os
+import time
 from collections import Counter
 
 import pytest
@@ -21,6 +22,17 @@ def test_words():
     assert words("été") == ["été"]
 
 
+def test_long_markup_and_deep_entities():
+    """No length of a tag and no depth of an entity stays in the words; very long ones take no more than their length."""
+    assert words(f'one <a href="{"x" * 5_000}">two</a> three [url=http://{"y" * 5_000}]four[/url] [quote={"z " * 400}]five') == ["one", "two", "three", "four", "five"]
+    for depth in (1, 4, 9, 40_000):
+        assert words("one &" + "amp;" * depth + "lt;b&" + "amp;" * depth + "gt;two") == ["one", "two"]
+    assert words("a&#38;#38;#x26;nbsp;b &amp;#38;amp;amp;eacute;t") == ["a", "b", "ét"]
+    began = time.perf_counter()
+    words("[a=" * 100_000 + "<b" * 100_000 + "&amp;" * 100_000)
+    assert time.perf_counter() - began < 20
+
+
 def _holds(doc, item, least, one_in):
     """Whether some span of the item and some span of the document are close enough: every pair of starts, edit distance."""
     for i in range(len(item)):
