@@ -19,31 +19,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.llm.forum_text import running_text, sentences
+from readloom.session import cut
 
 #: Labelled rows of each language that are learnt from at most; the rest of a larger sample is not needed.
-LEARN_ROWS = 2_000
+LEARN_ROWS = 1_000
 #: Letters of each language that are learnt from at most: bounds the automata, which every task holds.
 LEARN_LETTERS = 60_000
-#: Labelled posts from which each language's text is enlarged (about so many, chosen by a hash), the letters
-#: added at most, and how sure their pieces must be.
-ENLARGE_POSTS, ENLARGE_LETTERS, ENLARGE_CONFIDENCE = 4_000, 10_000, 0.9
+#: Labelled posts from which each language's text is enlarged (about so many, chosen by a hash), the letters added
+#: at most in each round, and how sure their pieces must be.
+ENLARGE_POSTS, ENLARGE_LETTERS, ENLARGE_CONFIDENCE = 2_000, 3_000, 0.9
+#: Rounds of enlarging; each parses with what the ones before have added.
+ENLARGE_ROUNDS = 4
 #: What a change of language between neighbouring pieces costs, in phrases.
 SWITCH = 2.5
 
-#: Frequent function words of the languages, put to their labelled text.
-FUNCTION_WORDS = {
-    "en": "the of and to in is that it for was on are with as by from at which how many",
-    "de": "der die das und in den von zu mit ist im für auf nicht ein eine dem des wie viele",
-    "fr": "le la les de des et en un une du que est pour dans qui sur au se dont combien",
-    "es": "el la los las de que y en un una del se por con para si su al cuando cuántas",
-    "pt": "o a os as de que e do da em um uma para com não dos das se na no quantas",
-    "nl": "de het een van en in is dat op te met voor niet zijn aan er om bij hoeveel",
-    "sv": "och i att det som en på är av för med den till inte om ett har de hur många",
-    "pl": "i w nie na z do to że się jest o jak po za od przez dla przy gdy ile",
-    "ru": "и в не на я что он с как это по но из у за от для при когда сколько",
-    "zh": "的是在了不和有这那我他她们人个上也到就说",
-}
-
 #: Codes of two and three letters, English and own names of the languages.
 LANGUAGE_NAMES = {
     "en": ("en", "eng", "english"),
@@ -59,16 +48,14 @@ LANGUAGE_NAMES = {
 }
 
 
-_ACCENTS, _DIGITS, _SIGNS = re.compile("[\u0300-\u036f]+"), re.compile(r"\d+"), re.compile(r"[\W_]+")
+_DIGITS, _SIGNS = re.compile(r"\d+"), re.compile(r"[\W_]+")
 _HAN = re.compile("[\u3400-\u9fff]")
 
 
 def folded(text: str) -> str:
-    """Text as it is parsed: lower case, without accents, digits as one sign, other signs and blanks as single blanks."""
+    """Text as it is parsed: lower case, digits as one sign, other signs and blanks as single blanks."""
     text = text.lower()
-    if not text.isascii():
-        text = _ACCENTS.sub("", unicodedata.normalize("NFKD", text))
-    return _SIGNS.sub(" ", _DIGITS.sub("0", text)).strip()
+    return _SIGNS.sub(" ", _DIGITS.sub("0", text if text.isascii() else unicodedata.normalize("NFC", text))).strip()
 
 
 def automaton(text: str) -> list[dict[str, int]]:
@@ -183,48 +170,64 @@ def _confidence(costs: np.ndarray, phrase: float) -> np.ndarray:
     return odds / odds.sum(axis=-1, keepdims=True)
 
 
-def _own_pieces(texts: dict[str, str], confidence: float, least: int):
-    """Pieces of labelled posts that the parser also gives to the label's language, with the letters a phrase covers."""
+def _long_pieces(least: int):
+    def long(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(lang, p[1]) for lang, t in zip(batch["lang"], batch["text"]) for p in _pieces(t) if p[2] >= least]
+            yield pd.DataFrame(rows, columns=["lang", "piece"])
+
+    return long
+
+
+def _own_pieces(texts: dict[str, str], confidence: float):
+    """Pieces that the parser also gives to the language of their post's label, with the letters a phrase covers."""
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser = Parser.of(texts)
         for batch in batches:
-            pieces = [(lang, p[1]) for lang, t in zip(batch["lang"], batch["text"]) for p in _pieces(t) if p[2] >= least]
-            costs = parser.costs([p for _, p in pieces])
-            best = costs.argmin(axis=1) if len(pieces) else []
-            sure = _confidence(costs, parser.phrase).max(axis=1) if len(pieces) else []
-            rows = [(lang, p, float(c[b]) / (len(p) + 10)) for (lang, p), c, b, s in zip(pieces, costs, best, sure) if parser.langs[b] == lang and s >= confidence]
-            yield pd.DataFrame(rows, columns=["lang", "piece", "news"])
+            costs = parser.costs(batch["piece"].tolist())
+            best = costs.argmin(axis=1)
+            sure = _confidence(costs, parser.phrase).max(axis=1) if len(batch) else np.zeros(0)
+            good = (np.array(parser.langs, object)[best] == batch["lang"].to_numpy()) & (sure >= confidence)
+            news = costs[np.arange(len(batch)), best] / (batch["piece"].str.len().to_numpy() + 10)
+            yield pd.DataFrame({"lang": batch["lang"][good], "piece": batch["piece"][good], "news": news[good]})
 
     return own
 
 
-def learn(samples: DataFrame, docs: DataFrame | None = None, *, rows: int = LEARN_ROWS, letters: int = LEARN_LETTERS, posts: int = ENLARGE_POSTS, more: int = ENLARGE_LETTERS, confidence: float = ENLARGE_CONFIDENCE) -> dict[str, str]:
-    """Each language's text: its labelled rows in the order of sample_id, at most ``rows`` and ``letters`` of them,
-    its function words, and of ``docs`` the pieces that say most new.
+def learn(samples: DataFrame, docs: DataFrame | None = None, *, rows: int = LEARN_ROWS, letters: int = LEARN_LETTERS, posts: int = ENLARGE_POSTS, more: int = ENLARGE_LETTERS, confidence: float = ENLARGE_CONFIDENCE, rounds: int = ENLARGE_ROUNDS) -> dict[str, str]:
+    """Each language's text: its labelled rows in the order of sample_id, at most ``rows`` and ``letters`` of them, and of
+    ``docs`` the pieces that say most new.
 
     For the last, about ``posts`` posts are taken of each language that a label names alone (chosen by a
-    hash of doc_id). Their pieces that the labelled rows already give to that language, at least as surely as
-    ``confidence``, are ordered by how little of them is known, and ``more`` letters of them are added. All
-    bounds are parameters; only the fit is bounded, every post is classified. Rows without a language or text are not used.
+    hash of doc_id). Their pieces that label and parser together give to that language, at least as surely as
+    ``confidence``, are ordered by how little of them is known, and ``more`` letters of them are added; so again in
+    ``rounds`` rounds. All bounds are parameters; only the fit is bounded, every post is classified. Rows without a
+    language or text are not used.
     """
     ok = samples.where("lang is not null and length(trim(text)) > 0").select(F.lower(F.trim("lang")).alias("lang"), "sample_id", "text")
-    per = ok.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("sample_id", "text"))), 1, rows).alias("rows"))
-    texts = {r["lang"]: " ".join(folded(x["text"]) for x in r["rows"])[:letters] for r in per.collect()}
-    texts = {lang: f"{t} {folded(FUNCTION_WORDS.get(lang, ''))}".strip() for lang, t in texts.items()}
+    # Spark drops rows beyond the bound before it shuffles, so no language's rows are ever in one task
+    first = ok.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("sample_id", "text"))).where(F.col("n") <= rows)
+    texts: dict[str, str] = {}
+    for r in first.orderBy("lang", "n").collect():  # at most ``rows`` rows a language
+        texts[r["lang"]] = f"{texts.get(r['lang'], '')} {folded(r['text'])}".strip()[:letters]
     if docs is None or not texts:
         return texts
-    named = docs.where("doc_id is not null and text is not null").select("doc_id", "text", label_languages(F.col("lang")).alias("named")).where("size(named) = 1").select("doc_id", "text", F.col("named")[0].alias("lang"))
+    named = docs.where("doc_id is not null and text is not null").select("doc_id", "text", label_languages(F.col("lang")).alias("named")).where("size(named) = 1").select("doc_id", "text", F.get("named", F.lit(0)).alias("lang"))
+    named = named.where(F.col("lang").isin(*texts))
     counts = {r[0]: r[1] for r in named.groupBy("lang").count().collect()}  # one row a language
     if not counts:
         return texts
     share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, posts / n))))
     chosen = named.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53) < share[F.col("lang")])
-    own = chosen.select("lang", "text").mapInPandas(_own_pieces(texts, confidence, 30), "lang string, piece string, news double").dropDuplicates(["lang", "piece"])
-    order = Window.partitionBy("lang").orderBy(F.desc("news"), "piece").rowsBetween(Window.unboundedPreceding, -1)
-    best = own.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(order), F.lit(0))).where(F.col("before") < more)
-    for r in best.orderBy("lang", F.desc("news"), "piece").collect():  # at most ``more`` letters and one piece a language
-        texts[r["lang"]] += " " + r["piece"]
+    pieces = cut(chosen.select("lang", "text").mapInPandas(_long_pieces(30), "lang string, piece string").distinct())
+    for _ in range(rounds):
+        own = pieces.mapInPandas(_own_pieces(texts, confidence), "lang string, piece string, news double")
+        order = Window.partitionBy("lang").orderBy(F.desc("news"), "piece").rowsBetween(Window.unboundedPreceding, -1)
+        best = own.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(order), F.lit(0))).where(F.col("before") < more)
+        texts = dict(texts)
+        for r in best.orderBy("lang", F.desc("news"), "piece").collect():  # at most ``more`` letters and one piece a language
+            texts[r["lang"]] += " " + r["piece"]
     return texts
 
 

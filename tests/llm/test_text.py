@@ -252,6 +252,16 @@ def test_held_out_accuracy(spark):
     assert L.document_languages(own.limit(0), samples).count() == 0 and L.language_segments(own, samples.limit(0)).count() == 0
 
 
+def test_what_is_learnt_is_bounded(spark):
+    samples = spark.createDataFrame([(i, " EN", f"the cat {i} sat on the mat") for i in range(30)] + [(99, "de", "der hund lief und die katze schlief"), (98, None, "x"), (97, "fr", " ")], "sample_id bigint, lang string, text string")
+    docs = spark.createDataFrame([(i, f"the other cat number {i} ran on and on and over the mat. der hund und die katze schlief lange {i}.", ["en", "de", "en, de", None][i % 4]) for i in range(40)], "doc_id bigint, text string, lang string")
+    plain = L.learn(samples, rows=3, letters=40)
+    assert plain == {"en": "the cat 0 sat on the mat the cat 0 sat on the mat"[:40], "de": "der hund lief und die katze schlief"}
+    more = L.learn(samples, docs, rows=3, letters=40, more=10, rounds=2)
+    assert all(more[k].startswith(plain[k]) and len(more[k]) <= 40 + 2 * (10 + 80) for k in plain) and more["en"] != plain["en"]
+    assert "hund" not in more["en"] and "mat" not in more["de"]
+
+
 def test_very_long_text(spark):
     samples = spark.createDataFrame([(1, "en", "the cat sat on the mat and the dog ran"), (2, "de", "der hund lief und die katze schlief")], "sample_id bigint, lang string, text string")
     d = spark.createDataFrame([(1, "the dog sat on the mat and ran " * 20_000, "de")], "doc_id bigint, text string, lang string")
