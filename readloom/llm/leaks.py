@@ -24,6 +24,8 @@ from readloom.session import cut
 
 #: Unchanged words that a passage within the allowed changes holds in a row at least.
 RUN = 5
+#: Cells of the passages' tables that are worked out at once.
+CELLS = 1_000_000
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,51 +96,54 @@ def run_matches(index: DataFrame, tests: DataFrame) -> DataFrame:
     return whole.select("doc_id", "item_id", "shift").distinct()
 
 
-def _can_hold(doc: np.ndarray, item: np.ndarray, shift: int, least: int, one_in: int) -> bool:
-    """Whether a passage may lie along this offset; never false for one that does.
+def _passages(docs: tuple[np.ndarray, np.ndarray], items: tuple[np.ndarray, np.ndarray], pair: np.ndarray, shift: np.ndarray, least: int, one_in: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, changes) of the longest passage of each pair of a document and an item: item words in a row, found with at
+    most one change in ``one_in``; zeros if none.
 
-    A passage strays from the offset of its unchanged run by no more places than it has changes. So its unchanged words
-    stand within that band, and of some ``least`` or more words in a row at most one in ``one_in`` does not.
+    docs and items are flat words and offsets, one text a pair; pair and shift say at which offsets a run stands. A passage
+    strays from the offset of its unchanged run by no more places than it has changes, so only that band of offsets is
+    gone through. reach[x, e, d]: the most item words that end at the current item word, on offset d of band x, with
+    e changes. All bands of about the same length, all offsets and numbers of changes are worked out at once.
     """
-    n, band = len(item), len(item) // one_in
-    if n < least:
-        return False
-    padded = np.full(n + 2 * band, -2, np.int32)
-    lo, hi = max(0, shift - band), min(len(doc), shift + n + band)
-    if hi > lo:
-        padded[lo - (shift - band) : hi - (shift - band)] = doc[lo:hi]
-    near = (np.lib.stride_tricks.sliding_window_view(padded, 2 * band + 1) == item[:, None]).any(axis=1)
-    upto = np.concatenate([[0], np.cumsum(np.where(near, 1, 1 - one_in))])
-    return bool((upto[least:] >= np.minimum.accumulate(upto[: len(upto) - least])).any())
-
-
-def _passage(doc: np.ndarray, item: np.ndarray, least: int, one_in: int) -> tuple[int, int]:
-    """(words, changes) of the longest passage: item words in a row found with at most one change in ``one_in``; zeros if none.
-
-    reach[e, j]: the most item words that end at the current item word and at word j of the document with
-    e changes. All places of the document, and all numbers of changes, are worked out at once, item word by item word.
-    """
-    n, m = len(item), len(doc)
-    edits = n // one_in
-    none = -(10**6)
-    need = np.maximum(least, one_in * np.arange(edits + 1))
-    reach = np.full((edits + 1, m + 1), none, np.int32)
-    reach[0, :] = 0
-    size, changes = 0, 0
-    for i in range(n):
-        now = np.full((edits + 1, m + 1), none, np.int32)
-        same = np.flatnonzero(doc == item[i])
-        now[:, same + 1] = reach[:, same] + 1
-        np.maximum(now[1:, 1:], reach[:-1, :-1] + 1, out=now[1:, 1:])  # changed
-        np.maximum(now[1:], reach[:-1] + 1, out=now[1:])  # missing
-        for e in range(1, edits + 1):
-            np.maximum(now[e, 1:], now[e - 1, :-1], out=now[e, 1:])  # added
-        most = now.max(axis=1)
-        for e in np.flatnonzero(most >= need).tolist():
-            if most[e] > size or (most[e] == size and e < changes):
-                size, changes = int(most[e]), e
-        np.maximum(now[0], 0, out=now[0])
-        reach = now
+    (doc, doc_at), (item, item_at) = docs, items
+    size, changes = np.zeros(len(item_at) - 1, np.int64), np.zeros(len(item_at) - 1, np.int64)
+    length = np.diff(item_at)[pair]
+    order = np.argsort(length, kind="stable")
+    order = order[length[order] >= least]
+    none = np.int32(-(10**6))
+    a = 0
+    while a < len(order):
+        edits = int(length[order[a]]) // one_in
+        width = 2 * edits + 1
+        some = order[a : a + max(1, CELLS // ((edits + 1) * width))]
+        some = some[length[some] // one_in == edits]
+        a += len(some)
+        x, n = pair[some], length[some]
+        first = doc_at[x] + shift[some] - edits
+        need = np.maximum(least, one_in * np.arange(edits + 1))
+        reach = np.full((len(some), edits + 1, width), none, np.int32)
+        reach[:, 0] = 0
+        best = np.zeros(len(some), np.int64)  # words, above the fewest changes
+        for i in range(int(n.max())):
+            at = (first + i)[:, None] + np.arange(width)
+            there = (at >= doc_at[x][:, None]) & (at < doc_at[x + 1][:, None])
+            same = there & (doc[np.clip(at, 0, len(doc) - 1)] == item[np.minimum(item_at[x] + i, len(item) - 1)][:, None])
+            now = np.where(same[:, None, :], reach + 1, none)
+            np.maximum(now[:, 1:], reach[:, :-1] + 1, out=now[:, 1:])  # changed
+            np.maximum(now[:, 1:, :-1], reach[:, :-1, 1:] + 1, out=now[:, 1:, :-1])  # missing
+            for e in range(1, edits + 1):
+                np.maximum(now[:, e, 1:], now[:, e - 1, :-1], out=now[:, e, 1:])  # added
+            most = now.max(axis=2).astype(np.int64)
+            good = (most >= need) & (i < n)[:, None]
+            np.maximum(best, np.where(good, most * (edits + 1) + edits - np.arange(edits + 1), 0).max(axis=1), out=best)
+            np.maximum(now[:, 0], 0, out=now[:, 0])
+            reach = now
+        words_, fewest = best // (edits + 1), edits - best % (edits + 1)
+        key = np.zeros(len(size), np.int64)
+        np.maximum.at(key, x, np.where(best > 0, words_ * (1 << 20) + (1 << 19) - fewest, 0))
+        old = np.where(size > 0, size * (1 << 20) + (1 << 19) - changes, 0)
+        better = key > old
+        size[better], changes[better] = key[better] >> 20, (1 << 19) - (key[better] & ((1 << 20) - 1))
     return size, changes
 
 
@@ -147,28 +152,15 @@ def _verify(least: int, one_in: int):
         for batch in batches:
             if not len(batch):
                 continue
-            rows = []
             both = [batch.column(i) for i in (3, 4)]
             codes = pa.chunked_array([c.flatten() for c in both]).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            ends = np.cumsum(np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in both]))
-            texts = np.split(codes, ends[:-1])
-            shift_ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
-            all_shifts = np.split(batch.column(2).flatten().to_numpy(zero_copy_only=False), shift_ends[:-1])
-            for doc_id, item_id, shifts, doc, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), all_shifts, texts[: len(batch)], texts[len(batch) :]):
-                n = len(item)
-                reach = n + n // one_in + 1
-                spans = [(max(0, s - n // one_in), min(len(doc), s + reach)) for s in shifts.tolist() if _can_hold(doc, item, s, least, one_in)]
-                # only the neighbourhoods of common runs can hold a passage
-                merged: list[list[int]] = []
-                for lo, hi in sorted(spans):
-                    if merged and lo <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], hi)
-                    else:
-                        merged.append([lo, hi])
-                size, changes = max((_passage(doc[lo:hi], item, least, one_in) for lo, hi in merged), key=lambda x: (x[0], -x[1]), default=(0, 0))
-                if size:
-                    rows.append((doc_id, item_id, size, changes))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["doc_id", "item_id", "n_words", "n_changes"])
+            doc_at, item_at = (np.append(0, np.cumsum(pc.list_value_length(c).to_numpy(zero_copy_only=False))).astype(np.int64) for c in both)
+            n_shifts = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            shift = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            size, changes = _passages((codes[: doc_at[-1]], doc_at), (codes[doc_at[-1] :], item_at), np.repeat(np.arange(len(batch)), n_shifts), shift, least, one_in)
+            good = np.flatnonzero(size)
+            ids = [batch.column(i).take(pa.array(good)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(size[good]), pa.array(changes[good])], ["doc_id", "item_id", "n_words", "n_changes"])
 
     return verify
 
