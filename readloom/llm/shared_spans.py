@@ -5,11 +5,12 @@ these hashes gives every window of ``span`` bases its smallest token, and all wi
 form a compact window: one entry stands for a run of spans. Equal spans have the same smallest token, so
 for verbatim spans one hash is enough and loses none. Entries go to the task of their token's hash with
 the bases of their run; there the runs of one token are laid over each other at the token (the interval
-join) and their spans are compared base by base through two independent hashes of their bases. No pair of
-records is ever formed: equal spans become neighbours of a sort, whose groups are then read off.
+join) and their spans are verified base by base, as packed numbers. No pair of records is ever formed: equal spans
+become neighbours of a sort, whose groups are then read off.
 
 Equal sequences are one entry with the smallest and largest read_id, so a sequence that fills a third of
-all rows costs one.
+all rows costs one. A token that very many different sequences share would fill one task: the load of each task is
+counted first, and the spans of overloaded ones are grouped by all their bases instead, by Spark.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
 from readloom.llm.common import mates
+from readloom.session import cut
 
 #: Bases of a token.
 TOKEN = 15
@@ -32,6 +34,10 @@ RUN = 31
 #: Entries that a map task holds before it sends blocks, and spans that a range is meant to hold.
 BLOCK_ENTRIES = 400_000
 RANGE_SPANS = 3_000_000
+#: Entries whose bases are unpacked at once.
+CHUNK_ENTRIES = 20_000
+#: A range is overloaded from so many entries on, if they are also so many times the mean.
+HOT_ENTRIES, HOT_TIMES = 500_000, 4
 _U = np.uint64
 
 
@@ -67,7 +73,32 @@ def _wide(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int)
     return np.ascontiguousarray(words.astype(">u8")).view(np.uint8).reshape(len(starts), -1)[:, :width]
 
 
-def _blocks(span: int, ranges: int) -> Callable:
+def _range(h: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each token hash. Smallest hashes are small; scattered again they fill the ranges evenly."""
+    return ((P.mix32(h ^ np.uint32(0x5BD1E995)).astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
+
+
+def _loads(span: int, ranges: int) -> Callable:
+    """How many entries each batch's texts have for each range; equal texts of a batch count once."""
+
+    def loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = _compact_windows(P.flat(batch.column(0).unique())[0], span)[3]
+            part, n = np.unique(_range(h, ranges), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n)], ["part", "n"])
+
+    return loads
+
+
+def overloaded(texts: DataFrame, span: int, ranges: int) -> list[int]:
+    """The ranges that get far more entries than the mean; at most one in ``HOT_TIMES`` of all. texts has text."""
+    loads = texts.select("text").mapInArrow(_loads(span, ranges), "part int, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
+    loads = cut(loads)
+    mean = (loads.agg(F.sum("n")).first()[0] or 0) / ranges
+    return sorted(r[0] for r in loads.where(F.col("n") > max(HOT_ENTRIES, HOT_TIMES * mean)).select("part").collect())
+
+
+def _blocks(span: int, ranges: int, hot: list[int]) -> Callable:
     width = math.ceil((span + RUN - 1) / 4)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,8 +107,7 @@ def _blocks(span: int, ranges: int) -> Callable:
         def send() -> pa.RecordBatch:
             h, bases, size, off, first, key, owner = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            # smallest hashes are small; scattered again they fill the ranges evenly
-            part = ((P.mix32(h ^ np.uint32(0x5BD1E995)).astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
+            part = _range(h, ranges)
             order = np.lexsort((size, part))  # by size, so that the zeros behind short runs lie together
             part = part[order]
             first = first.astype(np.uint16 if first.max() < 1 << 16 else np.uint32)
@@ -93,6 +123,8 @@ def _blocks(span: int, ranges: int) -> Callable:
         for batch in batches:
             codes, offsets = P.flat(batch.column(0))
             start, size, token, h = _compact_windows(codes, span)
+            if hot:
+                start, size, token, h = (x[~np.isin(_range(h, ranges), hot)] for x in (start, size, token, h))
             if len(start):
                 text = np.searchsorted(offsets, start, side="right") - 1
                 key = batch.column(1).to_numpy(zero_copy_only=False)
@@ -106,6 +138,26 @@ def _blocks(span: int, ranges: int) -> Callable:
     return blocks
 
 
+def _hot_spans(span: int, ranges: int, hot: list[int]) -> Callable:
+    """Each span of the overloaded ranges on its own: its bases, packed, and where it stands."""
+    width = math.ceil(span / 4)
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, offsets = P.flat(batch.column(0))
+            start, size, _, h = _compact_windows(codes, span)
+            some = np.flatnonzero(np.isin(_range(h, ranges), hot))
+            for a in range(0, len(some), 10_000):
+                i = some[a : a + 10_000]
+                at = np.repeat(start[i], size[i]) + np.arange(size[i].sum()) - np.repeat(np.cumsum(size[i]) - size[i], size[i])
+                text = np.searchsorted(offsets, at, side="right") - 1
+                bases = _wide(codes, at, np.full(len(at), span), width)
+                packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(at), [None, pa.py_buffer(np.ascontiguousarray(bases).tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([packed, *(batch.column(c).take(pa.array(text)) for c in (1, 2)), pa.array((at - offsets[text]).astype(np.int64))], ["bases", "key", "owner", "start"])
+
+    return spans
+
+
 def _shared(span: int) -> Callable:
     """Of each range: the runs of spans that stand in more than one read, as (key, start, end) in bases."""
     width = math.ceil((span + RUN - 1) / 4)
@@ -137,7 +189,7 @@ def _shared(span: int) -> Callable:
         for e in group_end:
             if upto[e] - done >= RANGE_SPANS or e == group_end[-1]:
                 i = order[a : e + 1]
-                yield from _compare(bases[i], size[i], off[i], first[i], key[i], owner[i], span)
+                yield from _compare(bases[i], size[i], first[i], key[i], owner[i], span)
                 a, done = e + 1, upto[e]
 
     return shared
@@ -153,30 +205,26 @@ def _token(bases: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _compare(bases: np.ndarray, size: np.ndarray, off: np.ndarray, first: np.ndarray, key: np.ndarray, owner: np.ndarray, span: int) -> Iterator[pa.RecordBatch]:
-    n, top = len(size), int(size.max())
-    letters = np.zeros((n, 4 * bases.shape[1]), np.uint8)
-    for j in range(4):
-        letters[:, j::4] = (bases >> np.uint8(6 - 2 * j)) & np.uint8(3)
-    # two rolling hashes of every span of every entry, as differences of prefix sums of an odd multiplier's powers
-    spans = []
-    for multiplier in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        h = np.zeros(n, _U)
-        out_power = _U(pow(multiplier, span, 1 << 64))
-        rolling = np.empty((n, top), _U)
-        for j in range(span + top - 1):
-            h = h * _U(multiplier) + (letters[:, j] + np.uint8(1)).astype(_U)
-            if j >= span:
-                h = h - (letters[:, j - span] + np.uint8(1)).astype(_U) * out_power
-            if j >= span - 1:
-                rolling[:, j - span + 1] = h
-        spans.append(rolling)
-    entry, j = np.nonzero(np.arange(top)[None, :] < size[:, None])
-    low, high = (r[entry, j] for r in spans)
-    low = low * _U(0xD6E8FEB86659FD93) ^ (high >> _U(7)) ^ (off[entry].astype(np.int64) - j).astype(_U) * _U(0xA0761D6478BD642F)
-    order = np.argsort(low)
-    low, high, entry, j = low[order], high[order], entry[order], j[order]
-    new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))
+def _compare(bases: np.ndarray, size: np.ndarray, first: np.ndarray, key: np.ndarray, owner: np.ndarray, span: int) -> Iterator[pa.RecordBatch]:
+    entry, j = np.nonzero(np.arange(int(size.max()))[None, :] < size[:, None])
+    # all bases of every span, as numbers of up to 32 bases; the last one may overlap the one before
+    letters = 4 * bases.shape[1]
+    k = min(span, 32)
+    offsets = [*range(0, span - k, k), span - k]
+    words = [np.empty(len(entry), _U) for _ in offsets]
+    upto = np.searchsorted(entry, np.arange(0, len(size) + CHUNK_ENTRIES, CHUNK_ENTRIES))
+    for number, (a, b) in enumerate(zip(upto[:-1], upto[1:])):
+        some = bases[number * CHUNK_ENTRIES : (number + 1) * CHUNK_ENTRIES]
+        flat = np.zeros(some.size * 4 + k, np.uint8)
+        for i in range(4):
+            flat[i : some.size * 4 : 4] = ((some >> np.uint8(6 - 2 * i)) & np.uint8(3)).ravel()
+        packed = P.pack(flat, k)
+        at = (entry[a:b] - number * CHUNK_ENTRIES) * letters + j[a:b]
+        for w, o in zip(words, offsets):
+            w[a:b] = packed[at + o]
+    order = np.lexsort(words)
+    words, entry, j = [w[order] for w in words], entry[order], j[order]
+    new = np.append(True, np.logical_or.reduce([w[1:] != w[:-1] for w in words]))
     group = np.cumsum(new) - 1
     at = np.flatnonzero(new)
     who = owner[entry]
@@ -196,16 +244,24 @@ def _compare(bases: np.ndarray, size: np.ndarray, off: np.ndarray, first: np.nda
     yield pa.RecordBatch.from_arrays([pa.array(key[e[begin]]), pa.array(start), pa.array(end)], ["key", "start", "end"])
 
 
-def shared_runs(texts: DataFrame, *, span: int = 50, ranges: int) -> DataFrame:
+def shared_runs(texts: DataFrame, *, span: int = 50, ranges: int, hot: list[int] = ()) -> DataFrame:
     """``(key, start, end)`` in bases of runs of spans that stand in more than one record.
 
     ``texts`` has text, key and owner: owner is a number of the text's record without its lowest bit, which
-    is set where the text belongs to several records. Runs of one text may overlap.
+    is set where the text belongs to several records. Runs of one text may overlap. ``hot`` lists the overloaded ranges.
     """
     if span < TOKEN:
         raise ValueError(f"span must be at least {TOKEN}")
-    blocks = texts.select("text", "key", "owner").mapInArrow(_blocks(span, ranges), "part int, bases binary, sizes binary, offs binary, firsts binary, keys binary, owners binary")
-    return blocks.repartitionById(ranges, F.col("part")).mapInArrow(_shared(span), "key bigint, start bigint, end bigint")
+    hot = list(hot)
+    rows = texts.select("text", "key", "owner")
+    blocks = rows.mapInArrow(_blocks(span, ranges, hot), "part int, bases binary, sizes binary, offs binary, firsts binary, keys binary, owners binary")
+    runs = blocks.repartitionById(ranges, F.col("part")).mapInArrow(_shared(span), "key bigint, start bigint, end bigint")
+    if not hot:
+        return runs
+    # Spark aggregates equal spans where they lie and splits what is skewed in the join
+    spans = rows.mapInArrow(_hot_spans(span, ranges, hot), "bases binary, key bigint, owner bigint, start bigint")
+    many = spans.groupBy("bases").agg(F.min("owner").alias("a"), F.max("owner").alias("b"), F.max(F.col("owner").bitwiseAND(1)).alias("several")).where("a != b or several = 1")
+    return runs.unionByName(spans.join(many, "bases", "left_semi").select("key", "start", (F.col("start") + span).alias("end")))
 
 
 def shared_spans(pairs: DataFrame, *, span: int = 50) -> DataFrame:
@@ -214,8 +270,9 @@ def shared_spans(pairs: DataFrame, *, span: int = 50) -> DataFrame:
     A span is at least ``span`` bases, verbatim, without letters outside ACGT, in either mate of a different
     read_id, as stored (not reverse-complemented). shared_bases counts each base once, however many others
     share it. Rows without a read_id belong to no record and are left out; null, empty and short sequences
-    share nothing; repeated deliveries of a read are one record; very long sequences are cut into runs and
-    need no more memory than many short ones. An empty table gives no rows.
+    share nothing; repeated deliveries of a read are one record; a very long sequence is cut into runs, and only it
+    and the list of its shared runs must fit a task. An empty table gives no rows. Texts and owners are told apart by
+    64-bit hashes.
     """
     two = mates(pairs).select("read_id", F.explode(F.array(*(F.struct(F.lit(m).alias("mate"), F.col(m).alias("seq")) for m in ("fwd", "rev")))).alias("x")).select("read_id", "x.mate", "x.seq").where(F.length("seq") >= span)
     texts = two.groupBy("seq").agg(F.min("read_id").alias("a"), F.max("read_id").alias("b"))
@@ -223,7 +280,8 @@ def shared_spans(pairs: DataFrame, *, span: int = 50) -> DataFrame:
     texts = texts.select(F.concat("seq", F.lit("N")).alias("text"), F.xxhash64("seq").alias("key"), F.when(F.col("a") == F.col("b"), one).otherwise(one.bitwiseOR(F.lit(1))).alias("owner"))
     bases = two.agg(F.coalesce(F.sum(F.length("seq") - span + 1), F.lit(0))).first()[0]
     ranges = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(bases / RANGE_SPANS))
-    runs = shared_runs(texts, span=span, ranges=ranges)
+    hot = overloaded(two.select(F.concat("seq", F.lit("N")).alias("text")), span, ranges)
+    runs = shared_runs(texts, span=span, ranges=ranges, hot=hot)
     before = F.expr("aggregate(array_sort(collect_list(struct(start, end))), struct(0L AS n, 0L AS upto), (s, r) -> struct(s.n + greatest(0L, r.end - greatest(r.start, s.upto)) AS n, greatest(s.upto, r.end) AS upto)).n")
     held = runs.groupBy("key").agg(before.alias("shared_bases"))
     keyed = two.select("read_id", "mate", F.xxhash64("seq").alias("key"), F.length("seq").alias("size")).distinct()

@@ -234,8 +234,8 @@ def _spans_plain(data, span):
     return out
 
 
-@pytest.mark.parametrize("span", [20, 50])
-def test_shared_spans(spark, span):
+@pytest.mark.parametrize("span", [20, 50, 70])
+def test_shared_spans(spark, span, monkeypatch):
     r = rng(7)
     genome = dna(r, 400)
     data = []
@@ -251,6 +251,12 @@ def test_shared_spans(spark, span):
     df = pairs(spark, data).withColumn("key", F.lit("clash")).withColumn("mate", F.lit(0)).repartition(3)
     got = {(x["read_id"], x["mate"]): x["shared_bases"] for x in shared_spans(df, span=span).collect()}
     assert got == want and ("solo", "fwd") not in got
+    # with every range overloaded, and with some
+    for entries in (0, 12):
+        monkeypatch.setattr(spans_module, "HOT_ENTRIES", entries)
+        monkeypatch.setattr(spans_module, "HOT_TIMES", 0)
+        assert spans_module.overloaded(df.select(F.concat(F.upper(F.trim("fwd_seq")), F.lit("N")).alias("text")).na.drop(), span, 4)
+        assert {(x["read_id"], x["mate"]): x["shared_bases"] for x in shared_spans(df, span=span).collect()} == want
     assert shared_spans(df.limit(0), span=span).count() == 0
 
 
