@@ -1,9 +1,11 @@
 """Best representative of each duplicate group (problem 4).
 
-The exemplar and the two mates are chosen by quality, as the data's statement asks. What quality does not
-decide, the values that a group's read currently carries (source, exemplar link), is settled by currency reasoning: from
-reads delivered more than once with known times we learn which kind of value follows which, and where a
-row's time is missing the learnt precedence says whether its value is later than the latest dated one.
+Currency reasoning. From reads delivered more than once at known times we learn which kind of value follows which: of
+source, exemplar link, and forward and reverse quality. The rows of a group then form a partial order. For the
+exemplar and the two mates a row precedes those of better quality, which is what the data's statement asks; among rows
+that quality leaves equal, and for the values that the group carries, a dated row precedes later ones, and where a time is
+missing the learnt transitions decide. The topologically latest rows, which none follows, survive. Rows of the
+same kinds are one node of the order, so a group of any size has a few nodes only.
 """
 
 from __future__ import annotations
@@ -44,23 +46,27 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, [f"c{j}" for j in range(len(out))])
 
 
-def _value_kind(field: str) -> Column:
-    """The kinds of values between which transitions are learnt."""
-    if field == "exemplar":
-        return F.when(F.col("exemplar").isNull(), "none").when(F.col("exemplar") == F.col("read_id"), "self").otherwise("other")
-    return F.when(F.coalesce(F.length(field), F.lit(0)) == 0, "none").otherwise("named")
+def _quality_kind(qual: Column, seq: Column) -> Column:
+    n = F.coalesce(F.length(qual), F.lit(0))
+    fits = F.when(qual.rlike(r"^(.)\1*$"), "flat").when(qual.rlike(f"[^\\x00-{chr(OFFSET_33_MAX)}]"), "offset64").otherwise("offset33")
+    return F.when(n == 0, "none").when(n != F.coalesce(F.length(seq), F.lit(0)), "misfit").otherwise(fits)
 
 
-#: Fields settled by currency reasoning.
-FIELDS = ("source", "exemplar")
+#: Fields between whose kinds of values transitions are learnt.
+FIELDS = ("source", "exemplar", "fwd_qual", "rev_qual")
+#: Those of which a group carries a current value.
+CARRIED = ("source", "exemplar")
 
 
 def _named(pairs: DataFrame) -> list[Column]:
-    return [bare_read_id("read_id").alias("read_id"), bare("source").alias("source"), bare_read_id("exemplar_id").alias("exemplar"), F.col("received_at").cast("timestamp_ntz").alias("at")]
-
-
-def _values(pairs: DataFrame) -> DataFrame:
-    return pairs.select(*_named(pairs)).where("read_id is not null")
+    """read_id, the carried values and the time of each row, and the kind of each field's value."""
+    name, source, exemplar = bare_read_id("read_id"), bare("source"), bare_read_id("exemplar_id")
+    kinds = {
+        "source": F.when(F.coalesce(F.length(source), F.lit(0)) == 0, "none").otherwise("named"),
+        "exemplar": F.when(exemplar.isNull(), "none").when(exemplar == name, "self").otherwise("other"),
+        **{f"{m}_qual": _quality_kind(bare(f"{m}_qual"), clean_seq(f"{m}_seq")) for m in ("fwd", "rev")},
+    }
+    return [name.alias("read_id"), source.alias("source"), exemplar.alias("exemplar"), F.col("received_at").cast("timestamp_ntz").alias("at"), *(kinds[f].alias(f"{f}_kind") for f in FIELDS)]
 
 
 def _rows(pairs: DataFrame) -> DataFrame:
@@ -103,7 +109,7 @@ def learn_precedence(pairs: DataFrame) -> dict[str, list[tuple[str, str]]]:
     A read's rows are its deliveries; each is compared with the one before. What comes to the driver is one count for each
     field and pair of kinds.
     """
-    dated = _values(pairs).where("at is not null").select("read_id", "at", *(_value_kind(f).alias(f"{f}_kind") for f in FIELDS)).distinct()
+    dated = pairs.select(*_named(pairs)).where("read_id is not null and at is not null").select("read_id", "at", *(f"{f}_kind" for f in FIELDS)).distinct()
     by_time = Window.partitionBy("read_id").orderBy("at", *(f"{f}_kind" for f in FIELDS))
     seen = dated.withColumns({f"{f}_before": F.lag(f"{f}_kind").over(by_time) for f in FIELDS})
     steps = seen.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"{f}_before").alias("before"), F.col(f"{f}_kind").alias("kind")) for f in FIELDS))).alias("x")).select("x.*")
@@ -113,22 +119,18 @@ def learn_precedence(pairs: DataFrame) -> dict[str, list[tuple[str, str]]]:
     return {f: _acyclic(c) for f, c in counts.items()}
 
 
-def _current(field: str, precedence: list[tuple[str, str]]) -> list[Column]:
-    """Aggregates of a group: its latest dated value, and its undated value of the latest kind."""
-    rank = F.lit(0)
-    for later in {b for _, b in precedence}:
-        rank = F.when(F.col(f"{field}_kind") == later, sum(b == later for _, b in precedence)).otherwise(rank)
-    row = F.struct("at", rank.alias("rank"), F.col(f"{field}_kind").alias("kind"), F.col(field).alias("value"))
-    undated = F.struct(rank.alias("rank"), F.col(f"{field}_kind").alias("kind"), F.col(field).alias("value"))
-    return [F.max(F.when(F.col("at").isNotNull(), row)).alias(f"{field}_dated"), F.max(F.when(F.col("at").isNull(), undated)).alias(f"{field}_undated")]
+def _follows(field: str, learnt: list[tuple[str, str]], a: Column, b: Column) -> Column:
+    """Whether node b of a group's order is later than node a: by their times, or by what is learnt of their kinds."""
+    later = F.lit(False)
+    for before, after in learnt:
+        later = later | ((a[f"{field}_kind"] == before) & (b[f"{field}_kind"] == after))
+    return F.when(a["at"].isNotNull() & b["at"].isNotNull(), b["at"] > a["at"]).otherwise(later)
 
 
-def _settled(field: str, precedence: list[tuple[str, str]]) -> Column:
-    dated, undated = F.col(f"{field}_dated"), F.col(f"{field}_undated")
-    later = F.lit(False)
-    for a, b in precedence:
-        later = later | ((dated["kind"] == a) & (undated["kind"] == b))
-    return F.when(dated.isNull() | (undated.isNotNull() & later), undated["value"]).otherwise(dated["value"])
+def _latest(nodes: Column, follows) -> Column:
+    """The nodes that none follows; all of them if times and learnt transitions run in a circle."""
+    last = F.filter(nodes, lambda a: ~F.exists(nodes, lambda b: F.coalesce(follows(a, b), F.lit(False))))
+    return F.when(F.size(last) > 0, last).otherwise(nodes)
 
 
 def representatives(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -140,24 +142,36 @@ def representatives(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     of that mate (mean, length, read_id), null where no row has one. A quality is usable if it is not blank
     and as long as its non-empty sequence. Nulls in any column only make a mate unusable; a group none of
     whose reads has a row has null choices. Repeated rows change nothing. Rows are reduced to a few numbers
-    before they are shuffled, and aggregated a group in parts, so a group of any size fits.
+    before they are shuffled, and aggregated in parts to the nodes of their group's order, at most one for each combination
+    of kinds, dated and undated. current_source and current_exemplar are those of the latest node; of several, a
+    dated one's, then the largest value.
     """
     rows = _rows(pairs).join(groups.select("read_id", "group_id"), "read_id")
     learnt = learn_precedence(pairs)
     usable = F.col("fwd_ok").cast("int") + F.col("rev_ok").cast("int")
     length = F.when(F.col("fwd_ok"), F.col("fwd_len")).otherwise(0) + F.when(F.col("rev_ok"), F.col("rev_len")).otherwise(0)
     mean = F.when(length > 0, (F.col("fwd_phred") + F.col("rev_phred")) / length).otherwise(F.lit(0.0))
-    picks = [F.min(F.struct((-usable).alias("a"), (-mean).alias("b"), (-(F.col("fwd_len") + F.col("rev_len"))).alias("c"), "read_id")).alias("best")]
+    # what precedes by quality, the best smallest
+    rules = {"best": F.struct((-usable).alias("a"), (-mean).alias("b"), (-(F.col("fwd_len") + F.col("rev_len"))).alias("c"), "read_id")}
     for m in ("fwd", "rev"):
-        picks.append(F.min(F.when(F.col(f"{m}_ok"), F.struct((-F.col(f"{m}_phred") / F.col(f"{m}_len")).alias("b"), (-F.col(f"{m}_len")).alias("c"), "read_id"))).alias(m))
-    for f in FIELDS:
-        rows = rows.withColumn(f"{f}_kind", _value_kind(f))
-        picks += _current(f, learnt[f])
-    got = rows.groupBy("group_id").agg(F.count("*").alias("n_rows"), *picks)
+        rules[m] = F.when(F.col(f"{m}_ok"), F.struct(F.lit(0).alias("a"), (-F.col(f"{m}_phred") / F.col(f"{m}_len")).alias("b"), (-F.col(f"{m}_len")).alias("c"), "read_id"))
+    kinds = [f"{f}_kind" for f in FIELDS]
+    carried = [F.max(F.struct("at", F.col(f).alias("value"))).alias(f) for f in CARRIED]
+    nodes = rows.groupBy("group_id", *kinds, F.col("at").isNotNull().alias("dated")).agg(F.count("*").alias("n"), F.max("at").alias("at"), *(F.min(rule).alias(name) for name, rule in rules.items()), *carried)
+    order = nodes.groupBy("group_id").agg(F.sum("n").alias("n_rows"), F.collect_list(F.struct("dated", "at", *kinds, *rules, *CARRIED)).alias("nodes"))
+
+    def survivor(rule: str, field: str) -> Column:
+        able = F.filter("nodes", lambda x: x[rule].isNotNull())
+        last = _latest(able, lambda a, b: (b[rule] < a[rule]) | ((b[rule] == a[rule]) & _follows(field, learnt[field], a, b)))
+        return F.array_min(F.transform(last, lambda x: x[rule]))["read_id"]
+
+    def current(field: str) -> Column:
+        last = _latest(F.col("nodes"), lambda a, b: _follows(field, learnt[field], a, b))
+        return F.array_max(F.transform(last, lambda x: F.struct(x["dated"].alias("dated"), x["at"].alias("at"), x[field]["value"].alias("value"))))["value"]
+
+    got = order.select("group_id", "n_rows", survivor("best", "exemplar").alias("exemplar_id"), survivor("fwd", "fwd_qual").alias("fwd_from"), survivor("rev", "rev_qual").alias("rev_from"), *(current(f).alias(f"current_{f}") for f in CARRIED))
     out = groups.select("group_id").distinct().join(got, "group_id", "left")
-    return out.select(
-        "group_id", F.col("best.read_id").alias("exemplar_id"), F.col("fwd.read_id").alias("fwd_from"), F.col("rev.read_id").alias("rev_from"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), *(_settled(f, learnt[f]).alias(f"current_{f}") for f in FIELDS)
-    )
+    return out.select("group_id", "exemplar_id", "fwd_from", "rev_from", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), *(f"current_{f}" for f in CARRIED))
 
 
 def surviving_pairs(pairs: DataFrame, chosen: DataFrame) -> DataFrame:

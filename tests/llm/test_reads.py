@@ -202,11 +202,30 @@ def test_currency_reasoning(spark):
         data += [pair(f"t{i}", "ACGT", "ACGT", exemplar=None, at=t(1)), pair(f"t{i}", "ACGT", "ACGT", exemplar="other", at=t(2 + i))]
     data += [pair("u", "ACGT", "ACGT", exemplar=None, at=t(9)), pair("u", "ACGT", "ACGT", exemplar="late"), pair("v", "ACGT", "ACGT", exemplar="kept", at=t(9)), pair("v", "ACGT", "ACGT", exemplar=None)]
     df = pairs(spark, data)
-    assert learn_precedence(df) == {"source": [], "exemplar": [("none", "other")]}
+    assert learn_precedence(df) == {"source": [], "exemplar": [("none", "other")], "fwd_qual": [], "rev_qual": []}
     gs = spark.createDataFrame([("u", "u"), ("v", "v")], "read_id string, group_id string")
     assert {x["group_id"]: x["current_exemplar"] for x in representatives(df, gs).collect()} == {"u": "late", "v": "kept"}
 
 
+def test_orders_of_groups(spark):
+    """Quality kinds, dated chains, circles of learnt transitions, and the plan of the registered query."""
+    t = lambda n: __import__("datetime").datetime(2031, 1, n)
+    data = []
+    for i in range(4):
+        data += [pair(f"t{i}", "ACGT", "ACGT", fq="", source=None, at=t(1)), pair(f"t{i}", "ACGT", "ACGT", fq="FFFF", at=t(2)), pair(f"t{i}", "ACGT", "ACGT", fq="hijk", at=t(3)), pair(f"t{i}", "ACGT", "ACGT", fq="FGH", at=t(4)), pair(f"t{i}", "ACGT", "ACGT", fq="FGHI", at=t(5))]
+    df = pairs(spark, data + [pair("a", "ACGT", "ACGT", source="x", at=t(3)), pair("b", "ACGT", "ACGT", source="y", at=t(8)), pair("c", "ACGT", "ACGT", source="w"), pair("d", "ACGT", "ACGT", source=None)])
+    learnt = learn_precedence(df)
+    chain = ["none", "flat", "offset64", "misfit", "offset33"]
+    assert learnt["fwd_qual"] == sorted((a, b) for i, a in enumerate(chain) for b in chain[i + 1 :]) and learnt["source"] == [("none", "named")]
+    gs = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("t1", "d")], "read_id string, group_id string")
+    got = {x["group_id"]: x for x in representatives(df, gs).collect()}
+    assert (got["a"]["current_source"], got["a"]["n_rows"], got["a"]["fwd_from"]) == ("y", 3, "a")
+    # hijk is written with offset 64 and its mean is 41.5
+    assert (got["d"]["current_source"], got["d"]["n_rows"], got["d"]["fwd_from"], got["d"]["exemplar_id"]) == ("s", 6, "t1", "t1")
+    plan = representatives(df, gs).select("group_id", "exemplar_id", "fwd_from", "rev_from")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan and "exists" in plan and "_kind" in plan
+
+
 # 5
 def _spans_plain(data, span):
     where = defaultdict(set)
