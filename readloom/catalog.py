@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom import oracles
 from readloom.functions.seqs import clean_seq
 from readloom.operators import containment, dedup, kmers, overlap, pileup, trim
 from readloom.plans import assemble, loop
@@ -71,8 +72,8 @@ def high_freq_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sanitized_kmers(spark: SparkSession, d: str) -> DataFrame:
-    """The forward mates' k-mers without those that an adapter holds."""
-    mates = _pairs(spark, d).select(F.col("read_id").alias("idx"), clean_seq("fwd_seq").alias("seq"))
+    """The mates' k-mers without those that an adapter holds."""
+    mates = _pairs(spark, d).select(F.col("read_id").alias("idx"), F.explode(F.array(clean_seq("fwd_seq"), clean_seq("rev_seq"))).alias("seq"))
     return kmers.sanitized_query_kmers(mates, _seqs(spark, d, "adapter"), K).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
@@ -97,13 +98,15 @@ def _mates(spark: SparkSession, d: str) -> DataFrame:
     return both.where("length(seq) > 0").distinct().select(F.col("seq").alias("idx"), "seq")
 
 
-def _numbered(mates: DataFrame) -> DataFrame:
-    """Sequences under a short key, as overlaps send keys and not letters."""
-    return mates.select(F.xxhash64("seq").alias("idx"), "seq")
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    """The same named by the smallest read that has them: overlaps send names and not letters."""
+    p = _pairs(spark, d).where("read_id is not null")
+    both = [p.select(F.concat("read_id", F.lit(f"/{i}")).alias("idx"), clean_seq(f"{m}_seq").alias("seq")) for i, m in ((1, "fwd"), (2, "rev"))]
+    return both[0].unionByName(both[1]).where("length(seq) > 0").groupBy("seq").agg(F.min("idx").alias("idx")).select("idx", "seq")
 
 
 def overlap_edges(spark: SparkSession, d: str) -> DataFrame:
-    return overlap.overlap_edges(_numbered(_mates(spark, d)), n0=N0, n1=N1)
+    return overlap.overlap_edges(_named(spark, d), n0=N0, n1=N1)
 
 
 def contig_overlap_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -113,15 +116,16 @@ def contig_overlap_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seed_connected(spark: SparkSession, d: str) -> DataFrame:
-    mates = cut(_numbered(_mates(spark, d)))
+    mates = cut(_named(spark, d))
     found = containment.seed_containment(mates, _seqs(spark, d, "seed"))
     return overlap.seed_connected(overlap.overlap_edges(mates, n0=N0, n1=N1), found).select("id", "depth")
 
 
 def fasta_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Number of pairs, and longest and total length of the mates, by source."""
     p = _pairs(spark, d).where("source is not null")
-    size = F.coalesce(F.length(clean_seq("fwd_seq")), F.lit(0))
-    return p.groupBy("source").agg(F.count("*").alias("n_pairs"), F.max(size).alias("longest"), F.sum(size).alias("total"))
+    fwd, rev = (F.coalesce(F.length(clean_seq(c)), F.lit(0)) for c in ("fwd_seq", "rev_seq"))
+    return p.groupBy("source").agg(F.count("*").alias("n_pairs"), F.max(F.greatest(fwd, rev)).alias("longest"), F.sum(fwd + rev).alias("total"))
 
 
 def source_names(spark: SparkSession, d: str) -> DataFrame:
@@ -158,9 +162,9 @@ def tagged_fastq(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fasta_records(spark: SparkSession, d: str) -> DataFrame:
-    """The longest forward mate of each source as a FASTA record."""
-    p = _pairs(spark, d).where("source is not null and fwd_seq is not null")
-    best = p.groupBy("source").agg(F.max(F.struct(F.length(clean_seq("fwd_seq")).alias("n"), clean_seq("fwd_seq").alias("seq"))).alias("x"))
+    """The longest mate of each source as a FASTA record."""
+    p = _pairs(spark, d).where("source is not null").select("source", F.explode(F.array(clean_seq("fwd_seq"), clean_seq("rev_seq"))).alias("seq"))
+    best = p.where("seq is not null").groupBy("source").agg(F.max(F.struct(F.length("seq").alias("n"), "seq")).alias("x"))
     return fasta_text(best.select(F.col("source").alias("idx"), F.col("source").alias("id"), F.lit(None).cast("string").alias("description"), "x.seq"))
 
 
@@ -257,6 +261,7 @@ _NAMED = r"""regexp_replace(array_to_string(list_filter(string_split(regexp_repl
 def oracle_sql() -> dict[str, str]:
     filtered = f"WITH {_PAIR}, {_MER}, {_WANTED} SELECT source, ordinal, read_id FROM pair WHERE rn IN (SELECT rn FROM mer WHERE kmer IN (SELECT kmer FROM wanted))"
     header = "CASE WHEN source IS NULL THEN rtrim({0}_header) WHEN {0}_header IS NULL THEN source ELSE rtrim({0}_header) || ' ' || source END"
+    edges = oracles.EDGES.format(n0=N0, n1=N1, h=max(1, N1 // 2))
     record = "{h} || chr(10) || coalesce({0}_seq, '') || chr(10) || '+' || chr(10) || coalesce({0}_qual, '')"
     return {
         "read_filter": filtered,
@@ -266,14 +271,23 @@ def oracle_sql() -> dict[str, str]:
         "kmer_counts_by_source": f"WITH {_PAIR}, {_MER} SELECT source, kmer, count(*) AS n FROM mer GROUP BY source, kmer",
         "high_freq_kmers": f"WITH {_PAIR}, {_MER}, {_HIGH} SELECT kmer, max_count FROM high",
         "high_freq_records": f"WITH {_PAIR}, {_MER}, {_HIGH} SELECT '>kmer_max_' || max_count || '_obs' || chr(10) || kmer AS value FROM high",
-        "sanitized_kmers": f"WITH {_PAIR}, {_set('ad', chr(39) + 'adapter' + chr(39))}, w AS (SELECT substr(f, i::INT, 21) AS kmer FROM (SELECT f, unnest(range(1, length(f) - 19)) AS i FROM pair WHERE length(f) >= 21)) SELECT kmer, count(*) AS n FROM w WHERE least(kmer, {_RC.format('kmer')}) NOT IN (SELECT kmer FROM ad) GROUP BY kmer",
+        "sanitized_kmers": f"WITH {_PAIR}, {_set('ad', chr(39) + 'adapter' + chr(39))}, w AS (SELECT substr(s, i::INT, 21) AS kmer FROM (SELECT s, unnest(range(1, length(s) - 19)) AS i FROM (SELECT unnest([f, r]) AS s FROM pair) WHERE length(s) >= 21)) SELECT kmer, count(*) AS n FROM w WHERE least(kmer, {_RC.format('kmer')}) NOT IN (SELECT kmer FROM ad) GROUP BY kmer",
         "seed_containment": f"WITH {_PAIR}, {_MATE}, {_PATTERN}, {_HIT}, {_CONTAINED} SELECT seq AS id, orientation FROM contained",
         "seed_positions": f"WITH {_PAIR}, {_MATE}, {_PATTERN}, {_HIT} SELECT DISTINCT seq AS id, unnest(range(pos, pos + size)) AS pos FROM hit",
         "oriented_mates": f"WITH {_PAIR}, {_MATE}, {_PATTERN}, {_HIT}, {_CONTAINED} SELECT seq AS idx, orientation, CASE WHEN orientation < 0 THEN {_RC.format('seq')} ELSE seq END AS seq FROM contained",
-        "fasta_stats": f"WITH {_PAIR} SELECT source, count(*) AS n_pairs, max(length(f)) AS longest, sum(length(f))::BIGINT AS total FROM pair WHERE source IS NOT NULL GROUP BY source",
+        "fasta_stats": f"WITH {_PAIR} SELECT source, count(*) AS n_pairs, max(greatest(length(f), length(r))) AS longest, sum(length(f) + length(r))::BIGINT AS total FROM pair WHERE source IS NOT NULL GROUP BY source",
         "source_names": f"WITH s AS (SELECT DISTINCT {_TRIM.format('s3_path')} AS p FROM s3_records WHERE s3_path IS NOT NULL), n AS (SELECT p, {_NAMED} AS filename FROM s WHERE p <> '') SELECT p AS s3_path, filename, CASE WHEN NOT regexp_matches(p, '^(s3|file):/') THEN 'scheme' WHEN NOT regexp_matches(lower(p), '\\.(fastq|fq)\\.zst$') THEN 'extension' WHEN length(filename) > 245 THEN 'length' WHEN count(*) OVER (PARTITION BY filename) > 1 THEN 'repeated' END AS problem FROM n",
         "priority_files": "SELECT DISTINCT trim(s3_path) AS s3_path FROM s3_records WHERE priority = 1 AND s3_path IS NOT NULL",
         "tagged_fastq": "SELECT source, ordinal, " + record.format("fwd", h=header.format("fwd")) + " || chr(10) || " + record.format("rev", h=header.format("rev")) + " AS value FROM read_pairs",
+        "overlap_edges": f"WITH {oracles.NAMED}, {edges} SELECT src, dst, orientation FROM edge",
+        "seed_connected": f"WITH RECURSIVE {oracles.NAMED}, {edges}, {_PATTERN}, {oracles.SEED_CONNECTED}",
+        "minimizers": oracles.MINIMIZERS,
+        "dedup_edges": oracles.DEDUP_EDGES,
+        "dedup_exemplars": oracles.DEDUP_EXEMPLARS,
+        "fasta_records": f"WITH mate AS (SELECT source, unnest([{_CLEAN.format('fwd_seq')}, {_CLEAN.format('rev_seq')}]) AS s FROM read_pairs WHERE source IS NOT NULL), best AS (SELECT source, s FROM mate WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY length(s) DESC, s DESC) = 1) SELECT source AS idx, '>' || source || chr(10) || rtrim(regexp_replace(s, '(.{{60}})', '\\1' || chr(10), 'g'), chr(10)) AS value FROM best",
+        "placed_reads": oracles.PLACED_READS,
+        "pileup_columns": oracles.PILEUP_COLUMNS,
+        "pileup_pairs": oracles.PILEUP_PAIRS.format(pattern=_PATTERN),
         "stream_read_filter": filtered,
         "stream_first_deliveries": "SELECT DISTINCT read_id FROM read_pairs WHERE read_id IS NOT NULL",
     }

@@ -9,7 +9,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.functions.seqs import canonical, clean_seq, kmers
+from readloom.functions.seqs import bare, canonical, clean_seq, kmers
 from readloom.operators.components import connected_components
 from readloom.session import cut
 
@@ -172,7 +172,7 @@ def deduplicate(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
     members = connected_components(edges)
     links = edges.select(F.col("a").alias("class_id")).unionByName(edges.select(F.col("b").alias("class_id"))).groupBy("class_id").agg(F.count("*").alias("n_links"))
     fwd, rev = (F.coalesce(clean_seq(c), F.lit("")) for c in ("fwd_seq", "rev_seq"))
-    quals = F.concat(F.coalesce(F.btrim("fwd_qual"), F.lit("")), F.coalesce(F.btrim("rev_qual"), F.lit("")))
+    quals = F.concat(F.coalesce(bare("fwd_qual"), F.lit("")), F.coalesce(bare("rev_qual"), F.lit("")))
     # the sum of the character codes, without a loop over them in the plan's expressions
     codes = F.aggregate(F.transform(F.split(quals, ""), F.ascii), F.lit(0).cast("bigint"), lambda a, x: a + x)
     mean = F.when(F.length(quals) > 0, codes / F.length(quals) - 33).otherwise(F.lit(0.0))

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from readloom.functions.seqs import bare
+
 #: Pairs of one Arrow batch.
 BATCH_PAIRS = 10_000
 #: Longest name of a source.
@@ -118,7 +120,7 @@ def source_records(paths: DataFrame, col: str = "s3_path") -> DataFrame:
     A path needs a scheme s3 or file, a name that ends in .fastq.zst or .fq.zst in any case, and a source name of at
     most ``MAX_NAME`` letters that no other path has.
     """
-    rows = paths.where(F.col(col).isNotNull()).select(F.btrim(F.col(col)).alias("s3_path")).where("s3_path != ''").distinct().withColumn("filename", source_name(F.col("s3_path")))
+    rows = paths.where(F.col(col).isNotNull()).select(bare(F.col(col)).alias("s3_path")).where("s3_path != ''").distinct().withColumn("filename", source_name(F.col("s3_path")))
     shared = rows.groupBy("filename").agg(F.count("*").alias("n"))
     problem = F.when(~F.col("s3_path").rlike(r"^(?:s3|file):/"), "scheme").when(~F.lower("s3_path").rlike(r"\.(?:fastq|fq)\.zst$"), "extension").when(F.length("filename") > MAX_NAME, "length").when(F.col("n") > 1, "repeated")
     return rows.join(shared, "filename").select("s3_path", "filename", problem.alias("problem"))
