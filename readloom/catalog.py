@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom import oracles
-from readloom.functions.seqs import clean_seq
+from readloom.functions.seqs import bare, clean_seq
 from readloom.operators import containment, dedup, kmers, overlap, pileup, trim
 from readloom.plans import assemble, loop
 from readloom.session import cut, shared_folder, table
-from readloom.sinks import fasta_text, fastq_text, high_freq_fasta
-from readloom.sources.fastq import paths_by_priority, source_records
+from readloom.sinks import fasta_text, fastq_text, high_freq_fasta, kmer_fasta
+from readloom.sources.fastq import missing_priorities, paths_by_priority, sample_name, source_records
 from readloom.streaming import search
 
 #: Length of the k-mers of read search, and of high-frequency counting; least count of the latter.
@@ -71,6 +71,11 @@ def high_freq_records(spark: SparkSession, d: str) -> DataFrame:
     return high_freq_fasta(high_freq_kmers(spark, d))
 
 
+def wanted_records(spark: SparkSession, d: str) -> DataFrame:
+    """The searched k-mers as numbered FASTA records."""
+    return kmer_fasta(_wanted(spark, d))
+
+
 def sanitized_kmers(spark: SparkSession, d: str) -> DataFrame:
     """The mates' k-mers without those that an adapter holds."""
     mates = _pairs(spark, d).select(F.col("read_id").alias("idx"), F.explode(F.array(clean_seq("fwd_seq"), clean_seq("rev_seq"))).alias("seq"))
@@ -137,6 +142,16 @@ def priority_files(spark: SparkSession, d: str) -> DataFrame:
     return paths_by_priority(listed, 1).where("s3_path is not null").select(F.trim("s3_path").alias("s3_path")).distinct()
 
 
+def missing(spark: SparkSession, d: str) -> DataFrame:
+    return missing_priorities(table(spark, d, "s3_records"))
+
+
+def sample_names(spark: SparkSession, d: str) -> DataFrame:
+    """How many records each sample has, over the paths as FASTQ files of a mate."""
+    paths = table(spark, d, "s3_records").where("s3_path is not null").select(F.regexp_replace(bare("s3_path"), r"(?i)\.(?:fastq|fq)\.zst$", "_1.fastq").alias("path"))
+    return paths.groupBy(sample_name(F.col("path")).alias("sample")).agg(F.count("*").alias("n"))
+
+
 def minimizers(spark: SparkSession, d: str) -> DataFrame:
     p = dedup.DedupParams()
     classes = dedup.read_classes(_pairs(spark, d), p)
@@ -153,6 +168,10 @@ def dedup_exemplars(spark: SparkSession, d: str) -> DataFrame:
     return dedup.deduplicate(_pairs(spark, d))
 
 
+def dedup_counts(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.dedup_summary(_pairs(spark, d))
+
+
 def trimmed_reads(spark: SparkSession, d: str) -> DataFrame:
     return trim.trim_reads(_pairs(spark, d), _seqs(spark, d, "adapter")).select("source", "ordinal", "read_id", "fwd_seq", "fwd_qual", "rev_seq", "rev_qual")
 
@@ -208,6 +227,10 @@ def pileup_pairs(spark: SparkSession, d: str) -> DataFrame:
     return pileup.pileup_pairs(bases, at)
 
 
+def pileup_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return pileup.pileup_bounds(pileup_pairs(spark, d))
+
+
 def _landed(spark: SparkSession, d: str, make: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """What a stream over the read pairs' files writes until none is left."""
     out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -227,11 +250,11 @@ def stream_first_deliveries(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        read_filter, read_filter_joined, read_anti_filter, kmer_counts, kmer_counts_by_source, high_freq_kmers, high_freq_records, sanitized_kmers, seed_containment, seed_positions, oriented_mates,
-        overlap_edges, contig_overlap_edges, seed_connected, fasta_stats, source_names, priority_files, minimizers, dedup_edges, dedup_exemplars, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs, grown_contigs_overlaps,
-        placed_reads, pileup_columns, pileup_pairs, stream_read_filter, stream_first_deliveries,
+        read_filter, read_filter_joined, read_anti_filter, kmer_counts, kmer_counts_by_source, high_freq_kmers, high_freq_records, wanted_records, sanitized_kmers, seed_containment, seed_positions, oriented_mates,
+        overlap_edges, contig_overlap_edges, seed_connected, fasta_stats, source_names, priority_files, sample_names, minimizers, dedup_edges, dedup_exemplars, dedup_counts, trimmed_reads, tagged_fastq, fasta_records, contigs, grown_contigs, grown_contigs_overlaps,
+        placed_reads, pileup_columns, pileup_pairs, pileup_bounds, stream_read_filter, stream_first_deliveries,
     )
-    return {f.__name__: f for f in every}
+    return {f.__name__: f for f in every} | {"missing_priorities": missing}
 
 
 _CLEAN = r"upper(regexp_replace({0}, '^\s+|\s+$', '', 'g'))"
@@ -279,14 +302,19 @@ def oracle_sql() -> dict[str, str]:
         "source_names": f"WITH s AS (SELECT DISTINCT {_TRIM.format('s3_path')} AS p FROM s3_records WHERE s3_path IS NOT NULL), n AS (SELECT p, {_NAMED} AS filename FROM s WHERE p <> '') SELECT p AS s3_path, filename, CASE WHEN NOT regexp_matches(p, '^(s3|file):/') THEN 'scheme' WHEN NOT regexp_matches(lower(p), '\\.(fastq|fq)\\.zst$') THEN 'extension' WHEN length(filename) > 245 THEN 'length' WHEN count(*) OVER (PARTITION BY filename) > 1 THEN 'repeated' END AS problem FROM n",
         "priority_files": "SELECT DISTINCT trim(s3_path) AS s3_path FROM s3_records WHERE priority = 1 AND s3_path IS NOT NULL",
         "tagged_fastq": "SELECT source, ordinal, " + record.format("fwd", h=header.format("fwd")) + " || chr(10) || " + record.format("rev", h=header.format("rev")) + " AS value FROM read_pairs",
+        "wanted_records": f"WITH {_WANTED}, numbered AS (SELECT kmer, row_number() OVER (ORDER BY kmer) AS n FROM wanted) SELECT n, '>kmer_' || n || chr(10) || kmer AS value FROM numbered",
+        "missing_priorities": "SELECT i::INT AS priority FROM (SELECT unnest(range(1, max(priority) + 1)) AS i FROM s3_records) WHERE i NOT IN (SELECT priority FROM s3_records WHERE priority IS NOT NULL)",
+        "sample_names": f"SELECT regexp_replace(string_split(p, '/')[-1], '_[12]\\.fastq$', '') AS sample, count(*) AS n FROM (SELECT regexp_replace({_TRIM.format('s3_path')}, '\\.(fastq|fq)\\.zst$', '_1.fastq', 'i') AS p FROM s3_records WHERE s3_path IS NOT NULL) GROUP BY 1",
         "overlap_edges": f"WITH {oracles.NAMED}, {edges} SELECT src, dst, orientation FROM edge",
         "seed_connected": f"WITH RECURSIVE {oracles.NAMED}, {edges}, {_PATTERN}, {oracles.SEED_CONNECTED}",
         "minimizers": oracles.MINIMIZERS,
         "dedup_edges": oracles.DEDUP_EDGES,
         "dedup_exemplars": oracles.DEDUP_EXEMPLARS,
+        "dedup_counts": oracles.DEDUP_COUNTS,
         "fasta_records": f"WITH mate AS (SELECT source, unnest([{_CLEAN.format('fwd_seq')}, {_CLEAN.format('rev_seq')}]) AS s FROM read_pairs WHERE source IS NOT NULL), best AS (SELECT source, s FROM mate WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY length(s) DESC, s DESC) = 1) SELECT source AS idx, '>' || source || chr(10) || rtrim(regexp_replace(s, '(.{{60}})', '\\1' || chr(10), 'g'), chr(10)) AS value FROM best",
         "placed_reads": oracles.PLACED_READS,
         "pileup_columns": oracles.PILEUP_COLUMNS,
+        "pileup_bounds": "SELECT idx, min(start) AS first_start, max(start) AS last_start, 0 AS most_insertions FROM (" + oracles.PILEUP_PAIRS.format(pattern=_PATTERN) + ") GROUP BY idx",
         "pileup_pairs": oracles.PILEUP_PAIRS.format(pattern=_PATTERN),
         "stream_read_filter": filtered,
         "stream_first_deliveries": "SELECT DISTINCT read_id FROM read_pairs WHERE read_id IS NOT NULL",

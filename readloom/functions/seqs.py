@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: White space that is trimmed from sequences, qualities, names and labels.
 BLANKS = " \t\n\r\x0b\x0c 　﻿"
 _FWD, _RC = "ACGTNacgtn", "TGCANtgcan"
+#: The letters for several bases, and what stands against them.
+_MANY, _AGAINST = "RYSWKMBDHVUryswkmbdhvu", "YRSWMKVHDBAyrswmkvhdba"
 
 
 def bare(col: Column | str) -> Column:
@@ -27,6 +29,12 @@ def reverse_complement(col: Column | str) -> Column:
     return F.translate(F.reverse(col), _FWD, _RC)
 
 
+def reverse_complement_iupac(col: Column | str) -> Column:
+    """Reverse complement of contigs, which may hold letters for several bases; U is read as T."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.translate(F.reverse(col), _FWD + _MANY, _RC + _AGAINST)
+
+
 def canonical(kmer: Column) -> Column:
     """The smaller of a k-mer and its reverse complement."""
     return F.least(kmer, reverse_complement(kmer))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.functions.seqs import clean_seq, kmers, reverse_complement
+from readloom.functions.seqs import clean_seq, kmers, reverse_complement, reverse_complement_iupac
 
 
 def seed_patterns(seeds: DataFrame) -> DataFrame:
@@ -18,8 +18,8 @@ def seed_patterns(seeds: DataFrame) -> DataFrame:
 def seed_hits(contigs: DataFrame, seeds: DataFrame, *, id_col: str = "idx") -> DataFrame:
     """``(id, pos, size, orientation, seed_idx)``: every place (from 0) where a contig holds a seed pattern.
 
-    The join is on each pattern's first letters, as many as the shortest pattern has, and then the whole
-    pattern is compared; no contig meets a pattern that does not begin there.
+    The join is on each pattern's first letters, as many as the shortest pattern has, up to 31; only ids and places are
+    joined, and the contigs' letters come to the places that are left, where the whole pattern is compared.
     """
     patterns = seed_patterns(seeds)
     shortest = patterns.agg(F.min(F.length("pattern"))).first()[0]
@@ -27,9 +27,10 @@ def seed_hits(contigs: DataFrame, seeds: DataFrame, *, id_col: str = "idx") -> D
     if shortest is None:
         return rows.select("id", F.lit(0).alias("pos"), F.lit(0).alias("size"), F.lit(1).alias("orientation"), F.lit(0).alias("seed_idx")).limit(0)
     a = min(shortest, 31)
-    at = rows.select("id", "c", F.posexplode(kmers(F.col("c"), a)).alias("pos", "anchor"))
+    at = rows.select("id", F.posexplode(kmers(F.col("c"), a)).alias("pos", "anchor"))
     keyed = patterns.withColumn("anchor", F.substring("pattern", 1, a))
-    hit = at.join(keyed, "anchor").where(F.substring(F.col("c"), F.col("pos") + 1, F.length("pattern")) == F.col("pattern"))
+    met = at.join(keyed, "anchor").drop("anchor").join(rows, "id")
+    hit = met.where(F.substring(F.col("c"), F.col("pos") + 1, F.length("pattern")) == F.col("pattern"))
     return hit.select("id", "pos", F.length("pattern").alias("size"), "orientation", "seed_idx")
 
 
@@ -42,7 +43,7 @@ def seed_containment(contigs: DataFrame, seeds: DataFrame, *, id_col: str = "idx
 def oriented(contigs: DataFrame, found: DataFrame, *, id_col: str = "idx") -> DataFrame:
     """The contigs of ``found (id, orientation)``, those of orientation -1 reverse-complemented."""
     rows = contigs.join(found.withColumnRenamed("id", id_col), id_col)
-    return rows.withColumn("seq", F.when(F.col("orientation") < 0, reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
+    return rows.withColumn("seq", F.when(F.col("orientation") < 0, reverse_complement_iupac("seq")).otherwise(F.col("seq")))
 
 
 def seed_positions(contigs: DataFrame, seeds: DataFrame, *, id_col: str = "idx") -> DataFrame:

@@ -88,10 +88,15 @@ def read_classes(reads: DataFrame, p: DedupParams) -> DataFrame:
     return rows.groupBy("fwd", "rev").agg(F.min("read_id").alias("class_id"), F.count_distinct("read_id").alias("n_reads"))
 
 
-def dedup_candidates(classes: DataFrame, p: DedupParams) -> DataFrame:
-    """``(a, b)`` with a < b: classes that share a bucket key. Classes with an empty mate match nothing and are left out."""
+def bucket_members(classes: DataFrame, p: DedupParams) -> DataFrame:
+    """``(class_id, fh, rh)``: the bucket keys of each class. Classes with an empty mate match nothing and are left out."""
     hashes = cut(classes.where("length(fwd) > 0 and length(rev) > 0").select("class_id", minimizers(F.col("fwd"), p).alias("f"), minimizers(F.col("rev"), p).alias("r")))
-    keys = hashes.select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
+    return hashes.select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
+
+
+def dedup_candidates(classes: DataFrame, p: DedupParams) -> DataFrame:
+    """``(a, b)`` with a < b: classes that share a bucket key."""
+    keys = bucket_members(classes, p)
     other = keys.withColumnRenamed("class_id", "b")
     return keys.withColumnRenamed("class_id", "a").join(other, ["fh", "rh"]).where("a < b").select("a", "b").distinct()
 
@@ -185,3 +190,17 @@ def deduplicate(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
     rows = rows.join(named, ["fwd", "rev"]).select("read_id", "q", (F.length("fwd") + F.length("rev")).alias("size"), F.when(alone, F.col("read_id")).otherwise(F.coalesce("cluster_id", "class_id")).alias("cluster_id"), F.coalesce("ecc", F.lit(0)).alias("e"), F.greatest(F.coalesce("ecc", F.lit(0)), (F.col("n_reads") > 1).cast("int")).alias("ecc"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     best = rows.groupBy("cluster_id").agg(F.min(F.struct("ecc", (-F.col("q")).alias("q"), (-F.col("size")).alias("size"), "read_id")).alias("best"))
     return rows.join(best, "cluster_id").select("read_id", F.col("best.read_id").alias("exemplar_id"), "cluster_id", "n_links")
+
+
+def dedup_summary(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
+    """``(reads, classes, buckets, comparisons, links, clusters)``, one row: what a dedup of these reads goes through."""
+    classes = cut(read_classes(reads, p))
+    members, met = cut(bucket_members(classes, p)), cut(dedup_candidates(classes, p))
+    edges = cut(dedup_edges(classes, p))
+    found = connected_components(edges)
+    n = lambda df, what, name: df.agg(what.alias(name))
+    parts = [
+        n(classes, F.coalesce(F.sum("n_reads"), F.lit(0)), "reads"), n(classes, F.count("*"), "classes"), n(members, F.count_distinct("fh", "rh"), "buckets"),
+        n(met, F.count("*"), "comparisons"), n(edges, F.count("*"), "links"), n(found, F.count_distinct("component"), "clusters"),
+    ]
+    return reduce(lambda a, b: a.join(b), parts)

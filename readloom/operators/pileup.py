@@ -106,3 +106,22 @@ def pileup_pairs(bases: DataFrame, seeds_at: DataFrame | None = None) -> DataFra
     ends = seeds_at.groupBy(F.col("id").alias("idx")).agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
     holds = F.coalesce((F.col("s0") == F.col("lo")) & (F.col("s1") == F.col("hi")), F.lit(False))
     return out.join(ends, "idx", "left").select(*keys, "start", "cells", "insertions_at", holds.alias("contains_seed"))
+
+
+def paired_alignments(alignments: DataFrame) -> DataFrame:
+    """``(read_id, mate, flag, ref_name, pos, cigar, seq)`` of SAM rows: those of one name on a contig are the mates of a
+    read, numbered by where they begin. Alignments that are not looked at are left out first, then names with more than two."""
+    rows = alignments.where(F.col("cigar").isNotNull() & (F.size("cigar") > 0) & (F.col("flag").bitwiseAND(SKIP_FLAGS) == 0))
+    two = rows.groupBy("qname", "ref_name").agg(F.count("*").alias("n")).where("n <= 2").drop("n")
+    begins = Window.partitionBy("qname", "ref_name").orderBy("pos", "flag", "seq")
+    return rows.join(two, ["qname", "ref_name"]).select(F.col("qname").alias("read_id"), F.row_number().over(begins).alias("mate"), "flag", "ref_name", "pos", "cigar", "seq")
+
+
+def pileup_rows(pairs: DataFrame) -> DataFrame:
+    """The rows of ``pileup_pairs`` in the order in which they are shown: by contig, start, and place in their file."""
+    return pairs.orderBy("idx", "start", "source", "ordinal", "read_id")
+
+
+def pileup_bounds(pairs: DataFrame) -> DataFrame:
+    """``(idx, first_start, last_start, most_insertions)`` of each contig's pairs."""
+    return pairs.groupBy("idx").agg(F.min("start").alias("first_start"), F.max("start").alias("last_start"), F.max(F.coalesce(F.size("insertions_at"), F.lit(0))).alias("most_insertions"))

@@ -58,6 +58,11 @@ candidate AS (SELECT DISTINCT x.class_id AS a, y.class_id AS b FROM both_ways x
 _SAME = f"""same AS (SELECT a, b FROM candidate JOIN class p ON p.class_id = a JOIN class q ON q.class_id = b
   WHERE ({_alike('p.f', 'q.f')} AND {_alike('p.r', 'q.r')}) OR ({_alike('p.f', 'q.r')} AND {_alike('p.r', 'q.f')}))"""
 DEDUP_EDGES = f"WITH {CLASSES}, {_KEYS}, {_SAME} SELECT a, b FROM same"
+DEDUP_COUNTS = f"""WITH RECURSIVE {CLASSES}, {_KEYS}, {_SAME},
+way AS MATERIALIZED (SELECT a AS x, b AS y FROM same UNION ALL SELECT b, a FROM same),
+reach(x, y) AS (SELECT x, x FROM way UNION SELECT reach.x, way.y FROM reach JOIN way ON reach.y = way.x)
+SELECT (SELECT sum(n_reads)::BIGINT FROM class) AS reads, (SELECT count(*) FROM class) AS classes, (SELECT count(*) FROM (SELECT DISTINCT fh, rh FROM both_ways)) AS buckets,
+  (SELECT count(*) FROM candidate) AS comparisons, (SELECT count(*) FROM same) AS links, (SELECT count(DISTINCT low) FROM (SELECT x, min(y) AS low FROM reach GROUP BY x)) AS clusters"""
 _QUALS = "coalesce({0}, '') || coalesce({1}, '')".format(_TRIM.format("fwd_qual"), _TRIM.format("rev_qual"))
 DEDUP_EXEMPLARS = f"""WITH RECURSIVE {CLASSES}, {_KEYS}, {_SAME},
 way AS MATERIALIZED (SELECT a AS x, b AS y FROM same UNION ALL SELECT b, a FROM same),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.operators.containment import oriented, seed_containment
@@ -13,6 +13,8 @@ from readloom.operators.overlap import overlap_edges, seed_connected
 from readloom.operators.trim import trim_reads
 from readloom.plans.assemble import assemble
 from readloom.session import cut
+from readloom.sinks import write_fasta
+from readloom.sources.fastq import FastqDataSource, read_fasta
 
 
 @dataclass(frozen=True)
@@ -80,3 +82,18 @@ def grow_contigs(reads: DataFrame, seeds: DataFrame, p: LoopParams = LoopParams(
         if better is None:
             break
     return contigs, metrics
+
+
+def final_metrics(metrics: list[dict]) -> dict:
+    """The last round's metrics, and zeros if there was none."""
+    none = dict.fromkeys(("iteration", "read_pair_count", "contig_count", "longest_contig_length", "total_contig_length"), 0)
+    return max(metrics, key=lambda m: m["iteration"]) if metrics else none
+
+
+def run(spark: SparkSession, reads: str, seeds: str, out: str, p: LoopParams = LoopParams(), *, warm_start: str | None = None, adapters: str | None = None, high_freq: DataFrame | None = None) -> dict:
+    """``grow_contigs`` from files to files: FASTQ reads, FASTA of seeds, warm start and adapters; contigs go to ``out``."""
+    spark.dataSource.register(FastqDataSource)
+    others = {k: read_fasta(spark, v) for k, v in (("warm_start", warm_start), ("adapters", adapters)) if v}
+    contigs, metrics = grow_contigs(spark.read.format("readpairs").load(reads), read_fasta(spark, seeds), p, high_freq=high_freq, **others)
+    write_fasta(contigs.select("idx", F.concat(F.lit("contig"), F.col("idx") + 1).alias("id"), F.lit(None).cast("string").alias("description"), "seq"), out)
+    return final_metrics(metrics)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,8 +23,11 @@ def fastq_text(pairs: DataFrame, *, tag: bool = True) -> DataFrame:
 
 
 def write_fastq(pairs: DataFrame, path: str, *, tag: bool = False, compression: str = "zstd") -> None:
-    """Interleaved FASTQ, one folder a source, in the order of the file."""
-    rows = fastq_text(pairs, tag=tag).repartition("source").sortWithinPartitions("source", "ordinal")
+    """Interleaved FASTQ, one folder a source; its files, in the order of their names, hold the order of the source.
+
+    Rows are divided by ranges of source and ordinal, so a large source is several files of several tasks.
+    """
+    rows = fastq_text(pairs, tag=tag).repartitionByRange("source", "ordinal").sortWithinPartitions("source", "ordinal")
     rows.select("source", "value").write.partitionBy("source").option("compression", compression).text(path)
 
 
@@ -43,6 +46,18 @@ def high_freq_fasta(counts: DataFrame) -> DataFrame:
     return counts.select(F.format_string(">kmer_max_%d_obs\n%s", "max_count", "kmer").alias("value"))
 
 
+def kmer_fasta(kmers: DataFrame) -> DataFrame:
+    """``(n, value)``: k-mers as FASTA records numbered from 1 in their order.
+
+    Numbers run within groups of equal first letters, whose sizes are summed first; no task sees all k-mers.
+    """
+    rows = kmers.select("kmer", F.substring("kmer", 1, 6).alias("head"))
+    before = rows.groupBy("head").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    n = F.row_number().over(Window.partitionBy("head").orderBy("kmer"))
+    numbered = rows.withColumn("at", n).join(before, "head").select((F.col("before") + F.col("at")).alias("n"), "kmer")
+    return numbered.select("n", F.format_string(">kmer_%d\n%s", "n", "kmer").alias("value"))
+
+
 def write_metrics(metrics: list[dict], path: str) -> None:
     with open(path, "w") as f:
         json.dump(metrics, f, indent=2)

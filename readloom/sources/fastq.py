@@ -6,12 +6,12 @@ One partition a file: compressed FASTQ can't be split, and files are written in
 
 from __future__ import annotations
 
-import glob
-import os
+import fnmatch
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -31,10 +31,33 @@ class FilePartition(InputPartition):
         self.path = path
 
 
+def _opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, and the path on it: local, or by its scheme (file, s3, s3a, gs, hdfs)."""
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+
+
+def read_files(path: str) -> list[str]:
+    """The FASTQ files of a folder, or of a name with wildcards, as they are opened; sorted."""
+    scheme = path[: path.index("://") + 3] if "://" in path else ""
+    folder, _, name = path.rpartition("/")
+    wild = any(c in name for c in "*?[")
+    system, at = _opened(folder or "." if wild else path)
+    info = system.get_file_info(at)
+    if not wild and info.type == fs.FileType.File:
+        found = [at]
+    else:
+        listed = system.get_file_info(fs.FileSelector(at, allow_not_found=True))
+        found = [x.path for x in listed if x.type == fs.FileType.File and (not wild or fnmatch.fnmatch(x.base_name, name))]
+    return sorted(scheme + x for x in found if x.lower().endswith(_READS))
+
+
 def _lines(path: str) -> Iterator[str]:
     low = path.lower()
     kind = "zstd" if low.endswith(".zst") else "gzip" if low.endswith(".gz") else None
-    with pa.input_stream(path, compression=kind) as stream:
+    system, at = _opened(path)
+    with system.open_input_stream(at, compression=kind) as stream:
         rest = b""
         while chunk := stream.read(1 << 20):
             *whole, rest = (rest + chunk).split(b"\n")
@@ -59,9 +82,7 @@ def _fastq(path: str) -> Iterator[tuple[str, str, str]]:
 
 class PairReader(DataSourceReader):
     def __init__(self, options: dict):
-        path = options["path"].removeprefix("file://")
-        found = glob.glob(os.path.join(path, "*") if os.path.isdir(path) else path)
-        self.paths = sorted(p for p in found if p.lower().endswith(_READS))
+        self.paths = read_files(options["path"])
 
     def partitions(self) -> list[InputPartition]:
         return [FilePartition(p) for p in self.paths]
@@ -131,24 +152,55 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".fastq.zst") -> Da
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path).select("path", "length")
 
 
+def uris(files: DataFrame, prefix: str) -> DataFrame:
+    """``(path, s3_path)``: the address of each listed file under an s3 prefix."""
+    if not prefix.startswith("s3://"):
+        raise ValueError(f"not an s3 address: {prefix}")
+    return files.select("path", F.concat(F.lit(prefix.rstrip("/") + "/"), F.element_at(F.split("path", "/"), -1)).alias("s3_path"))
+
+
+def sample_name(path: Column) -> Column:
+    """The name of a sample: its file's name without what marks a mate's file."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"_[12]\.fastq$", "")
+
+
+def missing_priorities(paths: DataFrame) -> DataFrame:
+    """``(priority)``: the numbers from 1 to the largest priority that no path has."""
+    top = paths.agg(F.max("priority").alias("top")).where("top >= 1")
+    return top.select(F.explode(F.sequence(F.lit(1), F.col("top").cast("int"))).alias("priority")).join(paths.select(F.col("priority").cast("int").alias("priority")), "priority", "left_anti")
+
+
 def paths_by_priority(paths: DataFrame, priority: int) -> DataFrame:
     """The rows of a priority, after a check that priorities are 1 to the largest without gaps."""
     low, high, kinds = paths.agg(F.min("priority"), F.max("priority"), F.count_distinct("priority")).first()
     if low is not None and (low != 1 or high != kinds):
-        raise ValueError(f"priorities must be 1 to {high} without gaps")
+        first = [str(r[0]) for r in missing_priorities(paths).orderBy("priority").limit(20).collect()]
+        raise ValueError(f"priorities must be 1 to {high} without gaps; missing: {', '.join(first) or 'none'}; smallest: {low}")
     return paths.where(F.col("priority") == priority)
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``(idx, id, description, seq)`` of FASTA files; records may span lines; idx is the order within the file."""
-    text = spark.read.text(path, wholetext=True)
-    records = text.select(F.posexplode(F.filter(F.split("value", r"(?m)^>"), lambda x: F.length(F.trim(x)) > 0)).alias("idx", "r"))
+    """``(idx, id, description, seq)`` of FASTA files; records may span lines; idx grows in the order of the records.
+
+    Spark divides the files between records, so only a record must fit a task.
+    """
+    text = spark.read.option("lineSep", "\n>").text(path)
+    records = text.select(F.monotonically_increasing_id().alias("idx"), F.regexp_replace("value", r"^\s*>", "").alias("r")).where("length(trim(r)) > 0")
     header = F.trim(F.regexp_extract("r", r"^([^\r\n]*)", 1))
     return records.select("idx", F.regexp_extract(header, r"^(\S*)", 1).alias("id"), header.alias("description"), F.regexp_replace(F.regexp_replace("r", r"^[^\r\n]*", ""), r"\s", "").alias("seq"))
 
 
-def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """``(qname, flag, ref_name, pos, cigar, seq)`` of SAM text; pos counts from 0, cigar is an array of (op, len)."""
+def contig_by_name(seqs: DataFrame, name: str) -> DataFrame:
+    """``(idx, id, description, seq)`` of the first sequence whose whole header or first word is the name, in upper case; an error if there is none."""
+    found = seqs.where((F.col("description") == name) | (F.col("id") == name)).orderBy("idx").limit(1).withColumn("seq", F.upper("seq"))
+    if found.isEmpty():
+        raise ValueError(f"no sequence is named {name}")
+    return found.select("idx", "id", "description", "seq")
+
+
+def read_sam(spark: SparkSession, path: str, contig: str | None = None) -> DataFrame:
+    """``(qname, flag, ref_name, pos, cigar, seq)`` of SAM text, of one contig if it is named; pos counts from 0, cigar is an array of (op, len)."""
     rows = spark.read.text(path).where(~F.col("value").startswith("@")).select(F.split("value", "\t").alias("f")).where("size(f) >= 10")
     pieces = F.expr("transform(regexp_extract_all(f[5], '([0-9]+)([MIDNSHP=X])', 0), x -> named_struct('op', right(x, 1), 'len', int(left(x, length(x) - 1))))")
-    return rows.select(F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[2].alias("ref_name"), (F.col("f")[3].cast("int") - 1).alias("pos"), pieces.alias("cigar"), F.col("f")[9].alias("seq"))
+    out = rows.select(F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[2].alias("ref_name"), (F.col("f")[3].cast("int") - 1).alias("pos"), pieces.alias("cigar"), F.col("f")[9].alias("seq"))
+    return out if contig is None else out.where(F.col("ref_name") == contig)

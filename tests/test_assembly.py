@@ -3,6 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from readloom.plans import assemble, loop
+from readloom.sources.fastq import read_fasta
 from tests.helpers import canon, dna, pair, pairs, rc, rng
 
 
@@ -89,3 +90,18 @@ def test_registered_growing_is_the_whole_loop(spark, tmp_path, monkeypatch):
     assert [p.overlaps for p, _ in calls] == [False, True]
     for p, tables in calls:
         assert p.max_iters == 20 and tables["warm_start"] == tables["adapters"] == 1 and tables["high_freq"] > 0
+
+
+def test_from_files_to_files(spark, tmp_path):
+    genome = dna(rng(31), 150)
+    text = []
+    for i, row in enumerate(_reads(genome, step=4) * 3):
+        text += [f"@r{i}/1", row[4], "+", "F" * len(row[4]), f"@r{i}/2", row[7], "+", "F" * len(row[7])]
+    (tmp_path / "reads.fastq").write_text("\n".join(text) + "\n")
+    (tmp_path / "seed.fasta").write_text(">seed\n" + genome[60:100] + "\n")
+    p = loop.LoopParams(read_k=15, freq_k=15, max_iters=2, variants=((15, 2, 30),))
+    got = loop.run(spark, str(tmp_path / "reads.fastq"), str(tmp_path / "seed.fasta"), str(tmp_path / "out"), p)
+    found = [x["seq"] for x in read_fasta(spark, str(tmp_path / "out")).collect()]
+    assert got["contig_count"] == len(found) >= 1 and got["longest_contig_length"] == max(map(len, found)) > 40
+    assert all(genome[60:100] in x for x in found)
+    assert set(loop.final_metrics([]).values()) == {0} and loop.final_metrics([{"iteration": 2}, {"iteration": 1}]) == {"iteration": 2}

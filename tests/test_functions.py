@@ -1,9 +1,13 @@
+import os
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from readloom import session
 from readloom.functions import packed as P
 from readloom.functions import seqs as S
 from tests.helpers import canon, rc
@@ -16,6 +20,22 @@ def test_kmers_and_strands(spark):
     got = [r[0] for r in df.select(S.canonical_kmers(F.col("s"), 3)).collect()]
     assert got == [["ACG", "ACG"], [], [], []]
     assert df.select(S.reverse_complement(F.lit("acGTNx"))).first()[0] == "xNACgt"
+    assert df.select(S.reverse_complement_iupac(F.lit("ACGTURYSWKMBDHVNr"))).first()[0] == "yNBDHVKMWSRYAACGT"
+
+
+def test_kept_tables_and_their_folder(spark, tmp_path):
+    from types import SimpleNamespace
+
+    kept = session.cut(spark.range(3))
+    path = kept.inputFiles()[0].rpartition("/")[0].removeprefix("file:").replace("//", "/")
+    assert kept.count() == 3 and os.path.isdir(path)
+    assert session.drop_kept(spark) >= 1 and not os.path.exists(path) and session.drop_kept(spark) == 0
+    # on a cluster an unset folder is an error, and a set one is taken
+    set_to = []
+    context = SimpleNamespace(getCheckpointDir=lambda: set_to[-1] if set_to else None, setCheckpointDir=set_to.append, master="spark://host")
+    with pytest.raises(ValueError, match="all executors share"):
+        session.shared_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
+    assert session.shared_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: "hdfs://x"))) == "hdfs://x"
 
 
 def test_bare_ids_and_blanks(spark):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.operators import pileup, trim
-from readloom.sinks import fasta_text, fastq_text, high_freq_fasta, write_fastq, write_metrics
+from readloom.sinks import fasta_text, fastq_text, high_freq_fasta, kmer_fasta, write_fastq, write_metrics
 from readloom.sources import fastq as src
 from readloom.streaming import search
 from tests.helpers import dna, pair, pairs, rc, rng, rows
@@ -37,10 +37,24 @@ def test_fastq_source(spark, tmp_path):
         spark.read.format("readpairs").load(str(tmp_path / "bad.fastq")).collect()
 
 
+def test_fastq_by_address_and_wildcards(spark, tmp_path):
+    (tmp_path / "a1.fastq").write_text(_text(3))
+    (tmp_path / "a2.fastq").write_text(_text(2, 3))
+    (tmp_path / "b.fastq").write_text(_text(2, 9))
+    (tmp_path / "notes.txt").write_text("none")
+    spark.dataSource.register(src.FastqDataSource)
+    for path, n in ((f"file://{tmp_path}", 7), (f"file://{tmp_path}/a*.fastq", 5), (f"{tmp_path}/a?.fastq", 5), (f"file://{tmp_path}/b.fastq", 2), (f"{tmp_path}/none*", 0)):
+        assert len(src.read_files(path)) == {7: 3, 5: 2, 2: 1, 0: 0}[n] and all(("://" in x) == ("://" in path) for x in src.read_files(path))
+        assert n == 0 or spark.read.format("readpairs").load(path).count() == n
+    assert src.name_of_path(src.read_files(f"file://{tmp_path}/b.fastq")[0]) == src.name_of_path(f"{tmp_path}/b.fastq")
+    with pytest.raises(ValueError):
+        src.read_files("nosuch://bucket/x")
+
+
 def test_fastq_round_trip(spark, tmp_path):
     df = pairs(spark, [pair(f"r{i}", "ACGTAC", "TTGACC", source="s1", ordinal=i) for i in range(5)])
     write_fastq(df, str(tmp_path / "out"), compression="gzip")
-    files = list((tmp_path / "out").glob("source=*/*.gz"))
+    files = sorted((tmp_path / "out").glob("source=*/*.gz"))
     text = "".join(gzip.open(f, "rt").read() for f in files)
     assert text.split("\n")[0::8][:5] == [f"@r{i} 1" for i in range(5)]
     tagged = fastq_text(df).where("ordinal = 0").first()["value"].split("\n")
@@ -56,8 +70,18 @@ def test_paths(spark):
     assert src.name_of_path("s3://b/x/y.fastq.zst") == "b-x-y"
     files = spark.createDataFrame([("a", 1), ("b", 2), ("c", 1)], "path string, priority int")
     assert rows(src.paths_by_priority(files, 1)) == [("a", 1), ("c", 1)] and src.paths_by_priority(files, 9).count() == 0
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="missing: 1"):
         src.paths_by_priority(files.where("priority = 2"), 2)
+    gaps = spark.createDataFrame([("a", 1), ("b", 4), ("c", None)], "path string, priority int")
+    assert rows(src.missing_priorities(gaps)) == [(2,), (3,)] and src.missing_priorities(gaps.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="missing: 2, 3"):
+        src.paths_by_priority(gaps, 1)
+    listed = spark.createDataFrame([("/d/x.fastq.zst",), ("y.fastq.zst",)], "path string")
+    assert rows(src.uris(listed, "s3://b/p")) == [("/d/x.fastq.zst", "s3://b/p/x.fastq.zst"), ("y.fastq.zst", "s3://b/p/y.fastq.zst")]
+    with pytest.raises(ValueError):
+        src.uris(listed, "/b/p")
+    names = spark.createDataFrame([("a/s1_1.fastq",), ("s2_2.fastq",), ("s3_3.fastq",), ("t_1.fastq.gz",)], "path string")
+    assert [r[0] for r in names.select(src.sample_name(F.col("path"))).collect()] == ["s1", "s2", "s3_3.fastq", "t_1.fastq.gz"]
 
 
 def test_fasta_and_sam(spark, tmp_path):
@@ -69,6 +93,17 @@ def test_fasta_and_sam(spark, tmp_path):
     (tmp_path / "x.sam").write_text("@HD\tVN:1\nq\t16\tc1\t5\t60\t2S3M1I\t*\t0\t0\tACGTAC\tFFFFFF\n")
     got = src.read_sam(spark, str(tmp_path / "x.sam")).first()
     assert (got["qname"], got["flag"], got["pos"], [(x["op"], x["len"]) for x in got["cigar"]]) == ("q", 16, 4, [("S", 2), ("M", 3), ("I", 1)])
+    assert src.read_sam(spark, str(tmp_path / "x.sam"), "c1").count() == 1 and src.read_sam(spark, str(tmp_path / "x.sam"), "c2").count() == 0
+    (tmp_path / "y.fasta").write_text("\n>a b\r\nAC\r\ngt\r\n>\nTT\n>c>d\n\nG\n")
+    got = rows(src.read_fasta(spark, str(tmp_path / "y.fasta")).select("id", "description", "seq"))
+    assert sorted(got) == sorted([("a", "a b", "ACgt"), ("", "", "TT"), ("c>d", "c>d", "G")])
+    many = src.read_fasta(spark, str(tmp_path / "x.fasta"))
+    assert [tuple(src.contig_by_name(many, n).first())[1:] for n in ("a", "a first one", "b")] == [("a", "a first one", "ACGTAC")] * 2 + [("b", "b", "TT")]
+    assert src.contig_by_name(src.read_fasta(spark, str(tmp_path / "y.fasta")), "a").first()["seq"] == "ACGT"
+    with pytest.raises(ValueError):
+        src.contig_by_name(many, "first")
+    words = spark.createDataFrame([("TTTTTTTT",), ("AAAAAAAA",), ("AAAAAACC",), ("CCCCCCCC",)], "kmer string").repartition(3)
+    assert rows(kmer_fasta(words)) == [(i + 1, f">kmer_{i + 1}\n{w}") for i, w in enumerate(["AAAAAAAA", "AAAAAACC", "CCCCCCCC", "TTTTTTTT"])]
     write_metrics([{"iteration": 1}], str(tmp_path / "m.json"))
     assert "iteration" in (tmp_path / "m.json").read_text()
 
@@ -141,6 +176,18 @@ def test_cigar_rules(spark):
     assert (cols[4]["depth"], cols[4]["insertions"], cols[5]["deletions"], cols[8]["clips"], cols[8]["depth"]) == (1, 2, 1, 1, 1)
 
 
+def test_pairs_of_alignments(spark):
+    one = [("M", 4)]
+    al = [("q", 16, "c1", 9, one, "ACGT"), ("q", 0, "c1", 2, one, "ACGT"), ("q", 256, "c1", 0, one, "ACGT"), ("q", 0, "c2", 5, one, "ACGT"), ("u", 4, "c1", 0, one, "ACGT"), ("n", 0, "c1", 0, None, "ACGT"), ("e", 0, "c1", 0, [], "ACGT")]
+    al += [("three", 0, "c1", i, one, "ACGT") for i in range(3)]
+    df = spark.createDataFrame(al, "qname string, flag int, ref_name string, pos int, cigar array<struct<op:string,len:int>>, seq string")
+    got = pileup.paired_alignments(df)
+    assert sorted((r["read_id"], r["ref_name"], r["mate"], r["pos"]) for r in got.collect()) == [("q", "c1", 1, 2), ("q", "c1", 2, 9), ("q", "c2", 1, 5)]
+    shown = spark.createDataFrame([("s", 2, "a", 0, 5, [1, 2]), ("s", 1, "b", 0, 5, None), ("s", 9, "c", 0, -3, [4]), ("s", 0, "d", 1, 0, None)], "source string, ordinal bigint, read_id string, idx int, start int, insertions_at array<int>")
+    assert [r["read_id"] for r in pileup.pileup_rows(shown).collect()] == ["c", "b", "a", "d"]
+    assert rows(pileup.pileup_bounds(shown)) == [(0, -3, 5, 2), (1, 0, 0, 0)]
+
+
 def test_reads_are_placed_where_they_come_from(spark):
     r = rng(20)
     contig = dna(r, 300)
