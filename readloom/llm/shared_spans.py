@@ -222,7 +222,13 @@ def _compare(bases: np.ndarray, size: np.ndarray, first: np.ndarray, key: np.nda
         at = (entry[a:b] - number * CHUNK_ENTRIES) * letters + j[a:b]
         for w, o in zip(words, offsets):
             w[a:b] = packed[at + o]
-    order = np.lexsort(words)
+    # spans whose first bases no other has can't be shared, but by equal texts of several reads
+    order = np.argsort(words[0])
+    tied = words[0][order][1:] == words[0][order][:-1]
+    order = order[np.append(False, tied) | np.append(tied, False) | (owner[entry[order]] & 1 == 1)]
+    if not len(order):
+        return
+    order = order[np.lexsort([w[order] for w in words])]
     words, entry, j = [w[order] for w in words], entry[order], j[order]
     new = np.append(True, np.logical_or.reduce([w[1:] != w[:-1] for w in words]))
     group = np.cumsum(new) - 1
