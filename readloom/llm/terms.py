@@ -32,17 +32,24 @@ from readloom.llm.common import mates, records
 #: Terms that a range task expands and sorts at once, and terms that a range is meant to hold.
 RUN_TERMS = 4_000_000
 RANGE_TERMS = 6_000_000
+#: Minimizers of a range at least; with fewer, ranges would differ too much.
+RANGE_MINIMIZERS = 64
 #: Entries that a map task holds before it sends a block to each range.
 BLOCK_ENTRIES = 2_000_000
 _FIRST, _AGAIN, _ASKED = 0, 1, 2
 _U = np.uint64
 
 
-def _shape(k: int) -> tuple[int, int]:
-    """(m, w) for terms of k bases: minimizers of m bases, at most w terms in an entry of 32 bases."""
+def _shape(k: int, ranges: int = 1) -> tuple[int, int]:
+    """(m, w) for terms of k bases: minimizers of m bases, at most w terms in an entry of 32 bases.
+
+    There are 4 ** m / 2 minimizers, of which each range gets at least ``RANGE_MINIMIZERS`` if k allows it.
+    """
     if not 3 <= k <= 31:
         raise ValueError("k must be from 3 to 31")
     w = min(33 - k, max(1, k - 5))
+    while w > 1 and 4 ** (k - w + 1) < 2 * RANGE_MINIMIZERS * ranges:
+        w -= 1
     return k - w + 1, w
 
 
@@ -68,9 +75,9 @@ def _first_in_record(term: np.ndarray, ok: np.ndarray, record: np.ndarray, k: in
     return first
 
 
-def _entries(text: pa.Array, asked: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _entries(text: pa.Array, asked: np.ndarray, k: int, ranges: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bases, tag, range key) of the entries of a batch; tag: the number of terms, and what they are in its upper bits."""
-    m, w = _shape(k)
+    m, w = _shape(k, ranges)
     codes, offsets = P.flat(text)
     n = len(codes) - k + 1
     if n <= 0:
@@ -123,7 +130,7 @@ def _blocks(k: int, ranges: int) -> Callable:
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["part", "bases", "tags", "counts"])
 
         for batch in batches:
-            found = _entries(batch.column(0), batch.column(1).to_numpy(zero_copy_only=False), k)
+            found = _entries(batch.column(0), batch.column(1).to_numpy(zero_copy_only=False), k, ranges)
             if len(found[0]):
                 held.append(found)
                 if sum(len(x[0]) for x in held) >= BLOCK_ENTRIES:

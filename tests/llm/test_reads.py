@@ -116,6 +116,17 @@ def test_term_runs_are_merged():
     assert got == want and len(want[0]["kmer"]) > 1000
 
 
+def test_more_ranges_take_longer_minimizers():
+    assert terms_module._shape(21) == (10, 12) and terms_module._shape(21, 8_000) == (10, 12)
+    for ranges in (10_000, 1_000_000, 10_000_000):
+        m, w = terms_module._shape(21, ranges)
+        assert m + w == 22 and 4**m >= 2 * 64 * ranges
+    text = __import__("pyarrow").array([dna(rng(3), 300) + "N"])
+    for ranges in (1, 50_000, 30_000_000):
+        bases, tag, key = terms_module._entries(text, np.zeros(1, bool), 21, ranges)
+        assert (tag & 63).sum() == 280 and (tag & 63).max() <= terms_module._shape(21, ranges)[1]
+
+
 # 3
 def test_read_groups(spark):
     matches = [("r1", "r2"), ("@r2/1", " r3 "), ("r2", "r1"), ("r4", "r4"), (None, "r5"), ("r6", None), ("", "r6"), ("gone1", "gone2"), ("r1", "r2")] + [("hub", f"h{i}") for i in range(50)]
