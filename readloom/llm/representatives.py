@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.seqs import bare, bare_read_id, clean_seq
+from readloom.session import cut
 
 #: A quality string with a character code above this is written with offset 64.
 OFFSET_33_MAX = 75
@@ -46,36 +47,21 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(out, [f"c{j}" for j in range(len(out))])
 
 
-def _quality_kind(qual: Column, seq: Column) -> Column:
-    n = F.coalesce(F.length(qual), F.lit(0))
-    fits = F.when(qual.rlike(r"^(.)\1*$"), "flat").when(qual.rlike(f"[^\\x00-{chr(OFFSET_33_MAX)}]"), "offset64").otherwise("offset33")
-    return F.when(n == 0, "none").when(n != F.coalesce(F.length(seq), F.lit(0)), "misfit").otherwise(fits)
-
-
 #: Fields between whose kinds of values transitions are learnt.
 FIELDS = ("source", "exemplar", "fwd_qual", "rev_qual")
 #: Those of which a group carries a current value.
 CARRIED = ("source", "exemplar")
 
 
-def _named(pairs: DataFrame) -> list[Column]:
-    """read_id, the carried values and the time of each row, and the kind of each field's value."""
-    name, source, exemplar = bare_read_id("read_id"), bare("source"), bare_read_id("exemplar_id")
-    kinds = {
-        "source": F.when(F.coalesce(F.length(source), F.lit(0)) == 0, "none").otherwise("named"),
-        "exemplar": F.when(exemplar.isNull(), "none").when(exemplar == name, "self").otherwise("other"),
-        **{f"{m}_qual": _quality_kind(bare(f"{m}_qual"), clean_seq(f"{m}_seq")) for m in ("fwd", "rev")},
-    }
-    return [name.alias("read_id"), source.alias("source"), exemplar.alias("exemplar"), F.col("received_at").cast("timestamp_ntz").alias("at"), *(kinds[f].alias(f"{f}_kind") for f in FIELDS)]
-
-
 def _rows(pairs: DataFrame) -> DataFrame:
-    """The rows as they are compared: sizes and sums in place of the strings, so that little is shuffled."""
-    cols = _named(pairs)
+    """The rows as they are compared: kinds, sizes and sums in place of the strings, so that little is kept and shuffled."""
+    name, source, exemplar = bare_read_id("read_id"), bare("source"), bare_read_id("exemplar_id")
+    cols = [name.alias("read_id"), source.alias("source"), exemplar.alias("exemplar"), F.col("received_at").cast("timestamp_ntz").alias("at")]
+    cols.append(F.when(F.coalesce(F.length(source), F.lit(0)) == 0, "none").otherwise("named").alias("source_kind"))
+    cols.append(F.when(exemplar.isNull(), "none").when(exemplar == name, "self").otherwise("other").alias("exemplar_kind"))
     for m in ("fwd", "rev"):
-        seq, qual = clean_seq(f"{m}_seq"), bare(f"{m}_qual")
-        size = F.coalesce(F.length(seq), F.lit(0))
-        cols += [size.alias(f"{m}_len"), ((size > 0) & (F.coalesce(F.length(qual), F.lit(0)) == size)).alias(f"{m}_ok")]
+        size, n = (F.coalesce(F.length(x), F.lit(0)) for x in (clean_seq(f"{m}_seq"), bare(f"{m}_qual")))
+        cols += [size.alias(f"{m}_len"), ((size > 0) & (n == size)).alias(f"{m}_ok"), (n > 0).alias(f"{m}_told")]
     cols += [F.when(F.length(bare(f"{m}_qual")) == F.length(clean_seq(f"{m}_seq")), bare(f"{m}_qual")) for m in ("fwd", "rev")]
     slim = pairs.select(*cols).where("read_id is not null")
     names = slim.columns[:-2]
@@ -83,8 +69,10 @@ def _rows(pairs: DataFrame) -> DataFrame:
     slim = slim.mapInArrow(_sums, schema)
     slim = slim.toDF(*names, "fwd_sum", "fwd_top", "rev_sum", "rev_top")
     for m in ("fwd", "rev"):
-        offset = F.when(F.col(f"{m}_top") > OFFSET_33_MAX, 64).otherwise(33)
-        slim = slim.withColumn(f"{m}_phred", F.when(F.col(f"{m}_ok"), F.col(f"{m}_sum") - offset * F.col(f"{m}_len")).otherwise(0)).drop(f"{m}_sum", f"{m}_top")
+        high, flat = F.col(f"{m}_top") > OFFSET_33_MAX, F.col(f"{m}_sum") == F.col(f"{m}_top") * F.col(f"{m}_len")
+        phred = F.when(F.col(f"{m}_ok"), F.col(f"{m}_sum") - F.when(high, 64).otherwise(33) * F.col(f"{m}_len")).otherwise(0)
+        kind = F.when(~F.col(f"{m}_told"), "none").when(~F.col(f"{m}_ok"), "misfit").when(flat, "flat").when(high, "offset64").otherwise("offset33")
+        slim = slim.withColumns({f"{m}_phred": phred, f"{m}_qual_kind": kind}).drop(f"{m}_sum", f"{m}_top", f"{m}_told")
     return slim
 
 
@@ -109,7 +97,11 @@ def learn_precedence(pairs: DataFrame) -> dict[str, list[tuple[str, str]]]:
     A read's rows are its deliveries; each is compared with the one before. What comes to the driver is one count for each
     field and pair of kinds.
     """
-    dated = pairs.select(*_named(pairs)).where("read_id is not null and at is not null").select("read_id", "at", *(f"{f}_kind" for f in FIELDS)).distinct()
+    return _learnt(_rows(pairs))
+
+
+def _learnt(rows: DataFrame) -> dict[str, list[tuple[str, str]]]:
+    dated = rows.where("at is not null").select("read_id", "at", *(f"{f}_kind" for f in FIELDS)).distinct()
     by_time = Window.partitionBy("read_id").orderBy("at", *(f"{f}_kind" for f in FIELDS))
     seen = dated.withColumns({f"{f}_before": F.lag(f"{f}_kind").over(by_time) for f in FIELDS})
     steps = seen.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"{f}_before").alias("before"), F.col(f"{f}_kind").alias("kind")) for f in FIELDS))).alias("x")).select("x.*")
@@ -146,8 +138,9 @@ def representatives(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     of kinds, dated and undated. current_source and current_exemplar are those of the latest node; of several, a
     dated one's, then the largest value.
     """
-    rows = _rows(pairs).join(groups.select("read_id", "group_id"), "read_id")
-    learnt = learn_precedence(pairs)
+    every = cut(_rows(pairs))
+    learnt = _learnt(every)
+    rows = every.join(groups.select("read_id", "group_id"), "read_id")
     usable = F.col("fwd_ok").cast("int") + F.col("rev_ok").cast("int")
     length = F.when(F.col("fwd_ok"), F.col("fwd_len")).otherwise(0) + F.when(F.col("rev_ok"), F.col("rev_len")).otherwise(0)
     mean = F.when(length > 0, (F.col("fwd_phred") + F.col("rev_phred")) / length).otherwise(F.lit(0.0))
