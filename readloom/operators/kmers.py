@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
+from readloom.functions import runs as R
 from readloom.functions.seqs import canonical, canonical_kmers, clean_seq, kmers
 from readloom.session import cut
 
@@ -48,28 +50,43 @@ def _pair_text() -> Column:
     return F.concat_ws("N", F.coalesce(clean_seq("fwd_seq"), F.lit("")), F.coalesce(clean_seq("rev_seq"), F.lit("")), F.lit(""))
 
 
-def _counted(k: int, keyed: bool):
-    """Of each batch the packed canonical k-mers with their counts, by the batch's first column if there are two."""
+def _blocks(k: int, ranges: int, keyed: bool):
+    """The runs of each batch's k-mers in blocks by range; keyed: labelled by the batch's first column, whose values go along."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes, offsets = P.flat(batch.column(batch.num_columns - 1))
-            at = np.flatnonzero(P.windows_ok(codes, k))
-            kmer = np.minimum(P.pack(codes, k), P.pack_rc(codes, k))[at] if len(at) else np.zeros(0, np.uint64)
-            if keyed:
-                names = batch.column(0).dictionary_encode(null_encoding="encode")
-                by = names.indices.to_numpy(zero_copy_only=False)[np.searchsorted(offsets, at, side="right") - 1]
-                order = np.lexsort((kmer, by))
-                kmer, by = kmer[order], by[order]
-                new = np.append(True, (kmer[1:] != kmer[:-1]) | (by[1:] != by[:-1])) if len(kmer) else np.zeros(0, bool)
-            else:
-                kmer = np.sort(kmer)
-                new = np.append(True, kmer[1:] != kmer[:-1]) if len(kmer) else np.zeros(0, bool)
-            first = np.flatnonzero(new)
-            cols = [pa.array(kmer[first].astype(np.int64)), pa.array(np.diff(np.append(first, len(kmer))))]
+            bases, size, at, part = R.cut_runs(codes, k, ranges)
+            label, names = np.zeros(len(at), np.int64), pa.array([None], pa.string())
             if keyed:
-                cols.insert(0, names.dictionary.take(pa.array(by[first])))
-            yield pa.RecordBatch.from_arrays(cols, ["by", "x", "n"][-len(cols) :])
+                values = batch.column(0).dictionary_encode(null_encoding="encode")
+                names = values.dictionary
+                label = values.indices.to_numpy(zero_copy_only=False)[np.searchsorted(offsets, at, side="right") - 1].astype(np.int64)
+            rows, held, ends = R.blocks(bases, size, label, part), [names.slice(0, 0)], [0]
+            for i, (number, b, sizes, labels, counts) in enumerate(rows):  # each block's own values, numbered anew
+                own, label = np.unique(np.frombuffer(labels, np.uint32), return_inverse=True) if labels else (np.zeros(1, np.int64), np.zeros(0, np.int64))
+                rows[i] = (number, b, sizes, label.astype(np.uint32).tobytes() if len(own) > 1 else b"", counts)
+                held.append(names.take(pa.array(own)))
+                ends.append(ends[-1] + len(own))
+            cols = list(zip(*rows)) or [[]] * len(R.BLOCK)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(held))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:]), lists], [*R.BLOCK, "names"])
+
+    return out
+
+
+def _counted(k: int, at_least: int):
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, known = R.Counter(k), {}
+        for batch in batches:
+            for bases, sizes, labels, counts, names in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+                counter.add(bases, sizes, labels, counts, np.array([known.setdefault(x, len(known)) for x in names], np.int64))
+        x, label, n = counter.result()
+        good = np.flatnonzero(n >= at_least)
+        every = pa.array(list(known), pa.string())
+        for a in range(0, len(good), 1_000_000):
+            g = good[a : a + 1_000_000]
+            yield pa.RecordBatch.from_arrays([every.take(pa.array(label[g])), pa.array(x[g].astype(np.int64)), pa.array(n[g])], ["by", "x", "n"])
 
     return counted
 
@@ -90,20 +107,23 @@ def unpacked(x: Column, k: int) -> Column:
     return F.concat(*parts)
 
 
-def packed_counts(reads: DataFrame, k: int, by: str | None) -> DataFrame:
-    """``kmer_counts`` with k-mers as numbers: ``(by, x, n)``."""
-    if k > 31:
-        raise ValueError("k must be at most 31")
-    rows = reads.select(*([F.col(by).alias("by")] if by else []), _pair_text().alias("t"))
-    parts = rows.mapInArrow(_counted(k, bool(by)), ("by string, " if by else "") + "x bigint, n bigint")
-    return parts.groupBy(*(["by"] if by else []), "x").agg(F.sum("n").alias("n"))
+def packed_counts(reads: DataFrame, k: int, by: str | None, *, at_least: int = 1) -> DataFrame:
+    """``kmer_counts`` of at least ``at_least`` with k-mers as numbers: ``(by, x, n)``; by is null if there is none."""
+    R.shape(k)
+    spark = reads.sparkSession
+    text = _pair_text()
+    n = reads.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / R.RANGE_TERMS))
+    rows = reads.select(*([F.col(by).alias("by")] if by else []), text.alias("t"))
+    blocks = rows.mapInArrow(_blocks(k, ranges, bool(by)), ", ".join(f"{c} {t}" for c, t in R.BLOCK.items()) + ", names array<string>")
+    return blocks.repartitionById(ranges, F.col("part")).mapInArrow(_counted(k, at_least), "by string, x bigint, n bigint")
 
 
 def kmer_counts(reads: DataFrame, k: int, *, by: str | None = "source") -> DataFrame:
     """Canonical k-mer counts over both mates: ``(by, kmer, n)``; k-mers with letters outside ACGT are none.
 
-    K-mers travel as numbers of two bits a base, already counted within each batch of reads; letters are
-    written only for the result.
+    Neighbouring k-mers travel as one number of two bits a base, already counted within each batch of reads
+    (``readloom.functions.runs``); letters are written only for the result.
     """
     return packed_counts(reads, k, by).select(*([F.col("by").alias(by)] if by else []), unpacked(F.col("x"), k).alias("kmer"), "n")
 
@@ -115,7 +135,7 @@ def saturation(min_count: int) -> int:
 
 def high_freq_kmers(reads: DataFrame, k: int, *, min_count: int = 2000) -> DataFrame:
     """``(kmer, max_count)``: k-mers that some file holds at least ``min_count`` times; counts saturate, the largest file's stands."""
-    counts = packed_counts(reads.where("source is not null"), k, "source").where(F.col("n") >= min_count)
+    counts = packed_counts(reads.where("source is not null"), k, "source", at_least=min_count)
     most = counts.groupBy("x").agg(F.least(F.max("n"), F.lit(saturation(min_count))).alias("max_count"))
     return most.select(unpacked(F.col("x"), k).alias("kmer"), "max_count")
 
@@ -154,17 +174,17 @@ def _pack_kmers(kmer: Column, k: int) -> Column:
 def mark_reads(reads: DataFrame, wanted: DataFrame, k: int, *, limit: int = BROADCAST_KMERS) -> DataFrame:
     """``reads`` with ``hit``: whether either mate holds one of the canonical k-mers of ``wanted``.
 
-    Up to ``limit`` k-mers (counted first) go to every task as packed numbers, and reads are not shuffled.
+    Up to ``limit`` k-mers (no more than one beyond are fetched) go to every task as packed numbers, and reads are not shuffled.
     Beyond, the reads' k-mers are joined with them, on the pair's key ``(source, ordinal, read_id)``.
     """
     if k > 31:
         raise ValueError("k must be at most 31")
-    wanted = cut(wanted.select("kmer"))
-    n = wanted.count()
-    if n <= limit:
-        rows = wanted.select(_pack_kmers(F.col("kmer"), k).alias("x")).toArrow().column("x").to_numpy()
+    few = wanted.select(_pack_kmers(F.col("kmer"), k).alias("x")).limit(limit + 1).toArrow()
+    if few.num_rows <= limit:
+        rows = few.column("x").to_numpy()
         schema = ", ".join(f"`{c}` {t}" for c, t in reads.dtypes) + ", hit boolean"
         return reads.select("*", _pair_text().alias("_text")).mapInArrow(_hits(k, np.sort(rows.astype(np.uint64))), schema)
+    wanted = cut(wanted.select("kmer"))
     keyed = reads.withColumn("_row", F.struct("source", "ordinal", "read_id"))
     found = keyed.select("_row", F.explode(F.array_union(canonical_kmers(clean_seq("fwd_seq"), k), canonical_kmers(clean_seq("rev_seq"), k))).alias("kmer")).join(wanted.select("kmer"), "kmer", "left_semi").select("_row").distinct().withColumn("hit", F.lit(True))
     return keyed.join(found.withColumnRenamed("_row", "_hit_row"), F.col("_row").eqNullSafe(F.col("_hit_row")), "left").withColumn("hit", F.coalesce("hit", F.lit(False))).drop("_row", "_hit_row")

@@ -20,7 +20,7 @@ from readloom.session import cut
 
 def solid_kmers(reads: DataFrame, k: int, min_count: int) -> DataFrame:
     """``(x, n)``: canonical k-mers seen at least ``min_count`` times."""
-    return packed_counts(reads, k, None).where(F.col("n") >= min_count)
+    return packed_counts(reads, k, None, at_least=min_count).select("x", "n")
 
 
 def _strands(k: int):
