@@ -25,9 +25,13 @@ def query_kmers(seqs: DataFrame, k: int) -> DataFrame:
     return seqs.where(F.length("seq") >= k).select("idx", F.posexplode(kmers(F.col("seq"), k)).alias("pos", "kmer"))
 
 
+def _canonical(seqs: DataFrame, k: int) -> DataFrame:
+    return seqs.select(F.explode(canonical_kmers(clean_seq("seq"), k)).alias("kmer"))
+
+
 def canonical_set(seqs: DataFrame, k: int) -> DataFrame:
     """``(kmer)``: the distinct canonical k-mers of the sequences, without those that hold N."""
-    return seqs.select(F.explode(canonical_kmers(clean_seq("seq"), k)).alias("kmer")).distinct()
+    return _canonical(seqs, k).distinct()
 
 
 def prepare_query(contigs: DataFrame, k: int, *, warm_start: DataFrame | None = None, adapters: DataFrame | None = None) -> DataFrame:
@@ -35,8 +39,8 @@ def prepare_query(contigs: DataFrame, k: int, *, warm_start: DataFrame | None =
     seqs = contigs.select("seq")
     if warm_start is not None:
         seqs = seqs.unionByName(warm_start.select("seq"))
-    found = canonical_set(seqs, k)
-    return found if adapters is None else found.join(canonical_set(adapters, k), "kmer", "left_anti")
+    found = _canonical(seqs, k)
+    return (found if adapters is None else found.join(_canonical(adapters, k), "kmer", "left_anti")).distinct()
 
 
 def sanitized_query_kmers(seqs: DataFrame, adapters: DataFrame, k: int) -> DataFrame:

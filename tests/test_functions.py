@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from readloom import session
 from readloom.functions import packed as P
+from readloom.functions import runs as R
 from readloom.functions import seqs as S
-from tests.helpers import canon, rc
+from tests.helpers import canon, dna, rc, rng
 
 
 def test_kmers_and_strands(spark):
@@ -74,3 +75,44 @@ def test_slide_min(values, w):
 def test_mix_is_one_to_one():
     x = np.arange(1 << 16, dtype=np.uint32) * np.uint32(65537)
     assert len(np.unique(P.mix32(x))) == len(x)
+
+
+def test_more_ranges_take_longer_minimizers():
+    assert R.shape(21) == R.shape(21, 8_000) == (10, 12)
+    for ranges in (10_000, 1_000_000, 10_000_000):
+        m, w = R.shape(21, ranges)
+        assert m + w == 22 and 4**m >= 2 * 64 * ranges
+    codes, _ = P.flat(pa.array([dna(rng(3), 300) + "N"]))
+    for ranges in (1, 50_000, 30_000_000):
+        bases, size, at, part = R.cut_runs(codes, 21, ranges)
+        assert size.sum() == 280 and size.max() <= R.shape(21, ranges)[1] and part.max() < ranges
+    with pytest.raises(ValueError):
+        R.shape(32)
+
+
+@pytest.mark.parametrize("k", [5, 21, 31])
+def test_runs_count_every_kmer_by_label(k, monkeypatch):
+    """Through blocks of several ranges, with merged runs, and with more labels than fit beside a k-mer."""
+    r = rng(k)
+    texts = [dna(r, r.randint(0, 90)) + r.choice(["N", "NN"]) for _ in range(60)] * 2
+    label = [r.randrange(9) for _ in texts]
+    want = {}
+    for t, x in zip(texts, label):
+        for i in range(len(t) - k + 1):
+            if "N" not in t[i : i + k]:
+                want[canon(t[i : i + k]), x] = want.get((canon(t[i : i + k]), x), 0) + 1
+    codes, offsets = P.flat(pa.array(texts))
+    bases, size, at, part = R.cut_runs(codes, k, 3)
+    by = np.array(label)[np.searchsorted(offsets, at, side="right") - 1]
+    for terms in (10**6, 50):
+        monkeypatch.setattr(R, "RUN_TERMS", terms)
+        got = {}
+        for number in range(3):
+            counter = R.Counter(k)
+            for half in (slice(None, len(at) // 2), slice(len(at) // 2, None)):
+                for p, *block in R.blocks(bases[half], size[half], by[half], part[half]):
+                    if p == number:
+                        counter.add(*block)
+            x, names, n = counter.result()
+            got |= {(a, b): c for a, b, c in zip(P.unpack_strings(x, k).to_pylist(), names.tolist(), n.tolist())}
+        assert got == want
