@@ -5,10 +5,9 @@ k-mer. Two facts make the pairs small enough to move:
 
 * All occurrences of a record's terms start in one row, so the record's identifier is needed only to tell
   a term's first occurrence in its record from later ones. It travels as that one bit.
-* Terms are ordered by (scattered minimizer, term). Neighbouring terms of a sequence mostly share their
-  minimizer, so a run of up to w terms goes to the same range as one packed number of at most 32 bases.
-  Equal runs of a block of records are combined with a count before the shuffle: a sequence that fills a
-  third of all rows sends one entry a block.
+* Terms are ordered by (scattered minimizer, term), and neighbours travel as one packed run
+  (``readloom.functions.runs``). Equal runs of a block of records are combined with a count before the shuffle: a
+  sequence that fills a third of all rows sends one entry a block.
 
 Each range task expands its entries in bounded runs, sorts and combines each run, and scans the merged
 runs: equal terms are neighbours, their lengths are the occurrences and the numbers of records.
@@ -26,33 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
+from readloom.functions import runs as R
 from readloom.functions.seqs import clean_seq
 from readloom.llm.common import mates, records
 
-#: Terms that a range task expands and sorts at once, and terms that a range is meant to hold.
-RUN_TERMS = 4_000_000
-RANGE_TERMS = 6_000_000
-#: Minimizers of a range at least; with fewer, ranges would differ too much.
-RANGE_MINIMIZERS = 64
 #: Entries that a map task holds before it sends a block to each range.
 BLOCK_ENTRIES = 2_000_000
 _FIRST, _AGAIN, _ASKED = 0, 1, 2
 _U = np.uint64
 
 
-def _shape(k: int, ranges: int = 1) -> tuple[int, int]:
-    """(m, w) for terms of k bases: minimizers of m bases, at most w terms in an entry of 32 bases.
-
-    There are 4 ** m / 2 minimizers, of which each range gets at least ``RANGE_MINIMIZERS`` if k allows it.
-    """
-    if not 3 <= k <= 31:
-        raise ValueError("k must be from 3 to 31")
-    w = min(33 - k, max(1, k - 5))
-    while w > 1 and 4 ** (k - w + 1) < 2 * RANGE_MINIMIZERS * ranges:
-        w -= 1
-    return k - w + 1, w
-
-
 def _first_in_record(term: np.ndarray, ok: np.ndarray, record: np.ndarray, k: int) -> np.ndarray:
     """False where the term stood before in the same record."""
     at = np.flatnonzero(ok)
@@ -75,39 +57,17 @@ def _first_in_record(term: np.ndarray, ok: np.ndarray, record: np.ndarray, k: in
     return first
 
 
-def _entries(text: pa.Array, asked: np.ndarray, k: int, ranges: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bases, tag, range key) of the entries of a batch; tag: the number of terms, and what they are in its upper bits."""
-    m, w = _shape(k, ranges)
+def _entries(text: pa.Array, asked: np.ndarray, k: int, ranges: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bases, terms, what they are, range) of the entries of a batch."""
     codes, offsets = P.flat(text)
     n = len(codes) - k + 1
-    if n <= 0:
-        return np.zeros(0, _U), np.zeros(0, np.uint8), np.zeros(0, np.uint32)
-    ok = P.windows_ok(codes, k)
-    term = np.minimum(P.pack(codes, k), P.pack_rc(codes, k))
-    record = np.repeat(np.arange(len(text), dtype=np.int32), np.diff(offsets))[:n]
-    kind = np.where(asked[record], _ASKED, np.where(_first_in_record(term, ok, record, k), _FIRST, _AGAIN)).astype(np.uint8)
-    wide = np.uint32 if m <= 16 else _U
-    small = np.minimum(P.pack(codes, m, wide), P.pack_rc(codes, m, wide))
-    if m > 16:
-        small = (small ^ (small >> _U(29))) * _U(0x9E3779B97F4A7C15) >> _U(32)
-    low = P.slide_min(P.mix32(small.astype(np.uint32)), w)
-    new = np.ones(n, bool)
-    new[1:] = (low[1:] != low[:-1]) | (kind[1:] != kind[:-1]) | ~ok[:-1]
-    new &= ok
-    at = np.arange(n)
-    start = np.maximum.accumulate(np.where(new, at, 0))
-    new = ok & ((at - start) % w == 0)
-    starts = np.flatnonzero(new)
-    end = np.flatnonzero(ok & np.append(new[1:] | ~ok[1:], True))
-    size = (end - starts + 1).astype(np.uint8)
-    bases = P.pack(np.concatenate([codes, np.zeros(31, np.uint8)]), 32)[starts]
-    bases &= ~_U(0) << (_U(64) - _U(2) * (size.astype(_U) + _U(k - 1)))
-    return bases, size | (kind[starts] << np.uint8(6)), P.mix32(low[starts] ^ np.uint32(0x5BD1E995))
-
-
-def _planes(x: np.ndarray) -> bytes:
-    """Numbers by byte plane, highest first: sorted entries then compress well."""
-    return np.ascontiguousarray(x.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    kind = np.zeros(max(n, 0), np.uint8)
+    if n > 0:
+        term = np.minimum(P.pack(codes, k), P.pack_rc(codes, k))
+        record = np.repeat(np.arange(len(text), dtype=np.int32), np.diff(offsets))[:n]
+        kind = np.where(asked[record], _ASKED, np.where(_first_in_record(term, P.windows_ok(codes, k), record, k), _FIRST, _AGAIN)).astype(np.uint8)
+    bases, size, at, part = R.cut_runs(codes, k, ranges, kind)
+    return bases, size, kind[at], part
 
 
 def _blocks(k: int, ranges: int) -> Callable:
@@ -115,19 +75,9 @@ def _blocks(k: int, ranges: int) -> Callable:
         held: list[tuple] = []
 
         def send() -> pa.RecordBatch:
-            bases, tag, key = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(bases)
-            bases, tag, key = bases[order], tag[order], key[order]
-            new = np.append(True, (bases[1:] != bases[:-1]) | (tag[1:] != tag[:-1]))
-            at = np.flatnonzero(new)
-            count = np.diff(np.append(at, len(new))).astype(np.uint32)
-            bases, tag, part = bases[at], tag[at], ((key[at].astype(_U) * _U(ranges)) >> _U(32)).astype(np.int32)
-            order = np.argsort(part.astype(np.uint16) if ranges <= 65536 else part, kind="stable")
-            bases, tag, count, part = bases[order], tag[order], count[order], part[order]
-            cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
-            rows = [(int(part[a]), _planes(bases[a:b]), tag[a:b].tobytes(), b"" if count[a:b].max() == 1 else count[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+            rows = R.blocks(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["part", "bases", "tags", "counts"])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if t == "int" else pa.binary()) for x, t in zip(zip(*rows), R.BLOCK.values())], list(R.BLOCK))
 
         for batch in batches:
             found = _entries(batch.column(0), batch.column(1).to_numpy(zero_copy_only=False), k, ranges)
@@ -141,59 +91,15 @@ def _blocks(k: int, ranges: int) -> Callable:
     return blocks
 
 
-def _combine(key: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and their summed counts; count None: one each."""
-    if count is None:
-        key = np.sort(key)
-    else:
-        order = np.argsort(key)
-        key, count = key[order], count[order]
-    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    return key[at], np.diff(np.append(at, len(key))) if count is None else np.add.reduceat(count, at) if len(at) else count
-
-
-def _expand(bases: np.ndarray, tag: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (term and kind) of the entries' terms, and the entry of each."""
-    size = (tag & 63).astype(np.int64)
-    entry = np.repeat(np.arange(len(size)), size)
-    j = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size)
-    x = (bases[entry] >> (_U(64 - 2 * k) - _U(2) * j.astype(_U))) & _U((1 << 2 * k) - 1)
-    return (np.minimum(x, P.rc_packed(x, k)) << _U(2)) | (tag >> 6).astype(_U)[entry], entry
-
-
 def _count(k: int, at_least: int | None) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: list[tuple[np.ndarray, np.ndarray]] = []
-        held: list[tuple] = []
-        terms = 0
-
-        def run() -> None:
-            bases, tag, n = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            one = n == 1
-            got = [_combine(_expand(bases[one], tag[one], k)[0], None)]
-            if not one.all():
-                key, entry = _expand(bases[~one], tag[~one], k)
-                got.append(_combine(key, n[~one][entry].astype(np.int64)))
-            runs.append(got[0] if len(got) == 1 else _combine(*(np.concatenate(x) for x in zip(*got))))
-            if len(runs) > 1 and sum(len(r[0]) for r in runs) > 2 * RUN_TERMS:
-                runs[:] = [_combine(*(np.concatenate(x) for x in zip(*runs)))]
-
+        counter = R.Counter(k)
         for batch in batches:
-            for bases, tags, counts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                tag = np.frombuffer(tags, np.uint8)
-                b = np.ascontiguousarray(np.frombuffer(bases, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(_U)
-                held.append((b, tag, np.frombuffer(counts, np.uint32) if counts else np.ones(len(tag), np.uint32)))
-                terms += int((tag & 63).sum())
-                if terms >= RUN_TERMS:
-                    run()
-                    terms = 0
-        if held:
-            run()
-        if not runs:
+            for block in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                counter.add(*block)
+        term, kind, n = counter.result()
+        if not len(term):
             return
-        key, n = _combine(*(np.concatenate(x) for x in zip(*runs))) if len(runs) > 1 else runs[0]
-        term, kind = key >> _U(2), key & _U(3)
         at = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
         held_by = np.add.reduceat(np.where(kind == _FIRST, n, 0), at)
         stands = np.add.reduceat(np.where(kind == _ASKED, 0, n), at)
@@ -216,7 +122,7 @@ def term_counts(texts: DataFrame, asked: DataFrame | None = None, *, k: int = 21
     rows = texts.select("text", F.lit(False).alias("asked"))
     if asked is not None:
         rows = rows.unionByName(asked.select("text", F.lit(True).alias("asked")))
-    blocks = rows.mapInArrow(_blocks(k, ranges), "part int, bases binary, tags binary, counts binary")
+    blocks = rows.mapInArrow(_blocks(k, ranges), ", ".join(f"{c} {t}" for c, t in R.BLOCK.items()))
     return blocks.repartitionById(ranges, F.col("part")).mapInArrow(_count(k, at_least), "kmer string, occurrences bigint, records bigint, asked boolean")
 
 
@@ -230,7 +136,7 @@ def term_statistics(pairs: DataFrame, seqs: DataFrame, *, k: int = 21, common_sh
     terms alone; all are counted either way.
     """
     n, bases = mates(pairs).agg(F.count_distinct("read_id"), F.coalesce(F.sum(F.length("fwd") + F.length("rev")), F.lit(0))).first()
-    ranges = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(bases / RANGE_TERMS))
+    ranges = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(bases / R.RANGE_TERMS))
     need = max(1, math.ceil(Fraction(str(common_share)) * n))
     texts = records(pairs).select(F.concat_ws("N", "fwd", "rev", F.lit("")).alias("text"))
     seeds = seqs.where("lower(trim(kind)) = 'seed' and seq is not null").select(F.concat(clean_seq("seq"), F.lit("N")).alias("text"))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from readloom.functions import runs as runs_module
 from readloom.functions.seqs import clean_seq
 from readloom.llm import shared_spans as spans_module
 from readloom.llm import terms as terms_module
@@ -106,27 +107,16 @@ def test_term_runs_are_merged():
     text = [dna(r, 60) + "N" for _ in range(50)] * 3
     batch = pa.RecordBatch.from_arrays([pa.array(text), pa.array([False] * len(text))], ["text", "asked"])
     blocks = list(terms_module._blocks(9, 1)(iter([batch, batch])))
-    keep = terms_module.RUN_TERMS
+    keep = runs_module.RUN_TERMS
     want = [b.to_pydict() for b in terms_module._count(9, None)(iter(blocks))]
     try:
-        terms_module.RUN_TERMS = 500
+        runs_module.RUN_TERMS = 500
         got = [b.to_pydict() for b in terms_module._count(9, None)(iter(blocks))]
     finally:
-        terms_module.RUN_TERMS = keep
+        runs_module.RUN_TERMS = keep
     assert got == want and len(want[0]["kmer"]) > 1000
 
 
-def test_more_ranges_take_longer_minimizers():
-    assert terms_module._shape(21) == (10, 12) and terms_module._shape(21, 8_000) == (10, 12)
-    for ranges in (10_000, 1_000_000, 10_000_000):
-        m, w = terms_module._shape(21, ranges)
-        assert m + w == 22 and 4**m >= 2 * 64 * ranges
-    text = __import__("pyarrow").array([dna(rng(3), 300) + "N"])
-    for ranges in (1, 50_000, 30_000_000):
-        bases, tag, key = terms_module._entries(text, np.zeros(1, bool), 21, ranges)
-        assert (tag & 63).sum() == 280 and (tag & 63).max() <= terms_module._shape(21, ranges)[1]
-
-
 # 3
 def test_read_groups(spark):
     matches = [("r1", "r2"), ("@r2/1", " r3 "), ("r2", "r1"), ("r4", "r4"), (None, "r5"), ("r6", None), ("", "r6"), ("gone1", "gone2"), ("r1", "r2")] + [("hub", f"h{i}") for i in range(50)]
