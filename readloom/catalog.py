@@ -310,6 +310,7 @@ def oracle_sql() -> dict[str, str]:
         "minimizers": oracles.MINIMIZERS,
         "dedup_edges": oracles.DEDUP_EDGES,
         "dedup_exemplars": oracles.DEDUP_EXEMPLARS,
+        "trimmed_reads": oracles.TRIMMED,
         "dedup_counts": oracles.DEDUP_COUNTS,
         "fasta_records": f"WITH mate AS (SELECT source, unnest([{_CLEAN.format('fwd_seq')}, {_CLEAN.format('rev_seq')}]) AS s FROM read_pairs WHERE source IS NOT NULL), best AS (SELECT source, s FROM mate WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY length(s) DESC, s DESC) = 1) SELECT source AS idx, '>' || source || chr(10) || rtrim(regexp_replace(s, '(.{{60}})', '\\1' || chr(10), 'g'), chr(10)) AS value FROM best",
         "placed_reads": oracles.PLACED_READS,

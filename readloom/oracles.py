@@ -109,3 +109,20 @@ spot AS (SELECT source, ordinal, read_id, idx, pos, max(seed) AS seed,
 line AS (SELECT source, ordinal, read_id, idx, min(pos) AS start, max(pos) AS stop, map(list(pos), list(code)) AS cells_at, min(pos) FILTER (seed) AS s0, max(pos) FILTER (seed) AS s1 FROM spot GROUP BY ALL),
 ends AS (SELECT idx, min(pos) AS lo, max(pos) AS hi FROM at_seed GROUP BY idx)
 SELECT source, ordinal, read_id, idx, start::INT AS start, array_to_string(list_transform(range(start, stop + 1), lambda i: coalesce(cells_at[i], '.')), '') AS cells, NULL::INT[] AS insertions_at, coalesce(s0 = lo AND s1 = hi, false) AS contains_seed FROM line LEFT JOIN ends USING (idx)"""
+
+#: The trimmed mates: bad ends, then one adapter after another in their order, then a final run of one base; what is left must be good.
+TRIMMED = f"""WITH pair AS (SELECT row_number() OVER () AS rn, source, ordinal, read_id, coalesce({_CLEAN.format('fwd_seq')}, '') AS fs, coalesce({_TRIM.format('fwd_qual')}, '') AS fq, coalesce({_CLEAN.format('rev_seq')}, '') AS rs, coalesce({_TRIM.format('rev_qual')}, '') AS rq FROM read_pairs),
+adapters AS (SELECT list(a ORDER BY a) AS known FROM (SELECT DISTINCT {_CLEAN.format('seq')} AS a FROM seqs WHERE kind = 'adapter' AND seq IS NOT NULL) WHERE a <> ''),
+text AS (SELECT DISTINCT unnest([fs, rs]) AS s, unnest([fq, rq]) AS q FROM pair),
+sized AS (SELECT s, q, length(s) AS n, list_transform(range(1, length(q) + 1), lambda i: ascii(substr(q, i::INT, 1)) - 33) AS p FROM text WHERE length(s) = length(q) AND length(s) >= 15),
+ends AS (SELECT *, list_filter(range(1, n - 2), lambda i: p[i] + p[i + 1] + p[i + 2] + p[i + 3] >= 40) AS good FROM sized),
+inner_part AS (SELECT s, q, p, good[1] AS a, substr(s, good[1]::INT, (good[-1] + 4 - good[1])::INT) AS part FROM ends WHERE len(good) > 0),
+cut AS (SELECT s, q, p, a, list_reduce([part] || known, lambda acc, ad: left(acc, (coalesce(list_filter(range(1, greatest(length(acc) - least(5, length(ad)) + 2, 1)), lambda i: hamming(substr(acc, i::INT, least(length(ad), length(acc) - i + 1)::INT), left(ad, least(length(ad), length(acc) - i + 1)::INT)) <= least(length(ad), length(acc) - i + 1) // 8)[1], length(acc) + 1) - 1)::INT)) AS part FROM inner_part, adapters),
+tail AS (SELECT *, length(part) AS n, list_transform(range(1, length(part) + 1), lambda j: (substr(part, (length(part) - j + 1)::INT, 1) <> right(part, 1))::INT) AS other FROM cut),
+run AS (SELECT *, coalesce(list_filter(range(1, n + 1), lambda j: other[j] = 1 AND list_sum(other[1:j]) > j // 8)[1], n + 1) AS stop FROM tail),
+poly AS (SELECT *, coalesce(list_max(list_filter(range(1, stop), lambda j: other[j] = 0)), 0) AS poly FROM run),
+left_over AS (SELECT s, q, p, a, left(part, (CASE WHEN poly >= 10 THEN n - poly ELSE n END)::INT) AS t FROM poly),
+kept AS (SELECT s, q, t, substr(q, a::INT, length(t)) AS tq FROM (SELECT *, p[a : a + length(t) - 1] AS tp FROM left_over WHERE length(t) >= 15)
+  WHERE list_sum(tp) >= 10 * length(t) AND len(list_filter(tp, lambda x: x < 10)) / length(t) <= 0.4
+    AND len(list_filter(range(1, length(t)), lambda i: substr(t, i::INT, 1) <> substr(t, i::INT + 1, 1))) / (length(t) - 1) >= 0.3)
+SELECT source, ordinal, read_id, f.t AS fwd_seq, f.tq AS fwd_qual, r.t AS rev_seq, r.tq AS rev_qual FROM pair JOIN kept f ON f.s = fs AND f.q = fq JOIN kept r ON r.s = rs AND r.q = rq"""
