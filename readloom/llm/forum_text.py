@@ -15,7 +15,7 @@ _CODE = re.compile(r"\[/?[A-Za-z*]+(?:=[^\[\]\n]*)?\]")
 _QUOTE_MARKS = re.compile(r"^[ \t]*(?:[>|»][ \t]*)+", re.M)
 _SPLIT_WORD = re.compile(r"(?<=[^\W\d_])[-­‐‑][ \t]*\n[ \t]*(?=[^\W\d_])")
 _WORD = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W_぀-ヿ㐀-鿿豈-﫿]+")
-_ADDRESS = re.compile(r"(?:https?|ftp)://\S+|www\.\S+|\S+@\S+\.\w+", re.I)
+_ADDRESS = re.compile(r"(?:https?|ftp)://\S+|www\.\S+|(?<!\S)\S+@\S+\.\w+", re.I)
 _SIGNATURE = re.compile(r"^--[ \t]*$", re.M)
 _SMALL_PRINT = re.compile(r"\[size=1\].*?\[/size\]", re.I | re.S)
 _URL_TAG = re.compile(r"\[url=[^\]\n]*\]", re.I)
@@ -39,9 +39,18 @@ def _invisible(text: str) -> str:
     return text if text.isascii() else _FORMAT.sub("", text)
 
 
+def _without(pattern: re.Pattern, by: str, text: str, *signs: str) -> str:
+    """``pattern.sub(by, text)``, looked for only where one of the signs stands that each match holds."""
+    return pattern.sub(by, text) if any(x in text for x in signs) else text
+
+
 def _without_markup(text: str) -> str:
-    text = _TAG.sub("", _BREAKING.sub("\n", text))
-    return _QUOTE_MARKS.sub("", _CODE.sub("", _BREAKING_CODE.sub("\n", text)))
+    text = _without(_TAG, "", _without(_BREAKING, "\n", text, "<"), "<")
+    return _without(_QUOTE_MARKS, "", _without(_CODE, "", _without(_BREAKING_CODE, "\n", text, "["), "["), ">", "|", "»")
+
+
+def _without_splits(text: str) -> str:
+    return _without(_SPLIT_WORD, "", text, "-", "\xad", "\u2010", "\u2011") if "\n" in text else text
 
 
 def words(text: str | None) -> list[str]:
@@ -50,7 +59,7 @@ def words(text: str | None) -> list[str]:
     if not text:
         return []
     text = _without_markup(_plain(text))
-    text = _SPLIT_WORD.sub("", text)
+    text = _without_splits(text)
     return _WORD.findall(_invisible(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold())))
 
 
@@ -59,11 +68,19 @@ def running_text(text: str | None) -> str:
     if not text:
         return ""
     text = _plain(text)
-    if cut := _SIGNATURE.search(text):
+    if "--" in text and (cut := _SIGNATURE.search(text)):
         text = text[: cut.start()]
-    text = _ADDRESS.sub(" ", _URL_TAG.sub("", _SMALL_PRINT.sub("\n", text)))
-    text = _SIGNATURE_LINE.sub("", _MODERATED.sub("", _HEADER.sub("", _without_markup(text))))
-    return _invisible(unicodedata.normalize("NFKC", _SPLIT_WORD.sub("", text)))
+    text = _without(_URL_TAG, "", _without(_SMALL_PRINT, "\n", text, "["), "[")
+    if "@" in text or "://" in text or "www." in text.lower():
+        text = _ADDRESS.sub(" ", text)
+    text = _without(_HEADER, "", _without_markup(text), ":")
+    text = _without(_SIGNATURE_LINE, "", _without(_MODERATED, "", text, "**"), "~")
+    return _invisible(unicodedata.normalize("NFKC", _without_splits(text)))
+
+
+_EMPTY_LINE = re.compile(r"\n[ \t]*\n")
+_LINE_END = re.compile(r"\s*\n\s*")
+_SENTENCE_END = re.compile(r"[.!?…][\"')\]]*\s+|[。！？]")
 
 
 def sentences(text: str, longest: int = 300) -> list[str]:
@@ -71,9 +88,12 @@ def sentences(text: str, longest: int = 300) -> list[str]:
 
     Pieces beyond ``longest`` letters are divided at blanks where there are any, else anywhere."""
     out = []
-    for paragraph in re.split(r"\n[ \t]*\n", text):
-        paragraph = re.sub(r"\s*\n\s*", " ", paragraph).strip()
-        for s in re.split(r"(?<=[.!?…])[\"')\]]*\s+|(?<=[。！？])", paragraph):
+    for paragraph in _EMPTY_LINE.split(text):
+        paragraph = _without(_LINE_END, " ", paragraph, "\n").strip()
+        begin = 0
+        for end in [*_SENTENCE_END.finditer(paragraph), None]:
+            s = paragraph[begin : end.start() + 1] if end else paragraph[begin:]
+            begin = end.end() if end else begin
             while s and len(s) > longest:
                 at = s.rfind(" ", longest // 2, longest) + 1 or longest
                 out.append(s[:at])

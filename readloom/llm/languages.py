@@ -52,10 +52,16 @@ _DIGITS, _SIGNS = re.compile(r"\d+"), re.compile(r"[\W_]+")
 _HAN = re.compile("[\u3400-\u9fff]")
 
 
+_PLAIN = {i: chr(i) if chr(i).isalpha() else "0" if chr(i).isdigit() else " " for i in range(128)}
+
+
 def folded(text: str) -> str:
     """Text as it is parsed: lower case, digits as one sign, other signs and blanks as single blanks."""
     text = text.lower()
-    return _SIGNS.sub(" ", _DIGITS.sub("0", text if text.isascii() else unicodedata.normalize("NFC", text))).strip()
+    if text.isascii():
+        text = " ".join(text.translate(_PLAIN).split())
+        return _DIGITS.sub("0", text) if "00" in text else text
+    return _SIGNS.sub(" ", _DIGITS.sub("0", unicodedata.normalize("NFC", text))).strip()
 
 
 def automaton(text: str) -> list[dict[str, int]]:
