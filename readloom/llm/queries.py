@@ -56,7 +56,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_surviving_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return surviving_pairs(table(spark, d, "read_pairs"), p4_representatives(spark, d))
+    """The record that survives for each group, built of its mates."""
+    built = surviving_pairs(table(spark, d, "read_pairs"), p4_representatives(spark, d))
+    return built.select("group_id", "exemplar_id", "fwd_seq", "fwd_qual", "rev_seq", "rev_qual")
 
 
 def p5_shared_spans(spark: SparkSession, d: str) -> DataFrame:
@@ -148,8 +150,13 @@ r2 AS (SELECT *, CASE WHEN fo THEN {_PHRED.format('fq')} ELSE 0 END AS fp, CASE
 r3 AS (SELECT *, CASE WHEN fo OR ro THEN (fp + rp)::DOUBLE / (CASE WHEN fo THEN fl ELSE 0 END + CASE WHEN ro THEN rl ELSE 0 END) ELSE 0 END AS mean FROM r2),
 best AS (SELECT group_id, read_id AS exemplar_id FROM r3 QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY fo::INT + ro::INT DESC, mean DESC, fl + rl DESC, read_id) = 1),
 bestf AS (SELECT group_id, read_id AS fwd_from FROM r3 WHERE fo QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY fp::DOUBLE / fl DESC, fl DESC, read_id) = 1),
-bestr AS (SELECT group_id, read_id AS rev_from FROM r3 WHERE ro QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY rp::DOUBLE / rl DESC, rl DESC, read_id) = 1)
-SELECT g.group_id, exemplar_id, fwd_from, rev_from FROM (SELECT DISTINCT group_id FROM grouped) g LEFT JOIN best USING (group_id) LEFT JOIN bestf USING (group_id) LEFT JOIN bestr USING (group_id)"""
+bestr AS (SELECT group_id, read_id AS rev_from FROM r3 WHERE ro QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY rp::DOUBLE / rl DESC, rl DESC, read_id) = 1),
+chosen AS (SELECT g.group_id, exemplar_id, fwd_from, rev_from FROM (SELECT DISTINCT group_id FROM grouped) g LEFT JOIN best USING (group_id) LEFT JOIN bestf USING (group_id) LEFT JOIN bestr USING (group_id))
+"""
+_BUILT = """,
+f AS (SELECT group_id, fs AS fwd_seq, fq AS fwd_qual FROM r2 JOIN chosen USING (group_id) WHERE fo AND read_id = fwd_from QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY fp::DOUBLE / fl DESC, fl DESC, fq, fs) = 1),
+r AS (SELECT group_id, rs AS rev_seq, rq AS rev_qual FROM r2 JOIN chosen USING (group_id) WHERE ro AND read_id = rev_from QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY rp::DOUBLE / rl DESC, rl DESC, rq, rs) = 1)
+SELECT group_id, exemplar_id, fwd_seq, fwd_qual, rev_seq, rev_qual FROM chosen LEFT JOIN f USING (group_id) LEFT JOIN r USING (group_id)"""
 # any tokenizer gives the same sources: words of ASCII letters, and every other sign, are one token each
 _SHORT = r"""WITH target AS (SELECT lower(trim(source)) AS source, max(weight::DECIMAL(20, 12)) AS weight, max(max_repeats) AS max_repeats FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
 had AS (SELECT lower(regexp_replace(source, '^\s+|\s+$', '', 'g')) AS source, sum(len(regexp_extract_all(coalesce(text, ''), '\w+|[^\w\s]'))) AS n FROM documents GROUP BY 1),
@@ -171,7 +178,8 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": _TERMS + "SELECT kmer, 'common' AS mark FROM marked WHERE common UNION ALL SELECT kmer, 'rare' FROM marked WHERE rare",
         "p2_term_statistics": _TERMS + "SELECT kmer, occurrences, records, common, rare FROM marked",
         "p3_found": f"WITH RECURSIVE {_LINK} SELECT read_id, group_id FROM grouped",
-        "p4_found": _CHOSEN,
+        "p4_found": _CHOSEN + "SELECT * FROM chosen",
+        "p4_surviving_pairs": _CHOSEN + _BUILT,
         "p5_found": _SPANS + "SELECT DISTINCT read_id, mate FROM hit",
         "p7_found": _SHORT,
         "p5_shared_spans": _SPANS + "SELECT read_id, mate, count(DISTINCT i + j) AS shared_bases FROM hit, range(0, 50) r(j) GROUP BY read_id, mate",
