@@ -25,6 +25,16 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _CODE[raw], offsets - offsets[0]
 
 
+def cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of the texts, one a row with zeros behind its end, and their lengths."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    joined = "".join(texts)
+    letters = np.frombuffer(joined.encode(), np.uint8) if joined.isascii() else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = np.zeros((len(texts), int(size.max(initial=0))), letters.dtype)
+    out[np.arange(out.shape[1]) < size[:, None]] = letters
+    return out, size
+
+
 def windows_ok(codes: np.ndarray, k: int) -> np.ndarray:
     """For each start, whether k bases without other letters begin there."""
     n = len(codes) - k + 1

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 from itertools import count
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.functions import packed as P
 from readloom.functions.seqs import bare, canonical, clean_seq, kmers
 from readloom.operators.components import connected_components
 from readloom.session import cut
 
-#: Sequences up to this length are first compared by their edit distance.
-NEAR_LETTERS = 400
+#: Letters of padded mates that are compared at once, and longest k-mers whose hashes are looked up in a table.
+CELLS, TABLE_K = 4_000_000, 9
 #: The key of a window without a k-mer.
 NO_KMER = -1
 #: Roots of a block in a large component, at least and at most; Spark limits windows to so many rows before they are shuffled.
@@ -60,26 +66,62 @@ def bucket_keys(f: Column, r: Column, p: DedupParams) -> Column:
     return F.array_union(pairs(f, r, False), pairs(f, r, True)) if p.tolerant else F.array_distinct(pairs(f, r, False))
 
 
-def mismatches(a: Column, b: Column) -> Column:
-    """Differing letters up to the shorter length."""
-    n = F.least(F.length(a), F.length(b))
-    return F.size(F.filter(F.zip_with(F.split(F.substr(a, F.lit(1), n), ""), F.split(F.substr(b, F.lit(1), n), ""), lambda x, y: x != y), lambda d: d))
+@cache
+def _word_hashes(k: int) -> np.ndarray:
+    """The CRC-32 of the canonical form of every k-mer, by its packed number."""
+    words = np.arange(4**k, dtype=np.uint64)
+    least = P.unpack_strings(np.minimum(words, P.rc_packed(words, k)), k)
+    return np.array([crc32(x.encode()) for x in least.to_pylist()], np.int64)
 
 
-def sequences_match(a: Column, b: Column, p: DedupParams) -> Column:
+def _window_hashes(p: DedupParams):
+    """``minimizer`` of each window of both mates, whole batches at once; the mates hold ACGTN only."""
+
+    def least(mates: pa.Array) -> pa.Array:
+        codes, offsets = P.flat(mates)
+        k, n = p.kmer_len, len(mates)
+        none = np.int64(1 << 40)
+        ok = P.windows_ok(codes, k)
+        hashes = np.append(np.where(ok, _word_hashes(k)[P.pack(codes, k).astype(np.int64)], none), none) if len(ok) else np.array([none])
+        at = np.arange(p.num_windows * p.window_len)
+        place = np.arange(p.window_len) <= p.window_len - k
+        inside = np.tile(place, p.num_windows) & (at + k <= np.diff(offsets)[:, None])
+        found = np.where(inside, hashes[np.minimum(offsets[:-1, None] + at, len(hashes) - 1)], none).reshape(n, p.num_windows, p.window_len).min(axis=2)
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * p.num_windows), pa.array(np.where(found == none, NO_KMER, found).ravel()))
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), least(batch.column(1)), least(batch.column(2))], ["class_id", "f", "r"])
+
+    return hashes
+
+
+def _alike(a: list[str], b: list[str], p: DedupParams) -> np.ndarray:
     """Whether a shift of at most ``max_offset``, each base of it counted as a mismatch, leaves few enough mismatches."""
-    out = F.lit(False)
+    (x, nx), (y, ny) = P.cells(a), P.cells(b)
+    out = np.zeros(len(a), bool)
     for o in range(-p.max_offset, p.max_offset + 1):
-        x = F.substr(a, F.lit(1 + max(0, o)), F.length(a)) if o > 0 else a
-        y = F.substr(b, F.lit(1 + max(0, -o)), F.length(b)) if o < 0 else b
-        size = F.least(F.length(x), F.length(y))
-        out = out | ((size > 0) & ((abs(o) + mismatches(x, y)).cast("double") <= F.lit(p.max_error_frac) * size))
-    n = F.least(F.length(a), F.length(b))
-    common_a, common_b = F.substr(a, F.lit(1), n), F.substr(b, F.lit(1), n)
-    # cheap and never too strict: each base of a shift costs at most two edits of the common length
-    most = 2 * p.max_offset + max(1, round(p.max_error_frac * NEAR_LETTERS))
-    near = (n > NEAR_LETTERS) | (F.levenshtein(common_a, common_b, most) >= 0)
-    return F.when(near, out).otherwise(False)
+        left, right = x[:, max(0, o) :], y[:, max(0, -o) :]
+        size, top = np.minimum(nx - max(0, o), ny - max(0, -o)), min(left.shape[1], right.shape[1])
+        wrong = ((left[:, :top] != right[:, :top]) & (np.arange(top) < size[:, None])).sum(axis=1)
+        out |= (size > 0) & ((abs(o) + wrong).astype(np.float64) <= p.max_error_frac * size)
+    return out
+
+
+def _matching(p: DedupParams):
+    def matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            longest = max((pc.max(pc.binary_length(batch.column(i))).as_py() or 0 for i in range(2, 6)), default=0)
+            step = max(1, CELLS // (longest + 1))
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
+                af, ar, bf, br = (part.column(i).to_pylist() for i in range(2, 6))
+                same = _alike(af, bf, p) & _alike(ar, br, p)
+                if p.tolerant:
+                    same |= _alike(af, br, p) & _alike(ar, bf, p)
+                yield part.select(["a", "b"]).filter(pa.array(same))
+
+    return matching
 
 
 def read_classes(reads: DataFrame, p: DedupParams) -> DataFrame:
@@ -90,7 +132,11 @@ def read_classes(reads: DataFrame, p: DedupParams) -> DataFrame:
 
 def bucket_members(classes: DataFrame, p: DedupParams) -> DataFrame:
     """``(class_id, fh, rh)``: the bucket keys of each class. Classes with an empty mate match nothing and are left out."""
-    hashes = cut(classes.where("length(fwd) > 0 and length(rev) > 0").select("class_id", minimizers(F.col("fwd"), p).alias("f"), minimizers(F.col("rev"), p).alias("r")))
+    able = classes.where("length(fwd) > 0 and length(rev) > 0")
+    plain = F.lit(p.kmer_len <= TABLE_K) & ~F.col("fwd").rlike("[^ACGTN]") & ~F.col("rev").rlike("[^ACGTN]")
+    start = [F.substring(m, 1, p.num_windows * p.window_len).alias(m) for m in ("fwd", "rev")]
+    usual = able.where(plain).select("class_id", *start).mapInArrow(_window_hashes(p), "class_id string, f array<bigint>, r array<bigint>").select("class_id", F.array_distinct("f").alias("f"), F.array_distinct("r").alias("r"))
+    hashes = cut(usual.unionByName(able.where(~plain).select("class_id", minimizers(F.col("fwd"), p).alias("f"), minimizers(F.col("rev"), p).alias("r"))))
     return hashes.select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
 
 
@@ -107,10 +153,7 @@ def dedup_edges(classes: DataFrame, p: DedupParams) -> DataFrame:
         return classes.select(F.col("class_id").alias(s), F.col("fwd").alias(f"{s}f"), F.col("rev").alias(f"{s}r"))
 
     met = dedup_candidates(classes, p).join(side("a"), "a").join(side("b"), "b")
-    same = sequences_match(F.col("af"), F.col("bf"), p) & sequences_match(F.col("ar"), F.col("br"), p)
-    if p.tolerant:
-        same = same | (sequences_match(F.col("af"), F.col("br"), p) & sequences_match(F.col("ar"), F.col("bf"), p))
-    return met.where(same).select("a", "b")
+    return met.select("a", "b", "af", "ar", "bf", "br").mapInArrow(_matching(p), "a string, b string")
 
 
 def _distances(starts: DataFrame, ways: DataFrame) -> DataFrame:

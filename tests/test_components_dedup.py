@@ -93,7 +93,7 @@ def _near_duplicates(r, n):
 def test_dedup_against_all_pairs(spark, tolerant):
     p = dedup.DedupParams(num_windows=2, window_len=12, kmer_len=5, tolerant=tolerant)
     r = rng(8)
-    seqs = _near_duplicates(r, 25) + [("", "ACGTACGTACGTAA"), ("", "ACGTACGTACGTAA"), ("ACG", "TTA"), ("ACG", "TTA")]
+    seqs = _near_duplicates(r, 25) + [("", "ACGTACGTACGTAA"), ("", "ACGTACGTACGTAA"), ("ACG", "TTA"), ("ACG", "TTA"), ("ACGTRACGTTGCAAG", "TTGACCANNGGATCCA"), ("ACGTRACGTTGCAAG", "TTGACCANNGGATCCG"), ("ACGÄRACGTTGCAAG", "TTGACCANNGGATCCG")]
     data = [pair(f"r{i:03d}", f, b, fq="".join(chr(33 + r.randrange(40)) for _ in f)) for i, (f, b) in enumerate(seqs)]
     df = pairs(spark, data)
     classes = dedup.read_classes(df, p)
@@ -119,6 +119,7 @@ def test_dedup_against_all_pairs(spark, tolerant):
         _, comp = ecc(i)
         score = lambda j: (ecc(j)[0], -sum(ord(c) - 33 for c in data[j][5] + data[j][8]) / max(1, len(data[j][5] + data[j][8])), -len(seqs[j][0] + seqs[j][1]), data[j][2])
         want[data[i][2]] = data[min(comp, key=score)][2]
+    assert {tuple(x) for x in dedup.dedup_edges(classes, p).collect()} >= {(f"r{i:03d}", f"r{j:03d}") for i, j in links if seqs[i] != seqs[j] and f"r{i:03d}" in got and f"r{j:03d}" in got}
     found = dedup.deduplicate(df, p)
     assert {x["read_id"]: x["exemplar_id"] for x in found.collect()} == want
     assert dedup.deduplicate(df.limit(0), p).count() == 0
@@ -133,6 +134,19 @@ def test_large_components_use_pivots(spark):
     assert exact["c00"] == 9 and exact["c04"] == exact["c05"] == 5
 
 
+def test_tables_and_columns_give_the_same_buckets(spark, monkeypatch):
+    r = rng(18)
+    data = [pair(f"r{i:03d}", dna(r, r.randint(0, 90)), "".join(r.choice("ACGTN") for _ in range(r.randint(1, 40)))) for i in range(120)]
+    p = dedup.DedupParams()
+    classes = dedup.read_classes(pairs(spark, data), p)
+    want = {tuple(x) for x in dedup.bucket_members(classes, p).collect()}
+    monkeypatch.setattr(dedup, "TABLE_K", 0)
+    assert {tuple(x) for x in dedup.bucket_members(classes, p).collect()} == want and want
+    many = classes.select(F.col("class_id").alias("a"), F.lit("x").alias("b"), F.col("fwd").alias("af"), F.col("rev").alias("ar"), F.col("fwd").alias("bf"), F.col("rev").alias("br"))
+    monkeypatch.setattr(dedup, "CELLS", 200)
+    assert many.mapInArrow(dedup._matching(p), "a string, b string").count() == classes.where("length(fwd) > 0 and length(rev) > 0").count()
+
+
 def test_params():
     with pytest.raises(ValueError):
         dedup.DedupParams(kmer_len=30)
