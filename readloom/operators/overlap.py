@@ -5,23 +5,192 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from hashlib import blake2b
 from itertools import count
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.functions.seqs import clean_seq, kmers, reverse_complement
+from readloom.functions import packed as P
+from readloom.functions.meet import PARTS, blocks, meeting, mix, packed_texts, unpacked_texts
+from readloom.functions.seqs import clean_seq
 from readloom.operators.components import TASK_LINKS
-from readloom.session import cut
+from readloom.session import cut, spread
 
 #: Rounds whose tables one plan reads.
 PLAN_ROUNDS = 50
+#: Letters that are compared at once.
+CELLS = 4_000_000
 
 
-def _mismatches(a, b):
-    """Differing places of two strings of equal length."""
-    return F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda d: d))
+#: Letters that one task brings together, and longest k-mers of which anchors are made.
+TASK_LETTERS, ANCHOR_K = 20_000_000, 17
+#: Periods of k-mers that repeat themselves, and windows of a front among which others are looked for.
+PERIODS, WINDOWS = (1, 2, 3), 6
+_TURN = str.maketrans("ACGTNacgtn", "TGCANtgcan")
+
+
+def _anchors(n0: int, n1: int, parts: int):
+    """Rows to meet of ``(n, s)``: of each sequence the k-mers at its fronts and all that may stand there.
+
+    A front is a window of half of n1 letters, at the start or behind the first half, on either strand; its anchor is the
+    k-mer of the least scattered number. Whoever holds the window holds that k-mer as one that is the least of a window.
+    Windows of nothing but a repeat (tails of one letter) would meet at every place; for overlaps that reach so far, later
+    windows stand for them, and for shorter ones they meet by place too.
+    """
+    half = max(1, n1 // 2)
+    window, least = (min(n0, half), n0) if n0 >= half else (half, n1)
+    k = min(window, max(12, window // 2 + 2), ANCHOR_K)
+    k -= k > 1 and k % 2 == 0  # of an odd length, so that none is its own reverse complement
+    w = window - k + 1
+    top, far = ~np.uint64(0), np.uint64(1 << 63)
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            if not pc.all(pc.string_is_ascii(texts)).as_py():
+                texts = pc.replace_substring_regex(texts, "[^\\x00-\\x7f]", "?")
+            codes, offsets = P.flat(texts)
+            size = np.diff(offsets)
+            if len(codes) < window:
+                continue
+            # other letters are read as A on both strands
+            turned = np.where(codes > 3, 0, 3 - (codes & 3)).astype(np.uint8)
+            x, r = P.pack(np.where(codes > 3, 0, codes).astype(np.uint8), k), P.pack(turned[::-1], k)[::-1]
+            scattered, flip = mix(np.minimum(x, r)) >> np.uint64(1) | np.uint64(1), r < x  # never 0, which stands for no window
+            # k-mers that repeat themselves come last, so that they are anchors only of windows of nothing else
+            scattered |= np.where(reduce(np.bitwise_or, [(x ^ x >> np.uint64(2 * d)) & np.uint64(4 ** (k - d) - 1) == 0 for d in PERIODS if d < k], np.zeros(len(x), bool)), far, np.uint64(0)) if k > 2 * max(PERIODS) else np.uint64(0)
+            starts = np.arange(len(codes) - window + 1)
+            owner = np.repeat(np.arange(len(size)), size)
+            whole = starts + window <= offsets[1:][owner[: len(starts)]]
+            low = P.slide_min(scattered, w)[: len(starts)]
+            # a k-mer is the least of a window if the greatest of its windows' least is its own
+            pad = np.full(w - 1, top)
+            most = ~P.slide_min(np.concatenate([pad, np.where(whole, ~low, top), pad]), w)
+            at = np.flatnonzero((most == scattered) & (most > 0))
+            own = owner[at]
+            place, length = at - offsets[own], size[own]
+            plain = scattered[at] < far
+            key = lambda i: scattered[i] >> np.uint64(31) & np.uint64(0xFFFFFFFF)
+            # a repetitive k-mer meets only its like with as many letters behind it in the overlap
+            exact = lambda i, rest, o: mix(scattered[i] ^ mix((rest << 1 | (flip[i] ^ (o < 0))).astype(np.uint64))) >> np.uint64(32)
+            cols, keys, fronts = (ids[own], place << 1 | flip[at], length), [key(at)], []
+            keep = [plain]
+            for o, rest in ((1, place + k), (-1, length - place)):  # of front o, letters from the k-mer to the other strand's end
+                found, from_two = _fronts(o, offsets, size)(scattered, flip, ids, key, exact)
+                fronts += found
+                # the other end of this strand is a front too, which finds all overlaps of from_two letters on
+                keep.append(~plain & (rest < from_two[own]))
+                keys.append(exact(at, rest, -o))
+            yield blocks(0, np.concatenate([x[y] for x, y in zip(keys, keep)]), *(np.concatenate([c[y] for y in keep]) for c in cols), parts=parts)
+            yield blocks(1, *map(np.concatenate, zip(*fronts)), parts=parts)
+
+    def _fronts(o: int, offsets: np.ndarray, size: np.ndarray):
+        def fronts(scattered, flip, ids, key, exact) -> tuple[list[tuple[np.ndarray, ...]], np.ndarray]:
+            """Of each sequence's first windows two that don't repeat themselves, and the size from which these lie in an overlap; up to it also repetitive ones."""
+            n, never = len(size), 1 << 40
+            kmer, enough = np.zeros((n, WINDOWS), np.int64), np.full((n, WINDOWS), never)
+            for j in range(WINDOWS):
+                begin = j * half
+                long = np.flatnonzero(size >= (max(n1, begin + window) if j else max(least, window)))
+                first = offsets[long] + begin if o > 0 else offsets[long + 1] - begin - window
+                kmer[long, j] = first + np.argmin(scattered[first[:, None] + np.arange(w)], axis=1)
+                enough[long, j] = max(n1, begin + window) if j else max(least, window)
+            there = enough < never
+            plain = there & (scattered[kmer] < far)
+            nth = np.cumsum(plain, axis=1)
+            from_two, from_one = (np.where(plain & (nth == i), enough, never).min(axis=1) for i in (2, 1))
+            odd = there & ~plain
+            odd_nth = np.cumsum(odd, axis=1)
+            out = []
+
+            def add(row: np.ndarray, i: np.ndarray, sizes: np.ndarray | None) -> None:
+                place = i - offsets[row] if o > 0 else offsets[row + 1] - k - i
+                out.append((key(i) if sizes is None else exact(i, sizes - place, o), ids[row], place << 2 | (o < 0) << 1 | (flip[i] ^ (o < 0)), size[row]))
+
+            row, j = np.nonzero(plain & (nth <= 2))
+            add(row, kmer[row, j], None)
+            for i, end in ((1, from_two), (2, from_one)):
+                row, j = np.nonzero(odd & (odd_nth == i))
+                begin, end = enough[row, j], np.minimum(end[row], size[row] + 1)
+                many = np.maximum(end - begin, 0)
+                sizes = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin, many)
+                add(np.repeat(row, many), np.repeat(kmer[row, j], many), sizes)
+            return out, from_two
+
+        return fronts
+
+    def pairs(back: list[np.ndarray], front: list[np.ndarray]) -> dict[str, np.ndarray]:
+        _, bid, b, b_len = back
+        _, fid, f, f_len = front
+        same = (b & 1) == (f & 1)
+        place = np.where(same, b >> 1, b_len - k - (b >> 1))
+        size = b_len - (place - (f >> 2))
+        fits = (bid != fid) & (place >= f >> 2) & (size >= least) & (size <= f_len)
+        back_o, front_o, other = np.where(same, 1, -1), np.where(f & 2, -1, 1), bid > fid
+        # either end of an overlap may have found it; the smaller one's back is named
+        bid, fid, back_o, front_o = np.where(other, fid, bid), np.where(other, bid, fid), np.where(other, -front_o, back_o), np.where(other, -back_o, front_o)
+        return {"bid": bid[fits], "bo": back_o[fits].astype(np.int8), "fid": fid[fits], "fo": front_o[fits].astype(np.int8), "size": size[fits].astype(np.int32)}
+
+    return anchors, pairs
+
+
+def _ends(n0: int, n1: int, parts: int):
+    """Rows to meet of ``(n, s)``: every front and every back of n0 to n1 - 1 letters, on either strand."""
+
+    def hashed(text: str) -> int:
+        return int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [], []
+            for n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for o, text in ((1, s), (-1, s[::-1].translate(_TURN))):
+                    for size in range(n0, min(n1 - 1, len(s)) + 1):
+                        found[0].append((hashed(text[-size:]), n, size << 1 | (o < 0)))
+                        found[1].append((hashed(text[:size]), n, size << 1 | (o < 0)))
+            for kind, rows in enumerate(found):
+                if rows:
+                    h, n, x = np.array(rows, np.int64).T
+                    yield blocks(kind, h.view(np.uint64) >> np.uint64(32), n, x, parts=parts)
+
+    def pairs(back: list[np.ndarray], front: list[np.ndarray]) -> dict[str, np.ndarray]:
+        (_, bid, b), (_, fid, f) = back, front
+        fits = (bid < fid) & (b >> 1 == f >> 1)
+        return {"bid": bid[fits], "bo": np.where(b & 1, -1, 1)[fits].astype(np.int8), "fid": fid[fits], "fo": np.where(f & 1, -1, 1)[fits].astype(np.int8), "size": (b >> 1)[fits].astype(np.int32)}
+
+    return ends, pairs
+
+
+def _fitting(n1: int):
+    """Of pairs, those whose suffix and prefix are equal or, from n1 letters on, differ at one place."""
+
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, turns = {x: unpacked_texts(batch.column(x)) for x in ("bs", "fs")}, {x: batch.column(x).to_pylist() for x in ("bo", "fo")}
+            ways = {x: [s if o > 0 else s[::-1].translate(_TURN) for s, o in zip(texts[x], turns[y])] for x, y in (("bs", "bo"), ("fs", "fo"))}
+            size = batch.column("size").to_pylist()
+            suffix, prefix = [s[len(s) - n :] for s, n in zip(ways["bs"], size)], [s[:n] for s, n in zip(ways["fs"], size)]
+            fits = np.fromiter((x == y for x, y in zip(suffix, prefix)), bool, len(size))
+            step = max(1, CELLS // max(size, default=1))
+            rest = [i for i in np.flatnonzero(~fits).tolist() if size[i] >= n1]
+            for at in range(0, len(rest), step):
+                part = rest[at : at + step]
+                # side by side in one call, so that both have letters of one kind
+                x, _ = P.cells([suffix[i] for i in part] + [prefix[i] for i in part])
+                fits[part] = (x[: len(part)] != x[len(part) :]).sum(axis=1) == 1
+            turn = pc.multiply(batch.column("bo"), batch.column("fo")).cast(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("bid"), batch.column("fid"), turn], ["bid", "fid", "turn"]).filter(pa.array(fits))
+
+    return fitting
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed_texts(batch.column(1))], ["n", "p"])
 
 
 def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx") -> DataFrame:
@@ -29,32 +198,27 @@ def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx") ->
 
     The overlap has at least ``n0`` letters without a mismatch, or at least ``n1`` with one. Orientation 1:
     as they stand (or both reversed); else -1, if one is reverse-complemented. Only sequences that share an
-    anchor at the right place are compared: a front's first ``n0`` letters or, for the one mismatch, one of the
-    two halves of its first ``n1`` letters, of which one is free of it.
+    anchor at the right place are compared: one of the two halves of a front's first ``n1`` letters is free of the one
+    mismatch. Where ``n0`` is shorter than a half, fronts and backs of less than ``n1`` letters meet as a whole.
     """
     if not 1 <= n0 <= n1:
         raise ValueError("needs 1 <= n0 <= n1")
-    half = max(1, n1 // 2)
-    base = cut(seqs.where("seq is not null").select(F.col(id_col).alias("id"), clean_seq("seq").alias("s")))
-    both = base.withColumn("o", F.lit(1)).unionByName(base.select("id", reverse_complement(F.col("s")).alias("s"), F.lit(-1).alias("o")))
-
-    def fronts(start: int, size: int) -> DataFrame:
-        return both.where(F.length("s") >= start + size).select(F.col("id").alias("fid"), F.col("o").alias("fo"), F.length("s").alias("f_len"), F.xxhash64(F.lit(size), F.substring("s", start + 1, size)).alias("anchor"), F.lit(start).alias("start"))
-
-    def backs(size: int) -> DataFrame:
-        at = both.select(F.col("id").alias("bid"), F.col("o").alias("bo"), F.length("s").alias("b_len"), F.posexplode(kmers(F.col("s"), size)).alias("at", "word"))
-        return at.select("bid", "bo", "b_len", "at", F.xxhash64(F.lit(size), "word").alias("anchor"))
-
-    front = fronts(0, n0).unionByName(fronts(0, half)).unionByName(fronts(half, n1 - half))
-    back = reduce(DataFrame.unionByName, [backs(size) for size in sorted({n0, half, n1 - half})])
-    # only ids, places and hashed anchors are joined; the letters come to the pairs that are left, and decide
-    met = front.join(back, "anchor").where(F.col("bid") < F.col("fid")).withColumn("size", F.col("b_len") - (F.col("at") - F.col("start")))
-    met = met.where((F.col("at") >= F.col("start")) & (F.col("size") >= n0) & (F.col("size") <= F.col("f_len"))).select("bid", "bo", "fid", "fo", "size").distinct()
-    turned = lambda s, o: F.when(F.col(o) < 0, reverse_complement(F.col(s))).otherwise(F.col(s)).alias(s)
-    pairs = met.join(base.select(F.col("id").alias("bid"), F.col("s").alias("bs")), "bid").join(base.select(F.col("id").alias("fid"), F.col("s").alias("fs")), "fid").select("bid", "bo", "fid", "fo", "size", turned("bs", "bo"), turned("fs", "fo"))
-    suffix, prefix = F.expr("right(bs, size)"), F.expr("left(fs, size)")
-    fits = pairs.where((suffix == prefix) | ((F.col("size") >= n1) & (_mismatches(suffix, prefix) == 1)))
-    return fits.groupBy(F.col("bid").alias("src"), F.col("fid").alias("dst")).agg(F.max(F.col("bo") * F.col("fo")).alias("orientation"))
+    numbered = seqs.where(F.col(id_col).isNotNull()).select(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id"), clean_seq("seq").alias("s"))
+    base = cut(numbered.where(F.length("s") >= n0))
+    letters = base.agg(F.sum(F.length("s"))).first()[0] or 0
+    tasks = max(1, -(-letters // TASK_LETTERS))
+    parts = tasks * PARTS
+    found = []
+    for make, columns in ((_anchors, (3, 3)), *([(_ends, (2, 2))] if n0 < max(1, n1 // 2) else [])):
+        rows, pairs = make(n0, n1, parts)
+        found.append(meeting(spread(base.select("n", "s")).mapInArrow(rows, "part int, kind int, rows binary"), columns, pairs, "bid bigint, bo tinyint, fid bigint, fo tinyint, size int", tasks))
+    met = cut(reduce(DataFrame.unionByName, found).distinct())
+    held = cut(base.select("n", "s").mapInArrow(_numbered, "n bigint, p binary"))
+    side = lambda i, s: held.select(F.col("n").alias(i), F.col("p").alias(s))
+    fits = cut(met.join(side("bid", "bs"), "bid").join(side("fid", "fs"), "fid").mapInArrow(_fitting(n1), "bid bigint, fid bigint, turn int").groupBy("bid", "fid").agg(F.max("turn").alias("turn")))
+    name = lambda i, s: base.select(F.col("n").alias(i), F.col("id").alias(s))
+    edges = fits.join(name("bid", "x"), "bid").join(name("fid", "y"), "fid").where("x != y")
+    return edges.groupBy(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst")).agg(F.max("turn").alias("orientation"))
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

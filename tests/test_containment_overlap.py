@@ -1,3 +1,6 @@
+import pyarrow as pa
+
+from readloom.functions import meet
 from readloom.operators import containment, overlap
 from tests.helpers import dna, rc, rng, rows
 
@@ -103,3 +106,40 @@ def test_registered_overlaps_of_contigs(spark, monkeypatch):
     monkeypatch.setattr(catalog, "contigs", lambda spark, d: _set(spark, seqs))
     got = {frozenset((x["src"], x["dst"])) for x in catalog.queries()["contig_overlap_edges"](spark, "").collect()}
     assert {frozenset(seqs[:2]), frozenset(seqs[1:])} <= got
+
+
+def _met(seqs, n0, n1):
+    """The pairs that would be compared, and the rows that meet to find them."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(seqs)), pa.int64()), pa.array(seqs)], ["n", "s"])
+    rows_, pairs = overlap._anchors(n0, n1, 8)
+    one, two = meet._gathered(rows_(iter([batch])), (3, 3))
+    found = set()
+    for i, j in meet.met(one, two):
+        x = pairs([c[i] for c in one], [c[j] for c in two])
+        found |= set(zip(*(v.tolist() for v in x.values())))
+    return found, len(one[0]) + len(two[0])
+
+
+def test_few_rows_and_no_pairs_from_tails_of_one_letter():
+    r = rng(21)
+    seqs = [dna(r, 80 + i % 7) + "G" * (70 - i % 7) for i in range(60)] + [dna(r, 150) for _ in range(60)]
+    found, n = _met(seqs, 40, 60)
+    assert len(found) < 200 and n < 115 * len(seqs)  # all windows of 30 and 40 letters on both strands would be 460 rows a sequence
+
+
+def test_repeats_other_letters_and_short_fronts_against_all_pairs(spark):
+    r = rng(22)
+    core, unit = dna(r, 90), "AC" * 40
+    seqs = ["G" * 50 + core[:40], "G" * 45 + core[:40] + "T", core[:45] + "A" * 60, "T" * 66 + rc(core[20:45]), "A" * 75, "A" * 70 + "C" + "A" * 9, unit, unit[1:] + core[:9], "N" * 66, "N" * 64 + "AC", core, core[30:] + unit[:33], rc(core[10:70]), core[:35] + "R" + core[36:80], core[5:35] + "Ä" + core[36:], core[5:40] + "C" * 30]
+    seqs += [s[: len(s) // 2] + r.choice("ACGT") + s[len(s) // 2 + 1 :] for s in seqs[:14]]
+    seqs = list(dict.fromkeys(seqs))
+    for n0, n1 in ((40, 60), (7, 31)):
+        want = []
+        for i, a in enumerate(seqs):
+            for j in range(i + 1, len(seqs)):
+                b = seqs[j]
+                if _overlaps(a, b, n0, n1) or _overlaps(rc(a), rc(b), n0, n1):
+                    want.append((i, j, 1))
+                elif _overlaps(a, rc(b), n0, n1) or _overlaps(rc(a), b, n0, n1):
+                    want.append((i, j, -1))
+        assert rows(overlap.overlap_edges(_set(spark, seqs), n0=n0, n1=n1)) == sorted(want, key=repr)
