@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from readloom.functions import packed as P
 
 #: Pairs of rows that are laid side by side at once.
-PAIRS = 1_000_000
+PAIRS = 200_000
 #: Parts of the keys for each task that joins them; Spark deals parts to tasks by hash.
 PARTS = 16
 _HEAD = struct.Struct("<qqb")

@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
+from readloom.functions.meet import PARTS, blocks, meeting, mix, packed_texts, unpacked_texts
 from readloom.functions.seqs import bare, canonical, clean_seq, kmers
 from readloom.operators.components import connected_components
-from readloom.session import cut
+from readloom.session import cut, spread
 
 #: Letters of padded mates that are compared at once, and longest k-mers whose hashes are looked up in a table.
 CELLS, TABLE_K = 4_000_000, 9
+#: Longest and shortest blocks of mates by which matches are looked for, letters of their anchors, of short mates' beginnings, and that one task brings together.
+MAX_BLOCK, LEAST_BLOCK, BLOCK_K, START, TASK_LETTERS = 50, 20, 20, 8, 16_000_000
 #: The key of a window without a k-mer.
 NO_KMER = -1
 #: Roots of a block in a large component, at least and at most; Spark limits windows to so many rows before they are shuffled.
@@ -140,20 +143,155 @@ def bucket_members(classes: DataFrame, p: DedupParams) -> DataFrame:
     return hashes.select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
 
 
-def dedup_candidates(classes: DataFrame, p: DedupParams) -> DataFrame:
-    """``(a, b)`` with a < b: classes that share a bucket key."""
+def dedup_candidates(classes: DataFrame, p: DedupParams, of: DataFrame | None = None) -> DataFrame:
+    """``(a, b)`` with a < b: classes that share a bucket key; with ``of`` only those of which one at least is among these."""
     keys = bucket_members(classes, p)
-    other = keys.withColumnRenamed("class_id", "b")
-    return keys.withColumnRenamed("class_id", "a").join(other, ["fh", "rh"]).where("a < b").select("a", "b").distinct()
+    some = keys if of is None else keys.join(of.select("class_id"), "class_id", "left_semi")
+    met = some.withColumnRenamed("class_id", "a").join(keys.withColumnRenamed("class_id", "b"), ["fh", "rh"])
+    return met.where("a < b" if of is None else "a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _block(p: DedupParams) -> int:
+    """Letters of a block, so that two mates that match share one whole block without a mismatch for each that they may have, and one more."""
+    return min(MAX_BLOCK, int(1 / (2 * p.max_error_frac) + 1e-9)) if p.max_error_frac > 0 else MAX_BLOCK
+
+
+def _block_rows(p: DedupParams, parts: int):
+    """Rows to meet of ``(n, fwd, rev)``: for each pair of blocks of both mates their anchors; the others' shifted too, and turned round.
+
+    An anchor is a block's least scattered k-mer. Of mates of n letters as many blocks count as mismatches may be, and one more.
+    """
+    size, k = _block(p), min(BLOCK_K, _block(p))
+    u, w = np.uint64, size - min(BLOCK_K, _block(p)) + 1
+
+    def least(mates: pa.Array, shifts: range) -> tuple[np.ndarray, np.ndarray]:
+        """(row, anchor) of the blocks of each mate, distinct."""
+        codes, offsets = P.flat(mates)
+        n = np.diff(offsets)
+        low = P.slide_min(mix(P.pack(codes, k)), w) if len(codes) >= size else np.zeros(0, u)
+        rows, found = [], []
+        number = np.floor(p.max_error_frac * n + 1e-9).astype(np.int64) + 1
+        for i in range(int(number.max(initial=0))):
+            for d in shifts:
+                at = i * size + d
+                if at >= 0:
+                    row = np.flatnonzero((i < number) & (at + size <= n))
+                    rows.append(row)
+                    found.append(low[offsets[row] + at])
+        one = np.unique(np.rec.fromarrays([np.concatenate(rows), np.concatenate(found)])) if rows else np.rec.fromarrays([np.zeros(0, np.int64), np.zeros(0, u)])
+        return one["f0"], one["f1"]
+
+    def crossed(one: tuple, two: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """(row, key) of each anchor of one with each of the same row of two."""
+        first, last = np.searchsorted(two[0], one[0]), np.searchsorted(two[0], one[0], side="right")
+        n = last - first
+        i = np.repeat(np.arange(len(n)), n)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + first[i]
+        return one[0][i], mix(one[1][i] ^ mix(two[1][j] + u(1))) >> u(32)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, shifts = batch.column(0).to_numpy(zero_copy_only=False), range(-p.max_offset, p.max_offset + 1)
+            row, key = crossed(*(least(batch.column(i), range(1)) for i in (1, 2)))
+            yield blocks(0, key, ids[row], parts=parts)
+            f, r = (least(batch.column(i), shifts) for i in (1, 2))
+            turned = [crossed(r, f)] if p.tolerant else []
+            row, key = map(np.concatenate, zip(crossed(f, r), *turned))
+            yield blocks(1, key, ids[row], parts=parts)
+
+    return rows
+
+
+def _start_rows(p: DedupParams, sizes: tuple[int, ...], parts: int):
+    """Rows to meet of ``(n, fwd, rev)``: mates shorter than a block, which match only what they begin or what begins them, and all mates."""
+
+    def key(text: str) -> int:
+        return crc32(text.encode())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [], []
+            for n, *mates in zip(*(c.to_pylist() for c in batch.columns)):
+                for m in mates:
+                    if len(m) < _block(p):
+                        found[0].append((key(m[: sizes[-1]]), n))
+                    # what has a k-mer in each window shares no minimizer with what has none
+                    for s in sizes:
+                        if s <= len(m) and (s >= p.kmer_len or len(m) < (p.num_windows - 1) * p.window_len + p.kmer_len or "N" in m):
+                            found[1].append((key(m[:s]), n))
+            for kind, x in enumerate(found):
+                if x:
+                    yield blocks(kind, *np.array(x, np.int64).T, parts=parts)
+
+    return rows
+
+
+def _two_ids(one: list[np.ndarray], two: list[np.ndarray]) -> dict[str, np.ndarray]:
+    a, b = np.minimum(one[1], two[1]), np.maximum(one[1], two[1])
+    both = np.unique(np.rec.fromarrays([a[a < b], b[a < b]]))
+    return {"a": both["f0"], "b": both["f1"]}
+
+
+def _sharing(p: DedupParams):
+    """Of pairs, those that match and share a bucket key."""
+    match, hashes = _matching(p), _window_hashes(p)
+
+    def sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mates = [pa.array(unpacked_texts(batch.column(i)), pa.string()) for i in range(2, 6)]
+            pairs = pa.RecordBatch.from_arrays([pa.array(np.arange(len(batch))), batch.column(1), *mates], ["a", "b", "af", "ar", "bf", "br"])
+            alike = np.concatenate([np.zeros(0, np.int64), *(x.column(0).to_numpy(zero_copy_only=False) for x in match(iter([pairs])))]).astype(np.int64)
+            found = [m.take(pa.array(alike)) for m in mates]
+            first = [pc.utf8_slice_codeunits(m, 0, p.num_windows * p.window_len) for m in found]
+            af, ar, bf, br = (np.array(x.flatten()).reshape(-1, p.num_windows) for i in (0, 2) for x in next(hashes(iter([pa.RecordBatch.from_arrays([pa.array(alike), first[i], first[i + 1]], ["n", "f", "r"])]))).columns[1:])
+            shared = lambda x, y: (x[:, :, None] == y[:, None]).any(axis=(1, 2))
+            keep = shared(af, bf) & shared(ar, br)
+            if p.tolerant:
+                keep |= shared(af, br) & shared(ar, bf)
+            yield batch.select([0, 1]).take(pa.array(alike[keep]))
+
+    return sharing
+
+
+def _packed_mates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed_texts(batch.column(1)), packed_texts(batch.column(2))], ["n", "f", "r"])
 
 
 def dedup_edges(classes: DataFrame, p: DedupParams) -> DataFrame:
-    """``(a, b)`` with a < b: classes whose mates match, straight or (tolerant) turned round."""
-    def side(s: str) -> DataFrame:
-        return classes.select(F.col("class_id").alias(s), F.col("fwd").alias(f"{s}f"), F.col("rev").alias(f"{s}r"))
+    """``(a, b)`` with a < b: classes that share a bucket key and whose mates match, straight or (tolerant) turned round.
 
-    met = dedup_candidates(classes, p).join(side("a"), "a").join(side("b"), "b")
-    return met.select("a", "b", "af", "ar", "bf", "br").mapInArrow(_matching(p), "a string, b string")
+    Far fewer classes match than share a key, so those that match are found by whole blocks without a mismatch, and
+    then held against their keys. Mates of letters other than ACGTN, and parameters that leave too short blocks, go by the keys.
+    """
+    able = cut(classes.where("length(fwd) > 0 and length(rev) > 0").select(F.monotonically_increasing_id().alias("n"), "class_id", "fwd", "rev"))
+    plain = ~F.col("fwd").rlike("[^ACGTN]") & ~F.col("rev").rlike("[^ACGTN]")
+    usual = (p.kmer_len <= TABLE_K) & (_block(p) >= LEAST_BLOCK)
+    strange = able.where(~plain) if usual else able
+
+    def side(s: str) -> DataFrame:
+        return able.select(F.col("class_id").alias(s), F.col("fwd").alias(f"{s}f"), F.col("rev").alias(f"{s}r"))
+
+    met = dedup_candidates(able, p, strange if usual else None).join(side("a"), "a").join(side("b"), "b") if not usual or not strange.isEmpty() else None
+    others = met.select("a", "b", "af", "ar", "bf", "br").mapInArrow(_matching(p), "a string, b string") if met is not None else None
+    if not usual:
+        return others
+    mates = able.where(plain).select("n", "fwd", "rev")
+    shorter = F.least(F.length("fwd"), F.length("rev"))
+    letters, *sizes = mates.agg(F.sum(F.length("fwd") + F.length("rev")), F.collect_set(F.when(shorter < _block(p), F.least(shorter, F.lit(START)))), F.max(F.when((F.length("fwd") < _block(p)) & (F.length("rev") < _block(p)), 1))).first()
+    sizes = tuple(range(1, START + 1)) if sizes[1] or min(sizes[0], default=START) < START else (START,) if sizes[0] else ()
+    tasks = max(1, -(-(letters or 0) // TASK_LETTERS))
+    kind = "part int, kind int, rows binary"
+    found = [meeting(spread(mates).mapInArrow(_block_rows(p, tasks * PARTS), kind), (1, 1), _two_ids, "a bigint, b bigint", tasks)]
+    if sizes:
+        found.append(meeting(spread(mates).mapInArrow(_start_rows(p, sizes, tasks * PARTS), kind), (1, 1), _two_ids, "a bigint, b bigint", tasks))
+    near = cut(reduce(DataFrame.unionByName, found).distinct())
+    held = cut(mates.mapInArrow(_packed_mates, "n bigint, f binary, r binary"))
+    mate = lambda s: held.select(F.col("n").alias(s), F.col("f").alias(f"{s}f"), F.col("r").alias(f"{s}r"))
+    fits = cut(near.join(mate("a"), "a").join(mate("b"), "b").select("a", "b", "af", "ar", "bf", "br").mapInArrow(_sharing(p), "a bigint, b bigint"))
+    name = lambda i, s: able.select(F.col("n").alias(i), F.col("class_id").alias(s))
+    named = fits.join(name("a", "x"), "a").join(name("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return named.unionByName(others) if others is not None else named
 
 
 def _distances(starts: DataFrame, ways: DataFrame) -> DataFrame:

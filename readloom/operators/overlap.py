@@ -27,7 +27,7 @@ CELLS = 4_000_000
 
 
 #: Letters that one task brings together, and longest k-mers of which anchors are made.
-TASK_LETTERS, ANCHOR_K = 20_000_000, 17
+TASK_LETTERS, ANCHOR_K = 8_000_000, 17
 #: Periods of k-mers that repeat themselves, and windows of a front among which others are looked for.
 PERIODS, WINDOWS = (1, 2, 3), 6
 _TURN = str.maketrans("ACGTNacgtn", "TGCANtgcan")

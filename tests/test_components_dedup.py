@@ -1,9 +1,11 @@
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from readloom.functions import meet
 from readloom.functions.links import roots
 from readloom.operators import dedup
 from readloom.operators.components import connected_components, turned
@@ -203,3 +205,35 @@ def test_exemplars_do_not_depend_on_the_bound(spark, monkeypatch):
     df = pairs(spark, [pair(f"r{i:03d}", f, b, fq="".join(chr(33 + r.randrange(40)) for _ in f)) for i, (f, b) in enumerate(seqs)])
     whole, blocks = (rows(dedup.deduplicate(df, dedup.DedupParams(num_windows=2, window_len=12, kmer_len=5, max_component=n))) for n in (2_000, 4))
     assert whole == blocks and len({x[1] for x in whole}) == 1
+
+
+def test_matches_by_blocks_are_those_by_keys(spark, monkeypatch):
+    r = rng(41)
+    seqs = [(dna(r, r.choice([3, 6, 20, 49, 50, 60, 99, 100, 101, 150, 230])), dna(r, r.choice([5, 30, 50, 110, 150, 310]))) for _ in range(60)]
+    seqs += [("A" * n, "ACG") for n in (1, 4, 7, 9, 40, 150)] + [("N" * 30 + dna(r, 60), dna(r, 80)), ("AC", "NNNNNN")]
+    for f, b in list(seqs):
+        for _ in range(3):
+            x, y = (list(s) for s in (f, b))
+            for s in (x, y):
+                for _ in range(r.choice([0, 0, 1, 1, 2])):
+                    s[r.randrange(len(s))] = r.choice("ACGTN")
+            kind = r.randrange(5)
+            x, y = (x[1:] + ["C"], ["G"] + y) if kind == 0 else (y, x) if kind == 1 else (x[: max(1, len(x) * 2 // 3)], y) if kind == 2 else (x, y + ["T"] * 9) if kind == 3 else (x, y)
+            seqs.append(("".join(x), "".join(y)))
+    seqs += [("ACGRACGTTGCAAGTTC", "TTGACCANNGGATCCA"), ("ACGRACGTTGCAAGTTC", "TTGACCANNGGATCC"), ("ACGRACGTTGCAAGTTC", "TTGACC")]
+    df = pairs(spark, [pair(f"r{i:03d}", f, b) for i, (f, b) in enumerate(seqs)])
+    for tolerant in (True, False):
+        p = dedup.DedupParams(tolerant=tolerant)
+        classes = dedup.read_classes(df, p).localCheckpoint()
+        held = {x["class_id"]: (x["fwd"], x["rev"]) for x in classes.collect()}
+        keys = {i: _keys(s, p) for i, s in held.items()}
+        want = sorted((a, b) for a in held for b in held if a < b and keys[a] & keys[b] and _same(held[a], held[b], p))
+        assert len(want) > 80 and rows(dedup.dedup_edges(classes, p)) == want
+
+
+def test_pairs_that_only_share_keys_are_not_compared():
+    r = rng(42)
+    n, p = 3_000, dedup.DedupParams()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([dna(r, 150) for _ in range(n)]), pa.array([dna(r, 150) for _ in range(n)])], ["n", "fwd", "rev"])
+    one, two = meet._gathered(dedup._block_rows(p, 4)(iter([batch])), (1, 1))
+    assert sum(len(dedup._two_ids([c[i] for c in one], [c[j] for c in two])["a"]) for i, j in meet.met(one, two)) < 50
