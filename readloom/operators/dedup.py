@@ -156,10 +156,12 @@ def _block(p: DedupParams) -> int:
     return min(MAX_BLOCK, int(1 / (2 * p.max_error_frac) + 1e-9)) if p.max_error_frac > 0 else MAX_BLOCK
 
 
-def _block_rows(p: DedupParams, parts: int):
+def _block_rows(p: DedupParams, parts: int, sizes: tuple[int, ...] = ()):
     """Rows to meet of ``(n, fwd, rev)``: for each pair of blocks of both mates their anchors; the others' shifted too, and turned round.
 
     An anchor is a block's least scattered k-mer. Of mates of n letters as many blocks count as mismatches may be, and one more.
+    Mates shorter than a block match only what they begin or what begins them: the anchor is the start, of one of sizes letters, of all mates,
+    as of a pair either class may have the shorter one.
     """
     size, k = _block(p), min(BLOCK_K, _block(p))
     u, w = np.uint64, size - min(BLOCK_K, _block(p)) + 1
@@ -178,6 +180,14 @@ def _block_rows(p: DedupParams, parts: int):
                     row = np.flatnonzero((i < number) & (at + size <= n))
                     rows.append(row)
                     found.append(low[offsets[row] + at])
+        bad = np.concatenate([[0], np.cumsum(codes > 3)])
+        # what has a k-mer in each window shares no minimizer with what has none
+        lacks = (n < (p.num_windows - 1) * p.window_len + p.kmer_len) | (bad[offsets[1:]] > bad[offsets[:-1]])
+        for s in sizes:
+            row = np.flatnonzero((n >= s) & (lacks | (s >= p.kmer_len)))
+            if len(row):
+                rows.append(row)
+                found.append(mix(P.pack(codes, s)[offsets[row]] ^ u(s << 56)))
         one = np.unique(np.rec.fromarrays([np.concatenate(rows), np.concatenate(found)])) if rows else np.rec.fromarrays([np.zeros(0, np.int64), np.zeros(0, u)])
         return one["f0"], one["f1"]
 
@@ -202,30 +212,6 @@ def _block_rows(p: DedupParams, parts: int):
     return rows
 
 
-def _start_rows(p: DedupParams, sizes: tuple[int, ...], parts: int):
-    """Rows to meet of ``(n, fwd, rev)``: mates shorter than a block, which match only what they begin or what begins them, and all mates."""
-
-    def key(text: str) -> int:
-        return crc32(text.encode())
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [], []
-            for n, *mates in zip(*(c.to_pylist() for c in batch.columns)):
-                for m in mates:
-                    if len(m) < _block(p):
-                        found[0].append((key(m[: sizes[-1]]), n))
-                    # what has a k-mer in each window shares no minimizer with what has none
-                    for s in sizes:
-                        if s <= len(m) and (s >= p.kmer_len or len(m) < (p.num_windows - 1) * p.window_len + p.kmer_len or "N" in m):
-                            found[1].append((key(m[:s]), n))
-            for kind, x in enumerate(found):
-                if x:
-                    yield blocks(kind, *np.array(x, np.int64).T, parts=parts)
-
-    return rows
-
-
 def _two_ids(one: list[np.ndarray], two: list[np.ndarray]) -> dict[str, np.ndarray]:
     a, b = np.minimum(one[1], two[1]), np.maximum(one[1], two[1])
     both = np.unique(np.rec.fromarrays([a[a < b], b[a < b]]))
@@ -281,11 +267,8 @@ def dedup_edges(classes: DataFrame, p: DedupParams) -> DataFrame:
     letters, *sizes = mates.agg(F.sum(F.length("fwd") + F.length("rev")), F.collect_set(F.when(shorter < _block(p), F.least(shorter, F.lit(START)))), F.max(F.when((F.length("fwd") < _block(p)) & (F.length("rev") < _block(p)), 1))).first()
     sizes = tuple(range(1, START + 1)) if sizes[1] or min(sizes[0], default=START) < START else (START,) if sizes[0] else ()
     tasks = max(1, -(-(letters or 0) // TASK_LETTERS))
-    kind = "part int, kind int, rows binary"
-    found = [meeting(spread(mates).mapInArrow(_block_rows(p, tasks * PARTS), kind), (1, 1), _two_ids, "a bigint, b bigint", tasks)]
-    if sizes:
-        found.append(meeting(spread(mates).mapInArrow(_start_rows(p, sizes, tasks * PARTS), kind), (1, 1), _two_ids, "a bigint, b bigint", tasks))
-    near = cut(reduce(DataFrame.unionByName, found).distinct())
+    rows = spread(mates).mapInArrow(_block_rows(p, tasks * PARTS, sizes), "part int, kind int, rows binary")
+    near = cut(meeting(rows, (1, 1), _two_ids, "a bigint, b bigint", tasks).distinct())
     held = cut(mates.mapInArrow(_packed_mates, "n bigint, f binary, r binary"))
     mate = lambda s: held.select(F.col("n").alias(s), F.col("f").alias(f"{s}f"), F.col("r").alias(f"{s}r"))
     fits = cut(near.join(mate("a"), "a").join(mate("b"), "b").select("a", "b", "af", "ar", "bf", "br").mapInArrow(_sharing(p), "a bigint, b bigint"))

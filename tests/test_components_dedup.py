@@ -235,5 +235,7 @@ def test_pairs_that_only_share_keys_are_not_compared():
     r = rng(42)
     n, p = 3_000, dedup.DedupParams()
     batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([dna(r, 150) for _ in range(n)]), pa.array([dna(r, 150) for _ in range(n)])], ["n", "fwd", "rev"])
-    one, two = meet._gathered(dedup._block_rows(p, 4)(iter([batch])), (1, 1))
-    assert sum(len(dedup._two_ids([c[i] for c in one], [c[j] for c in two])["a"]) for i, j in meet.met(one, two)) < 50
+    hot = dna(r, 150)  # a mate of very many classes, whole and cut off
+    more = pa.RecordBatch.from_arrays([pa.array(range(n, 2 * n)), pa.array([hot[: 40 if i % 9 == 0 else 150] for i in range(n)]), pa.array([dna(r, 150) for _ in range(n)])], ["n", "fwd", "rev"])
+    one, two = meet._gathered(dedup._block_rows(p, 4, (8,))(iter([batch, more])), (1, 1))
+    assert sum(len(dedup._two_ids([c[i] for c in one], [c[j] for c in two])["a"]) for i, j in meet.met(one, two)) < 200  # of nine million
