@@ -49,7 +49,7 @@ def sanitized_query_kmers(seqs: DataFrame, adapters: DataFrame, k: int) -> DataF
     return rows.join(canonical_set(adapters, k).withColumnRenamed("kmer", "c"), "c", "left_anti").drop("c")
 
 
-def _pair_text() -> Column:
+def pair_text() -> Column:
     """Both mates with a letter that no k-mer holds between and behind them."""
     return F.concat_ws("N", F.coalesce(clean_seq("fwd_seq"), F.lit("")), F.coalesce(clean_seq("rev_seq"), F.lit("")), F.lit(""))
 
@@ -115,7 +115,7 @@ def packed_counts(reads: DataFrame, k: int, by: str | None, *, at_least: int = 1
     """``kmer_counts`` of at least ``at_least`` with k-mers as numbers: ``(by, x, n)``; by is null if there is none."""
     R.shape(k)
     spark = reads.sparkSession
-    text = _pair_text()
+    text = pair_text()
     n = reads.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / R.RANGE_TERMS))
     rows = reads.select(*([F.col(by).alias("by")] if by else []), text.alias("t"))
@@ -187,7 +187,7 @@ def mark_reads(reads: DataFrame, wanted: DataFrame, k: int, *, limit: int = BROA
     if few.num_rows <= limit:
         rows = few.column("x").to_numpy()
         schema = ", ".join(f"`{c}` {t}" for c, t in reads.dtypes) + ", hit boolean"
-        return reads.select("*", _pair_text().alias("_text")).mapInArrow(_hits(k, np.sort(rows.astype(np.uint64))), schema)
+        return reads.select("*", pair_text().alias("_text")).mapInArrow(_hits(k, np.sort(rows.astype(np.uint64))), schema)
     wanted = cut(wanted.select("kmer"))
     keyed = reads.withColumn("_row", F.struct("source", "ordinal", "read_id"))
     found = keyed.select("_row", F.explode(F.array_union(canonical_kmers(clean_seq("fwd_seq"), k), canonical_kmers(clean_seq("rev_seq"), k))).alias("kmer")).join(wanted.select("kmer"), "kmer", "left_semi").select("_row").distinct().withColumn("hit", F.lit(True))

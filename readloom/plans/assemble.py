@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
 from readloom.functions.seqs import reverse_complement
-from readloom.operators.kmers import packed_counts, unpacked
+from readloom.operators.kmers import packed_counts, pair_text, unpacked
+from readloom.plans import compact
 from readloom.session import cut
 
 
@@ -101,12 +102,8 @@ def unitigs(solid: DataFrame, k: int) -> DataFrame:
     return _one_strand(_joined(solid, k)[0])
 
 
-def assemble(reads: DataFrame, *, k: int = 31, min_count: int = 2, min_contig_len: int = 200, tip_rounds: int = 1) -> DataFrame:
-    """``(idx, id, seq, multiplicity)``: contigs in the order of length and letters.
-
-    A tip is a way shorter than 2k that ends dead on one side: reading errors make them; their k-mers are
-    taken out and the rest is joined again. Reads are counted where they lie; only k-mers are shuffled.
-    """
+def _joined_ways(reads: DataFrame, k: int, min_count: int, tip_rounds: int) -> DataFrame:
+    """The ways without tips where k is even, so that k-mers may be their own other strand."""
     solid = cut(solid_kmers(reads, k, min_count))
     ways, placed = _joined(solid, k)
     for _ in range(tip_rounds):
@@ -116,6 +113,26 @@ def assemble(reads: DataFrame, *, k: int = 31, min_count: int = 2, min_contig_le
         # a way and its other strand are both tips, so both strands' k-mers are among the bad ones
         solid = cut(solid.join(placed.join(tips, "head", "left_semi").select("x"), "x", "left_anti"))
         ways, placed = _joined(solid, k)
+    return ways
+
+
+def assemble(reads: DataFrame, *, k: int = 31, min_count: int = 2, min_contig_len: int = 200, tip_rounds: int = 1) -> DataFrame:
+    """``(idx, id, seq, multiplicity)``: contigs in the order of length and letters.
+
+    A tip is a way shorter than 2k that ends dead on one side: reading errors make them; their k-mers are
+    taken out and the rest is joined again. Stretches of reads are shuffled once, by their minimizers.
+    """
+    dead_ends = (F.col("l") == compact.DEAD).cast("int") + (F.col("r") == compact.DEAD).cast("int")
+    if k % 2 and k > 3:
+        ways = compact.ways(reads.select(pair_text().alias("t")), k, min_count)
+        for _ in range(tip_rounds):
+            tip = (F.length("seq") < 2 * k) & (dead_ends == 1)
+            if ways.where(tip).isEmpty():
+                break
+            ways = compact.rejoined(ways.where(~tip), k)
+        ways = ways.select("seq", (F.col("total") / (F.length("seq") - k + 1)).alias("multiplicity"), dead_ends.alias("dead_ends"))
+    else:
+        ways = _joined_ways(reads, k, min_count, tip_rounds)
     kept = _one_strand(ways).where(F.length("seq") >= min_contig_len)
     # sorted ranges number their rows upwards, so the numbers follow the order without one task seeing all
     ordered = kept.orderBy(F.desc(F.length("seq")), "seq").withColumn("idx", F.monotonically_increasing_id())

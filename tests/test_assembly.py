@@ -105,3 +105,25 @@ def test_from_files_to_files(spark, tmp_path):
     assert got["contig_count"] == len(found) >= 1 and got["longest_contig_length"] == max(map(len, found)) > 40
     assert all(genome[60:100] in x for x in found)
     assert set(loop.final_metrics([]).values()) == {0} and loop.final_metrics([{"iteration": 2}, {"iteration": 1}]) == {"iteration": 2}
+
+
+def test_ways_joined_where_they_lie_are_those_of_the_joins(spark, monkeypatch):
+    from readloom.plans import compact
+
+    r = rng(41)
+    genome, ring = dna(r, 700), dna(r, 90)
+    genome += genome[100:180] + dna(r, 60) + rc(genome[300:360])
+    rows = _reads(genome, step=7) + _reads(genome, step=5) + [(*x[:2], f"c{x[2]}", *x[3:]) for x in _reads(ring, step=1, circular=True)]
+    rows += [pair("n1", "A" * 40, "ACGT" * 12), pair("n2", genome[:30] + "N" + genome[31:80], ""), pair("n3", "", "ACG")]
+    wrong = list(rows[20][4])
+    wrong[45] = "A" if wrong[45] != "A" else "C"
+    reads = pairs(spark, rows + [pair("e1", "".join(wrong), rc("".join(wrong)))])
+    monkeypatch.setattr(compact, "TASK_LETTERS", 2_000)  # several tasks glue, in several rounds
+    made = []
+    whole = compact._whole
+    monkeypatch.setattr(compact, "_whole", lambda *a: made.append(a) or whole(*a))
+    for k, least, tips in ((5, 1, 1), (15, 1, 2), (21, 2, 0), (31, 2, 1)):
+        seen = lambda df: sorted((x["seq"], round(x["multiplicity"], 9)) for x in df.collect())
+        got = assemble.assemble(reads, k=k, min_count=least, min_contig_len=1, tip_rounds=tips)
+        assert seen(got) == seen(assemble._one_strand(assemble._joined_ways(reads, k, least, tips))) != []
+    assert made
