@@ -127,3 +127,18 @@ def test_ways_joined_where_they_lie_are_those_of_the_joins(spark, monkeypatch):
         got = assemble.assemble(reads, k=k, min_count=least, min_contig_len=1, tip_rounds=tips)
         assert seen(got) == seen(assemble._one_strand(assemble._joined_ways(reads, k, least, tips))) != []
     assert made
+
+
+def test_tables_between_do_not_grow_with_the_contigs(spark, tmp_path, monkeypatch):
+    from readloom import catalog
+    from readloom.operators import overlap
+    from readloom.plans import compact
+
+    genome = dna(rng(42), 900)
+    pairs(spark, _reads(genome, size=60, step=4) * 2).write.parquet(str(tmp_path / "read_pairs.parquet"))
+    kept = []
+    for module in (assemble, compact, overlap):
+        cut = module.cut
+        monkeypatch.setattr(module, "cut", lambda df, *a, cut=cut: kept.append(1) or cut(df, *a))
+    edges = catalog.queries()["contig_overlap_edges"](spark, str(tmp_path)).collect()
+    assert edges == [] and len(kept) <= 12  # a plan that the driver holds for each
