@@ -122,8 +122,8 @@ def contig_overlap_edges(spark: SparkSession, d: str) -> DataFrame:
 
 def seed_connected(spark: SparkSession, d: str) -> DataFrame:
     mates = cut(_named(spark, d))
-    found = containment.seed_containment(mates, _seqs(spark, d, "seed"))
-    return overlap.seed_connected(overlap.overlap_edges(mates, n0=N0, n1=N1), found).select("id", "depth")
+    found = cut(containment.seed_containment(mates, _seqs(spark, d, "seed")))
+    return overlap.seed_connected(overlap.overlap_edges(mates, n0=N0, n1=N1, reached_from=found), found).select("id", "depth")
 
 
 def fasta_stats(spark: SparkSession, d: str) -> DataFrame:

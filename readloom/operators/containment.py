@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.functions import packed as P
 from readloom.functions.seqs import clean_seq, kmers, reverse_complement, reverse_complement_iupac
+from readloom.session import cut
+
+#: Different beginnings of patterns up to which they go to every task, so that only contigs that may hold one are joined.
+BEGINNINGS = 1_000_000
 
 
 def seed_patterns(seeds: DataFrame) -> DataFrame:
@@ -15,6 +25,26 @@ def seed_patterns(seeds: DataFrame) -> DataFrame:
     return both.groupBy("pattern").agg(F.max(F.struct("seed_idx", "orientation")).alias("x")).select("pattern", "x.orientation", "x.seed_idx")
 
 
+def _maybe(a: int, beginnings: np.ndarray):
+    """Of ``(id, c)`` the rows that hold one of the beginnings of a letters, all but A, C, G and T taken for A; rows of other signs stay."""
+    size = 1 << max(10, (16 * len(beginnings)).bit_length())
+    slot = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+    table = np.zeros(size, bool)
+    table[slot(beginnings)] = True
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, offsets = P.flat(batch.column(1))
+            x = P.pack(codes, a)
+            at = np.flatnonzero(table[slot(x)])
+            near = np.minimum(np.searchsorted(beginnings, x[at]), len(beginnings) - 1)
+            keep = ~pc.string_is_ascii(batch.column(1)).to_numpy(zero_copy_only=False)
+            keep[np.searchsorted(offsets, at[beginnings[near] == x[at]], side="right") - 1] = True
+            yield batch.filter(pa.array(keep))
+
+    return maybe
+
+
 def seed_hits(contigs: DataFrame, seeds: DataFrame, *, id_col: str = "idx") -> DataFrame:
     """``(id, pos, size, orientation, seed_idx)``: every place (from 0) where a contig holds a seed pattern.
 
@@ -27,6 +57,10 @@ def seed_hits(contigs: DataFrame, seeds: DataFrame, *, id_col: str = "idx") -> D
     if shortest is None:
         return rows.select("id", F.lit(0).alias("pos"), F.lit(0).alias("size"), F.lit(1).alias("orientation"), F.lit(0).alias("seed_idx")).limit(0)
     a = min(shortest, 31)
+    few = patterns.select(F.substring("pattern", 1, a)).distinct().limit(BEGINNINGS + 1).toArrow().column(0).combine_chunks()
+    if len(few) <= BEGINNINGS and pc.all(pc.string_is_ascii(few)).as_py():
+        codes, offsets = P.flat(few)
+        rows = cut(rows.mapInArrow(_maybe(a, np.unique(P.pack(codes, a)[offsets[:-1]])), rows.schema))
     at = rows.select("id", F.posexplode(kmers(F.col("c"), a)).alias("pos", "anchor"))
     keyed = patterns.withColumn("anchor", F.substring("pattern", 1, a))
     met = at.join(keyed, "anchor").drop("anchor").join(rows, "id")

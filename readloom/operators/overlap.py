@@ -22,6 +22,8 @@ from readloom.session import cut, spread
 
 #: Rounds whose tables one plan reads.
 PLAN_ROUNDS = 50
+#: Rounds in which only the pairs of what was newly reached are compared, and sequences newly reached that are sent to the tasks; beyond, all pairs are.
+NEAR_ROUNDS, NEAR = 4, 100_000
 #: Letters that are compared at once.
 CELLS = 4_000_000
 
@@ -193,13 +195,25 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), packed_texts(batch.column(1))], ["n", "p"])
 
 
-def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx") -> DataFrame:
+def _touching(front: np.ndarray):
+    """Of pairs, those of which one is among the sorted front."""
+
+    def touching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [front[np.minimum(np.searchsorted(front, n), len(front) - 1)] == n for n in (batch.column(x).to_numpy(zero_copy_only=False) for x in ("bid", "fid"))]
+            yield batch.filter(pa.array(near[0] | near[1]))
+
+    return touching
+
+
+def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx", reached_from: DataFrame | None = None) -> DataFrame:
     """``(src, dst, orientation)`` with src < dst: a suffix of one is a prefix of the other.
 
     The overlap has at least ``n0`` letters without a mismatch, or at least ``n1`` with one. Orientation 1:
     as they stand (or both reversed); else -1, if one is reverse-complemented. Only sequences that share an
     anchor at the right place are compared: one of the two halves of a front's first ``n1`` letters is free of the one
     mismatch. Where ``n0`` is shorter than a half, fronts and backs of less than ``n1`` letters meet as a whole.
+    With ``reached_from`` (id) the edges of all that these are connected to are there, others may be missing.
     """
     if not 1 <= n0 <= n1:
         raise ValueError("needs 1 <= n0 <= n1")
@@ -212,15 +226,38 @@ def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx") ->
     for make, columns in ((_anchors, (3, 3)), *([(_ends, (2, 2))] if n0 < max(1, n1 // 2) else [])):
         rows, pairs = make(n0, n1, parts)
         found.append(meeting(spread(base.select("n", "s")).mapInArrow(rows, "part int, kind int, rows binary"), columns, pairs, "bid bigint, bo tinyint, fid bigint, fo tinyint, size int", tasks))
-    met = cut(reduce(DataFrame.unionByName, found).distinct())
+    met = reduce(DataFrame.unionByName, found)
     held = cut(base.select("n", "s").mapInArrow(_numbered, "n bigint, p binary"))
     side = lambda i, s: held.select(F.col("n").alias(i), F.col("p").alias(s))
-    fits = cut(met.join(side("bid", "bs"), "bid").join(side("fid", "fs"), "fid").mapInArrow(_fitting(n1), "bid bigint, fid bigint, turn int").groupBy("bid", "fid").agg(F.max("turn").alias("turn")))
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        return cut(pairs.join(side("bid", "bs"), "bid").join(side("fid", "fs"), "fid").mapInArrow(_fitting(n1), "bid bigint, fid bigint, turn int").groupBy("bid", "fid").agg(F.max("turn").alias("turn")))
+
+    fits = fitting(cut(met.distinct())) if reached_from is None else _near(cut(met), base.join(reached_from.select("id").distinct(), "id").select("n"), fitting)
     name = lambda i, s: base.select(F.col("n").alias(i), F.col("id").alias(s))
     edges = fits.join(name("bid", "x"), "bid").join(name("fid", "y"), "fid").where("x != y")
     return edges.groupBy(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst")).agg(F.max("turn").alias("orientation"))
 
 
+def _near(met: DataFrame, front: DataFrame, fitting) -> DataFrame:
+    """The pairs that fit of all that the front is connected to: those of what is newly reached, round by round, or all of them."""
+    found, known = [], np.zeros(0, np.int64)
+    for _ in range(NEAR_ROUNDS):
+        new = front.limit(NEAR + 1).toArrow().column(0).to_numpy()
+        if len(new) > NEAR:
+            return fitting(cut(met.distinct()))
+        new = np.setdiff1d(new, known)
+        if not len(new):
+            break
+        known = np.union1d(known, new)
+        found.append(fitting(met.mapInArrow(_touching(new), met.schema).distinct()))
+        front = found[-1].select(F.explode(F.array("bid", "fid")).alias("n")).distinct()
+    else:
+        if front.limit(NEAR + 1).count() > NEAR or len(np.setdiff1d(front.toArrow().column(0).to_numpy(), known)):
+            return fitting(cut(met.distinct()))
+    return reduce(DataFrame.unionByName, found).distinct() if found else fitting(met.limit(0))
+
+
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``seed_connected`` of the ways ``(a, b, turn)`` of one task; a root is a way to nowhere, turned as it stands."""
     ways, reached = defaultdict(list), {}

@@ -143,3 +143,21 @@ def test_repeats_other_letters_and_short_fronts_against_all_pairs(spark):
                 elif _overlaps(a, rc(b), n0, n1) or _overlaps(rc(a), b, n0, n1):
                     want.append((i, j, -1))
         assert rows(overlap.overlap_edges(_set(spark, seqs), n0=n0, n1=n1)) == sorted(want, key=repr)
+
+
+def test_only_what_the_roots_reach_is_compared(spark, monkeypatch):
+    r = rng(51)
+    texts = {}
+    for name, n in (("a", 12), ("b", 30)):  # two chains of overlaps
+        genome = dna(r, 40 * n + 100)
+        texts |= {f"{name}{i:02d}": genome[40 * i : 40 * i + 100] if i % 3 else rc(genome[40 * i : 40 * i + 100]) for i in range(n)}
+    seqs = spark.createDataFrame(list(texts.items()), "idx string, seq string")
+    every = overlap.overlap_edges(seqs, n0=40, n1=60)
+    seen = lambda df: sorted(map(tuple, df.collect()))
+    for start, rounds in (("a00", 20), ("a06", 3), ("b29", 1), ("none", 4)):
+        monkeypatch.setattr(overlap, "NEAR_ROUNDS", rounds)
+        roots = spark.createDataFrame([(start, 1)], "id string, orientation int")
+        near = overlap.overlap_edges(seqs, n0=40, n1=60, reached_from=roots)
+        assert seen(overlap.seed_connected(near, roots)) == seen(overlap.seed_connected(every, roots))
+        if rounds == 20:
+            assert seen(near) == [x for x in seen(every) if x[0] < "b"] != []
