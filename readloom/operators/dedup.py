@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions import packed as P
-from readloom.functions.meet import PARTS, blocks, meeting, mix, packed_texts, unpacked_texts
+from readloom.functions.meet import PAIRS, PARTS, _gathered, blocks, meeting, mix, packed_texts, unpacked_texts
 from readloom.functions.seqs import bare, canonical, clean_seq, kmers
 from readloom.operators.components import connected_components
 from readloom.session import cut, spread
@@ -30,6 +30,8 @@ NO_KMER = -1
 LEAST_ROOTS, MAX_ROOTS = 16, 1_000
 #: Steps whose tables one plan reads.
 PLAN_STEPS = 50
+#: Different minimizers up to which two are one 32-bit key, and keys that one task brings together.
+MINIMIZERS, TASK_KEYS = 1 << 16, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -133,14 +135,18 @@ def read_classes(reads: DataFrame, p: DedupParams) -> DataFrame:
     return rows.groupBy("fwd", "rev").agg(F.min("read_id").alias("class_id"), F.count_distinct("read_id").alias("n_reads"))
 
 
-def bucket_members(classes: DataFrame, p: DedupParams) -> DataFrame:
-    """``(class_id, fh, rh)``: the bucket keys of each class. Classes with an empty mate match nothing and are left out."""
+def class_hashes(classes: DataFrame, p: DedupParams) -> DataFrame:
+    """``(class_id, f, r)``: the distinct minimizers of both mates. Classes with an empty mate match nothing and are left out."""
     able = classes.where("length(fwd) > 0 and length(rev) > 0")
     plain = F.lit(p.kmer_len <= TABLE_K) & ~F.col("fwd").rlike("[^ACGTN]") & ~F.col("rev").rlike("[^ACGTN]")
     start = [F.substring(m, 1, p.num_windows * p.window_len).alias(m) for m in ("fwd", "rev")]
     usual = able.where(plain).select("class_id", *start).mapInArrow(_window_hashes(p), "class_id string, f array<bigint>, r array<bigint>").select("class_id", F.array_distinct("f").alias("f"), F.array_distinct("r").alias("r"))
-    hashes = cut(usual.unionByName(able.where(~plain).select("class_id", minimizers(F.col("fwd"), p).alias("f"), minimizers(F.col("rev"), p).alias("r"))))
-    return hashes.select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
+    return cut(usual.unionByName(able.where(~plain).select("class_id", minimizers(F.col("fwd"), p).alias("f"), minimizers(F.col("rev"), p).alias("r"))))
+
+
+def bucket_members(classes: DataFrame, p: DedupParams) -> DataFrame:
+    """``(class_id, fh, rh)``: the bucket keys of each class."""
+    return class_hashes(classes, p).select("class_id", F.explode(bucket_keys(F.col("f"), F.col("r"), p)).alias("key")).select("class_id", "key.fh", "key.rh")
 
 
 def dedup_candidates(classes: DataFrame, p: DedupParams, of: DataFrame | None = None) -> DataFrame:
@@ -151,6 +157,102 @@ def dedup_candidates(classes: DataFrame, p: DedupParams, of: DataFrame | None =
     return met.where("a < b" if of is None else "a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _kind_keys(p: DedupParams, known: np.ndarray, parts: int):
+    """Rows to meet of ``(f, r, n)``: each kind of class with each of its keys, of tolerant ones either way round; all minimizers as places in known.
+
+    The key of two windows without a k-mer is left out: the kinds that have it are told by their z.
+    """
+    none = int(np.searchsorted(known, NO_KMER)) if NO_KMER in known else -1
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides, there = [], []
+            for i in (0, 1):
+                some = batch.column(i)
+                size = pc.list_value_length(some).to_numpy(zero_copy_only=False)
+                inside = np.arange(p.num_windows) < size[:, None]
+                side = np.full(inside.shape, -1 - i, np.int64)  # what isn't there is never the same on both sides
+                side[inside] = np.searchsorted(known, some.flatten().to_numpy(zero_copy_only=False))
+                sides.append(side)
+                there.append(inside)
+            f, r = sides
+            z = ((f == none).any(axis=1) & (r == none).any(axis=1)) if none >= 0 else np.zeros(len(f), bool)
+            x, y = np.repeat(f, p.num_windows, axis=1), np.tile(r, (1, p.num_windows))
+            low, high = (np.minimum(x, y), np.maximum(x, y)) if p.tolerant else (x, y)
+            key = np.where((low >= 0) & ((low != none) | (high != none)), low << 16 | high, -1)
+            # of equal keys the first counts
+            for j in range(1, key.shape[1]):
+                key[(key[:, :j] == key[:, j : j + 1]).any(axis=1), j] = -1
+            row, j = np.nonzero(key >= 0)
+            valid = ((key >= 0) << np.arange(key.shape[1])).sum(axis=1)
+            n = batch.column(2).to_numpy(zero_copy_only=False)
+            yield blocks(0, P.mix32(key[row, j].astype(np.uint32)), n[row], (valid << 1 | z)[row], (low == high)[row, j], *f[row].T, *r[row].T, parts=parts)
+
+    return keys
+
+
+def _kind_pairs(p: DedupParams):
+    """``(buckets, shared, pairs)``: the keys of one task, and how many pairs of classes of different kinds meet at them, by the number of keys that they share."""
+    w = p.num_windows
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (key, n, valid, same, *sides), _ = _gathered(batches, (3 + 2 * w, 0))
+        order = np.argsort(key, kind="stable")
+        key, n, z, valid, same = key[order], n[order], valid[order] & 1 > 0, valid[order] >> 1, same[order] > 0
+        f, r = ([x[order].astype(np.int32) for x in part] for part in (sides[:w], sides[w:]))
+        first = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
+        found = np.zeros(w * w + 1, np.int64)
+        others = np.searchsorted(key, key, side="right") - np.arange(len(key)) - 1
+        total, at = np.cumsum(others), 0
+        while at < len(key):
+            until = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+            size = others[at:until]
+            i = np.repeat(np.arange(at, until), size)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size)
+            apart = ~(z[i] & z[j])
+            i, j = i[apart], j[apart]
+            one, two = ([x[i] for x in f], [x[i] for x in r]), ([x[j] for x in f], [x[j] for x in r])
+            held = lambda x, some: reduce(np.logical_or, [x == y for y in some])
+            straight = [[held(x, two[s]) for x in one[s]] for s in (0, 1)]
+            turned = [[held(x, two[1 - s]) for x in one[s]] for s in (0, 1)] if p.tolerant else None
+            shared = np.zeros(len(i), np.int64)
+            mask = valid[i]
+            for a in range(w):
+                for b in range(w):
+                    hit = straight[0][a] & straight[1][b]
+                    if turned:
+                        hit |= turned[0][a] & turned[1][b]
+                    shared += hit & (mask >> (a * w + b) & 1 > 0)
+            for c in np.unique(shared).tolist():
+                found[c] += int((n[i] * n[j])[shared == c].sum())
+            at = until
+        buckets = np.zeros(len(found), np.int64)
+        buckets[1] = np.where(same | (not p.tolerant), 1, 2)[first].sum()
+        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(np.arange(len(found), dtype=np.int32)), pa.array(found)], ["buckets", "shared", "pairs"])
+
+    return pairs
+
+
+def comparisons(classes: DataFrame, p: DedupParams) -> DataFrame:
+    """``(buckets, comparisons)``, one row: different bucket keys, and pairs of classes that share one.
+
+    Classes of equal minimizers are one kind. Kinds that meet at a key are counted where they meet, by the number of keys that
+    they share, so that no pair is written or told from others; the sums are divided by it.
+    """
+    kinds = cut(class_hashes(classes, p).groupBy(F.array_sort("f").alias("f"), F.array_sort("r").alias("r")).agg(F.count("*").alias("n")))
+    known = kinds.select(F.explode(F.array_union("f", "r")).alias("h")).distinct().limit(MINIMIZERS + 1).toArrow().column(0).to_numpy()
+    if len(known) > MINIMIZERS or p.num_windows > 4:
+        return bucket_members(classes, p).agg(F.count_distinct("fh", "rh").alias("buckets")).join(dedup_candidates(classes, p).agg(F.count("*").alias("comparisons")))
+    tasks = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kinds.count() * p.num_windows**2 // TASK_KEYS))
+    rows = spread(kinds).mapInArrow(_kind_keys(p, np.sort(known), tasks * PARTS), "part int, kind int, rows binary")
+    met = rows.repartition(tasks, F.col("part")).mapInArrow(_kind_pairs(p), "buckets bigint, shared int, pairs bigint")
+    met = met.groupBy("shared").agg(F.sum("buckets").alias("buckets"), F.sum("pairs").alias("pairs")).agg(F.coalesce(F.sum("buckets"), F.lit(0)).alias("b"), F.coalesce(F.sum(F.expr("case when shared > 0 then pairs div shared end")), F.lit(0)).alias("c"))
+    none = F.array_contains("f", F.lit(NO_KMER).cast("bigint")) & F.array_contains("r", F.lit(NO_KMER).cast("bigint"))
+    of = lambda n: F.expr(f"({n}) * (({n}) - 1) div 2")
+    alike = kinds.agg(F.coalesce(F.sum(F.when(~none, of("n"))), F.lit(0)).alias("within"), F.coalesce(F.sum(F.when(none, F.col("n"))), F.lit(0)).alias("z"))
+    return met.join(alike).select((F.col("b") + F.when(F.col("z") > 0, 1).otherwise(0)).alias("buckets"), (F.col("c") + F.col("within") + of("z")).alias("comparisons"))
+
+
 def _block(p: DedupParams) -> int:
     """Letters of a block, so that two mates that match share one whole block without a mismatch for each that they may have, and one more."""
     return min(MAX_BLOCK, int(1 / (2 * p.max_error_frac) + 1e-9)) if p.max_error_frac > 0 else MAX_BLOCK
@@ -359,12 +461,11 @@ def deduplicate(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
 def dedup_summary(reads: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
     """``(reads, classes, buckets, comparisons, links, clusters)``, one row: what a dedup of these reads goes through."""
     classes = cut(read_classes(reads, p))
-    members, met = cut(bucket_members(classes, p)), cut(dedup_candidates(classes, p))
     edges = cut(dedup_edges(classes, p))
     found = connected_components(edges)
     n = lambda df, what, name: df.agg(what.alias(name))
     parts = [
-        n(classes, F.coalesce(F.sum("n_reads"), F.lit(0)), "reads"), n(classes, F.count("*"), "classes"), n(members, F.count_distinct("fh", "rh"), "buckets"),
-        n(met, F.count("*"), "comparisons"), n(edges, F.count("*"), "links"), n(found, F.count_distinct("component"), "clusters"),
+        n(classes, F.coalesce(F.sum("n_reads"), F.lit(0)), "reads"), n(classes, F.count("*"), "classes"), comparisons(classes, p),
+        n(edges, F.count("*"), "links"), n(found, F.count_distinct("component"), "clusters"),
     ]
     return reduce(lambda a, b: a.join(b), parts)

@@ -239,3 +239,18 @@ def test_pairs_that_only_share_keys_are_not_compared():
     more = pa.RecordBatch.from_arrays([pa.array(range(n, 2 * n)), pa.array([hot[: 40 if i % 9 == 0 else 150] for i in range(n)]), pa.array([dna(r, 150) for _ in range(n)])], ["n", "fwd", "rev"])
     one, two = meet._gathered(dedup._block_rows(p, 4, (8,))(iter([batch, more])), (1, 1))
     assert sum(len(dedup._two_ids([c[i] for c in one], [c[j] for c in two])["a"]) for i, j in meet.met(one, two)) < 200  # of nine million
+
+
+def test_pairs_that_share_a_key_are_counted_where_they_meet(spark, monkeypatch):
+    r = rng(61)
+    words = [dna(r, 25) for _ in range(6)]
+    mate = lambda: "".join(r.choice(words) for _ in range(r.choice((0, 1, 2, 3, 3, 3))))[: r.choice((4, 60, 75, 75))]
+    read = pairs(spark, [pair(f"r{i:03d}", mate(), mate()) for i in range(300)] + [pair("x1", "R" * 30 + words[0], words[1]), pair("x2", "N" * 30, "N" * 40)])
+    for p in (dedup.DedupParams(), dedup.DedupParams(tolerant=False), dedup.DedupParams(num_windows=2)):
+        classes = dedup.read_classes(read, p)
+        every = (dedup.bucket_members(classes, p).select("fh", "rh").distinct().count(), dedup.dedup_candidates(classes, p).count())
+        with monkeypatch.context() as m:
+            m.setattr(dedup, "PAIRS", 1_000)
+            m.setattr(dedup, "dedup_candidates", None)  # no pair is listed
+            assert tuple(dedup.comparisons(classes, p).first()) == every and every[1] > 1_000
+    assert tuple(dedup.comparisons(classes.limit(0), p).first()) == (0, 0)
