@@ -133,7 +133,10 @@ def assemble(reads: DataFrame, *, k: int = 31, min_count: int = 2, min_contig_le
         ways = ways.select("seq", (F.col("total") / (F.length("seq") - k + 1)).alias("multiplicity"), dead_ends.alias("dead_ends"))
     else:
         ways = _joined_ways(reads, k, min_count, tip_rounds)
-    kept = _one_strand(ways).where(F.length("seq") >= min_contig_len)
-    # sorted ranges number their rows upwards, so the numbers follow the order without one task seeing all
-    ordered = kept.orderBy(F.desc(F.length("seq")), "seq").withColumn("idx", F.monotonically_increasing_id())
+    kept = cut(_one_strand(ways).where(F.length("seq") >= min_contig_len))
+    letters = kept.agg(F.sum(F.length("seq"))).first()[0] or 0
+    # sorted ranges number their rows upwards, so the numbers follow the order without one task seeing all; the driver gets
+    # a sample of what ranges are made by, so that is the length and a first k-mer, not whole contigs
+    ranges = kept.repartitionByRange(max(1, -(-letters // compact.TASK_LETTERS)), F.desc(F.length("seq")), F.substring("seq", 1, k))
+    ordered = ranges.sortWithinPartitions(F.desc(F.length("seq")), "seq").withColumn("idx", F.monotonically_increasing_id())
     return cut(ordered.select("idx", F.concat(F.lit("contig"), F.col("idx") + 1).alias("id"), "seq", "multiplicity"))

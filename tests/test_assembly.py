@@ -142,3 +142,32 @@ def test_tables_between_do_not_grow_with_the_contigs(spark, tmp_path, monkeypatc
         monkeypatch.setattr(module, "cut", lambda df, *a, cut=cut: kept.append(1) or cut(df, *a))
     edges = catalog.queries()["contig_overlap_edges"](spark, str(tmp_path)).collect()
     assert edges == [] and len(kept) <= 12  # a plan that the driver holds for each
+
+
+def test_the_driver_gets_no_letters_of_contigs(spark, monkeypatch):
+    from readloom.plans import compact
+
+    r = rng(43)
+    genomes = sorted((min(g, rc(g)) for g in (dna(r, 30_000 + i // 2) for i in range(8))), key=lambda g: (-len(g), g))
+    reads = pairs(spark, [pair(f"r{i}", g, g) for i, g in enumerate(genomes)])
+    ways = compact.ways
+
+    def then_many_ranges(*a):
+        found = ways(*a)
+        monkeypatch.setattr(compact, "TASK_LETTERS", 60_000)  # of those that sort the contigs
+        return found
+
+    monkeypatch.setattr(compact, "ways", then_many_ranges)
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+
+    def sent():
+        """Bytes a task that each stage sent to the driver; what tells of a task itself is under 10,000."""
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {x.stageId(): x.resultSize() / x.numTasks() for x in map(stages.apply, range(stages.size()))}
+
+    before = sent()
+    got = assemble.assemble(reads, k=31)
+    assert 0 < max(n for stage, n in sent().items() if stage not in before) < 20_000
+    assert [x["seq"] for x in got.orderBy("idx").collect()] == genomes
+    assert got.select(F.shiftright("idx", 33).alias("range")).distinct().count() > 1
