@@ -20,6 +20,8 @@ PAIRS = 200_000
 #: Parts of the keys for each task that joins them; Spark deals parts to tasks by hash.
 PARTS = 16
 _HEAD = struct.Struct("<qqb")
+#: The lower bit of each letter of two bits.
+_LETTERS = 0x5555555555555555
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,11 +74,14 @@ def _gathered(batches: Iterator[pa.RecordBatch], columns: tuple[int, int]) -> li
     return [[np.concatenate(x) for x in zip(*h)] if h else [np.zeros(0, np.int64)] * (columns[i] + 1) for i, h in enumerate(held)]
 
 
+def sorted_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
+    order = np.argsort(columns[0], kind="stable")
+    return [x[order] for x in columns]
+
+
 def met(one: list[np.ndarray], two: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The places of rows of equal keys, about ``PAIRS`` at once; the second rows are sorted by key in place."""
-    order = np.argsort(two[0], kind="stable")
-    for i, x in enumerate(two):
-        two[i] = x[order]
+    two[:] = sorted_rows(two)
     first, last = np.searchsorted(two[0], one[0]), np.searchsorted(two[0], one[0], side="right")
     n = last - first
     some = np.flatnonzero(n)
@@ -95,13 +100,22 @@ def met(one: list[np.ndarray], two: list[np.ndarray]) -> Iterator[tuple[np.ndarr
         at = until
 
 
-def meeting(rows: DataFrame, columns: tuple[int, int], pairs, schema: str, tasks: int) -> DataFrame:
+def meeting(rows: DataFrame, columns: tuple[int, int], pairs, schema: str, tasks: int, near=None) -> DataFrame:
     """Brings the ``blocks`` of rows of both kinds together by key. columns: how many each kind has besides the key;
-    pairs makes of two lists of columns of equal length (key first), row for row, the columns of the result."""
+    pairs makes of two lists of columns of equal length (key first), row for row, the columns of the result. near makes of
+    each kind's columns numbers and masks: only rows whose numbers differ in at most one two-bit letter under both masks are paired."""
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = _gathered(batches, columns)
+        two = sorted_rows(two)
+        seen = near and (*near[0](one), *near[1](two))
         for i, j in met(one, two):
+            if near:
+                x, mask, y, other = seen
+                differ = (x[i] ^ y[j]) & mask[i] & other[j]
+                differ = (differ | differ >> 1) & _LETTERS
+                alike = differ & (differ - 1) == 0
+                i, j = i[alike], j[alike]
             out = pairs([x[i] for x in one], [x[j] for x in two])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out.values()], list(out))
 

@@ -161,3 +161,27 @@ def test_only_what_the_roots_reach_is_compared(spark, monkeypatch):
         assert seen(overlap.seed_connected(near, roots)) == seen(overlap.seed_connected(every, roots))
         if rounds == 20:
             assert seen(near) == [x for x in seen(every) if x[0] < "b"] != []
+
+
+def test_few_pairs_from_shared_stretches_and_tails(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(overlap, "meeting", lambda *a: met.append(meet.meeting(*a)) or met[-1])
+    r = rng(61)
+    stretch = dna(r, 60)
+    # a stretch in the midst of different texts, tails of one letter of different lengths, and texts of little but that letter
+    seqs = [dna(r, 20 + i) + stretch + dna(r, 70 - i) for i in range(50)] + [dna(r, 90 - i) + "G" * (60 + i) for i in range(40)]
+    seqs += ["G" * 140, "G" * 131, "G" * 70 + "A" + "G" * 60, "G" * 35 + "T" + "G" * 100]
+    want = []
+    for i, a in enumerate(seqs):
+        for j in range(i + 1, len(seqs)):
+            if o := next((o for o, b in ((1, seqs[j]), (-1, rc(seqs[j]))) if _overlaps(a, b, 40, 60) or _overlaps(b, a, 40, 60)), 0):
+                want.append((i, j, o))
+    assert rows(overlap.overlap_edges(_set(spark, seqs), n0=40, n1=60)) == sorted(want, key=repr)
+    assert len(want) > 100
+    assert met[0].count() < 6 * len(want)
+
+
+def test_other_letters_overlap_on_either_strand(spark):
+    r = rng(62)
+    seqs = [dna(r, 30) + "N" * 45, dna(r, 33) + "N" * 47, "N" * 44 + dna(r, 31)]
+    assert rows(overlap.overlap_edges(_set(spark, seqs), n0=40, n1=60)) == [(0, 1, -1), (0, 2, 1), (1, 2, 1)]
