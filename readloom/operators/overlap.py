@@ -332,7 +332,7 @@ def _ends(n0: int, n1: int, parts: int):
 
 
 def _fitting(n1: int):
-    """Of pairs, those whose suffix and prefix are equal or, from n1 letters on, differ at one place."""
+    """Of pairs, those that are sure, or whose suffix and prefix are equal or, from n1 letters on, differ at one place."""
 
     def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,7 +340,7 @@ def _fitting(n1: int):
             ways = {x: [s if o > 0 else s[::-1].translate(_TURN) for s, o in zip(texts[x], turns[y])] for x, y in (("bs", "bo"), ("fs", "fo"))}
             size = batch.column("size").to_pylist()
             suffix, prefix = [s[len(s) - n :] for s, n in zip(ways["bs"], size)], [s[:n] for s, n in zip(ways["fs"], size)]
-            fits = np.fromiter((x == y for x, y in zip(suffix, prefix)), bool, len(size))
+            fits = np.fromiter((x == y for x, y in zip(suffix, prefix)), bool, len(size)) | np.array(batch.column("sure").to_pylist(), bool)
             step = max(1, CELLS // max(size, default=1))
             rest = [i for i in np.flatnonzero(~fits).tolist() if size[i] >= n1]
             for at in range(0, len(rest), step):
@@ -404,11 +404,11 @@ def overlap_edges(seqs: DataFrame, *, n0: int, n1: int, id_col: str = "idx", rea
     side = lambda i, s: base.select(F.col("n").alias(i), F.col("p").alias(s))
 
     def fitting(pairs: DataFrame) -> DataFrame:
-        compared = pairs.where("not sure").drop("sure").join(side("bid", "bs"), "bid").join(side("fid", "fs"), "fid").mapInArrow(_fitting(n1), "bid bigint, fid bigint, turn int")
-        sure = pairs.where("sure").select("bid", "fid", (F.col("bo") * F.col("fo")).cast("int").alias("turn"))
-        return cut(compared.unionByName(sure).groupBy("bid", "fid").agg(F.max("turn").alias("turn")))
+        # moved once by bid, for which they are both made distinct and joined
+        both = pairs.repartition(F.col("bid")).distinct().join(side("bid", "bs"), "bid").join(side("fid", "fs"), "fid")
+        return cut(both.mapInArrow(_fitting(n1), "bid bigint, fid bigint, turn int").groupBy("bid", "fid").agg(F.max("turn").alias("turn")))
 
-    fits = fitting(cut(met.distinct())) if reached_from is None else _near(cut(met), base.join(reached_from.select("id").distinct(), "id").select("n"), fitting)
+    fits = fitting(met) if reached_from is None else _near(cut(met), base.join(reached_from.select("id").distinct(), "id").select("n"), fitting)
     name = lambda i, s: base.select(F.col("n").alias(i), F.col("id").alias(s))
     edges = fits.join(name("bid", "x"), "bid").join(name("fid", "y"), "fid").where("x != y")
     return edges.groupBy(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst")).agg(F.max("turn").alias("orientation"))
@@ -420,16 +420,16 @@ def _near(met: DataFrame, front: DataFrame, fitting) -> DataFrame:
     for _ in range(NEAR_ROUNDS):
         new = front.limit(NEAR + 1).toArrow().column(0).to_numpy()
         if len(new) > NEAR:
-            return fitting(cut(met.distinct()))
+            return fitting(met)
         new = np.setdiff1d(new, known)
         if not len(new):
             break
         known = np.union1d(known, new)
-        found.append(fitting(met.mapInArrow(_touching(new), met.schema).distinct()))
+        found.append(fitting(met.mapInArrow(_touching(new), met.schema)))
         front = found[-1].select(F.explode(F.array("bid", "fid")).alias("n")).distinct()
     else:
         if front.limit(NEAR + 1).count() > NEAR or len(np.setdiff1d(front.toArrow().column(0).to_numpy(), known)):
-            return fitting(cut(met.distinct()))
+            return fitting(met)
     return reduce(DataFrame.unionByName, found).distinct() if found else fitting(met.limit(0))
 
 
